@@ -141,3 +141,114 @@ def mapped_sql() -> str:
   WINDOW g AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          m AS (PARTITION BY table_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 mapped AS (SELECT * FROM carried WHERE op IS NOT NULL AND "database" IS NOT NULL)"""
+
+
+KEYS = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"], "part": ["p_partkey"], "orders": ["o_orderkey"],
+    "events": ["event_id"], "documents": ["doc_id"], "embeddings": ["vec_id"],
+    "pages": ["page_id"], "benchmark": ["item_id"],
+}
+
+
+def union_sql(line, tables=TABLES) -> str:
+    """One SELECT per table; ``{t}`` is the table name."""
+    return " UNION ALL ".join(line.replace("{t}", t) for t in tables)
+
+
+# Progress ledger: one version per order, one table name per customer.
+_LEDGER = """SELECT concat('t', cast(o_custkey AS string)) AS table_name,
+  cast(o_custkey % 50 * 100 AS bigint) AS total_rows,
+  cast(o_orderkey % 100 * (o_custkey % 50) AS bigint) AS migrated_rows,
+  o_orderkey * 3 AS last_migrated_id,
+  CASE o_orderkey % 4 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'IN_PROGRESS'
+       WHEN 2 THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+  o_orderdate AS start_time, o_orderdate AS last_update_time,
+  CASE WHEN o_orderkey % 4 = 2 THEN o_orderdate END AS complete_time,
+  CASE WHEN o_orderkey % 4 = 3 THEN concat('lost ', o_orderpriority) END AS error_message,
+  o_orderkey % 9 = 0 AS deleted, o_orderkey AS version
+FROM {orders}"""
+LEDGER_SQL = f"""ledger_log AS ({_LEDGER.format(orders='orders')}),
+latest AS (SELECT * FROM ledger_log
+           QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY version DESC) = 1),
+ledger AS (SELECT * FROM latest WHERE NOT deleted)"""
+
+
+def ledger_log(spark, sf_dir) -> DataFrame:
+    return spark.sql(_LEDGER.format(orders="{o}"), o=table(spark, sf_dir, "orders"))
+
+
+_TASKS = """SELECT cast(o_orderkey AS string) AS id,
+  concat('task ', cast(o_custkey AS string)) AS name,
+  concat('src-', o_orderstatus) AS source_connection, o_orderpriority AS target_connection,
+  CASE o_orderkey % 5 WHEN 0 THEN 'pending' WHEN 1 THEN 'running' WHEN 2 THEN 'completed'
+       WHEN 3 THEN 'failed' ELSE 'paused' END AS status,
+  CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE cast(o_orderkey % 101 AS int) END AS progress,
+  o_orderdate AS created_at, o_orderdate AS updated_at,
+  CASE WHEN o_orderkey % 5 IN (2, 3) THEN o_orderdate END AS completed_at,
+  CASE WHEN o_orderkey % 5 = 3 THEN 'broken' END AS error_message,
+  o_orderkey % 5 NOT IN (2, 3) AS is_billing, o_custkey % 6 = 0 AS is_deleted,
+  o_orderkey AS version
+FROM {orders}"""
+TASKS_SQL = f"tasks AS ({_TASKS.format(orders='orders')})"
+
+
+def tasks(spark, sf_dir) -> DataFrame:
+    return spark.sql(_TASKS.format(orders="{o}"), o=table(spark, sf_dir, "orders"))
+
+
+_LOGS = """SELECT cast(l_linenumber AS bigint) AS id, cast(l_orderkey AS string) AS task_id,
+  CASE l_returnflag WHEN 'A' THEN 'info' WHEN 'N' THEN 'warning' ELSE 'error' END AS level,
+  concat('part ', cast(l_partkey AS string), ' from ', cast(l_suppkey AS string)) AS message,
+  l_shipdate AS created_at
+FROM {lineitem}"""
+LOGS_SQL = f"task_logs AS ({_LOGS.format(lineitem='lineitem')})"
+
+
+def task_logs(spark, sf_dir) -> DataFrame:
+    return spark.sql(_LOGS.format(lineitem="{l}"), l=table(spark, sf_dir, "lineitem"))
+
+
+# Statement text of the change log; prices as decimals, whose text both engines agree on.
+_DECIMAL_IMAGE = "struct<k:bigint,status:string,price:decimal(18,2),note:string>"
+
+
+def money_changes(spark, sf_dir) -> DataFrame:
+    return row_changes(spark, sf_dir).withColumns({
+        "before": F.col("before").cast(_DECIMAL_IMAGE),
+        "after": F.col("after").cast(_DECIMAL_IMAGE)})
+
+
+def money_base(spark, sf_dir) -> DataFrame:
+    return base(spark, sf_dir).withColumn("price", F.col("price").cast("decimal(18,2)"))
+
+
+def quoted_sql(c: str) -> str:
+    """The escape chain of a text literal, NULL as a bare word."""
+    out = c
+    for raw, escaped in ((r"'\'", r"'\\'"), ("''''", r"'\'''"), ("chr(10)", r"'\n'"),
+                         ("chr(13)", r"'\r'"), ("chr(9)", r"'\t'")):
+        out = f"replace({out}, {raw}, {escaped})"
+    return f"coalesce('''' || {out} || '''', 'NULL')"
+
+
+def _image_sql(prefix: str, sep: str) -> str:
+    parts = [("k", f"cast({prefix}_k AS VARCHAR)"), ("status", quoted_sql(f"{prefix}_status")),
+             ("price", f"cast(cast({prefix}_price AS DECIMAL(18,2)) AS VARCHAR)"),
+             ("note", quoted_sql(f"{prefix}_note"))]
+    return f" || '{sep}' || ".join(f"'{n} = ' || {text}" for n, text in parts)
+
+
+STATEMENT_SQL = f"""CASE op
+  WHEN 'INSERT' THEN 'INSERT INTO shop.orders (k, status, price, note) VALUES (' ||
+    cast(a_k AS VARCHAR) || ', ' || {quoted_sql('a_status')} || ', ' ||
+    cast(cast(a_price AS DECIMAL(18,2)) AS VARCHAR) || ', ' || {quoted_sql('a_note')} || ')'
+  WHEN 'UPDATE' THEN 'UPDATE shop.orders SET ' || {_image_sql('a', ', ')} ||
+    ' WHERE ' || {_image_sql('b', ' AND ')}
+  ELSE 'DELETE FROM shop.orders WHERE ' || {_image_sql('b', ' AND ')} END || ';'"""
+
+
+def entries_sql() -> str:
+    """The change log as export entries."""
+    return f"""{changes_sql()}, entries AS (
+  SELECT file, pos, gtid, {STATEMENT_SQL} AS sql FROM row_changes)"""

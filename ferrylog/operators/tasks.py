@@ -62,7 +62,7 @@ def task_with_logs(tasks: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def task_transition(tasks: DataFrame, transitions: DataFrame) -> DataFrame:
-    """Task states after ``transitions(seq, task_id, status, progress, error_message, at)``.
+    """Task states after ``transitions(seq, task_id, status, progress, error_message, changed_at)``.
 
     Later values win: a NULL progress and a blank error keep the old one; a final
     status sets the completion time and stops billing. Every rule is a "last of",
@@ -75,10 +75,10 @@ def task_transition(tasks: DataFrame, transitions: DataFrame) -> DataFrame:
     final = F.col("status").isin(FINAL_TASK_STATUSES)
     error = F.coalesce(F.col("error_message"), F.lit(""))
     moves = transitions.groupBy("task_id").agg(
-        last("status").alias("t_status"), last("at").alias("t_at"),
+        last("status").alias("t_status"), last("changed_at").alias("t_at"),
         last("progress", F.col("progress").isNotNull()).alias("t_progress"),
         last("error_message", error != "").alias("t_error"),
-        last("at", final).alias("t_done"))
+        last("changed_at", final).alias("t_done"))
     joined = tasks.join(moves, F.col("id") == F.col("task_id"), "left")
     done = F.col("t_done").isNotNull()
     return joined.withColumns({

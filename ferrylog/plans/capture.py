@@ -11,7 +11,7 @@ from ferrylog.operators.events import filter_tables, last_position
 from ferrylog.operators.fold import ORDER, apply_changes
 from ferrylog.operators.statements import parse_statements
 from ferrylog.sinks.exports import export_sql, render_changes
-from ferrylog.sources.exports import carry_headers, dedup_entries, read_sql_export
+from ferrylog.sources.exports import dedup_entries, number_repeats, read_sql_export
 
 
 def capture_to_files(changes: DataFrame, schema: T.StructType, folder: str, stamp: str,
@@ -28,16 +28,15 @@ class Parsed(NamedTuple):
 
 
 def changes_of_entries(entries: DataFrame, schema: T.StructType, table: Optional[str] = None,
-                       checkpoint=None, distinct=True) -> Parsed:
+                       checkpoint=None) -> Parsed:
     """Entries past the checkpoint as typed changes of one table.
 
-    Statements of one event share its position. They keep their order by entry
-    number, and statements of equal text count once per position, unless
-    ``distinct=False`` says that repeats are real.
+    Statements of one event share its position and keep their order by entry
+    number. A statement exported twice, in two files, counts once; the n-th equal
+    statement inside one event is a change of its own.
     """
-    fresh = after_checkpoint(entries, checkpoint)
-    if distinct:
-        fresh = dedup_entries(fresh.withColumn("entry_id", entry_id()))
+    fresh = number_repeats(after_checkpoint(entries, checkpoint))
+    fresh = dedup_entries(fresh.withColumn("entry_id", entry_id(row_no="repeat_no")))
     parsed = parse_statements(fresh, schema).withColumn("row_no", F.col("entry_no"))
     if table is not None:
         parsed = parsed.where(F.col("error").isNotNull()

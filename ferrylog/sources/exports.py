@@ -84,5 +84,11 @@ def dedup_entries(entries: DataFrame, key="entry_id",
                    .select("e.*"))
 
 
+def number_repeats(entries: DataFrame) -> DataFrame:
+    """``repeat_no``: which of the equal statements of one event in its file this is."""
+    same = Window.partitionBy("source_file", "file", "pos", F.sha2("sql", 256)).orderBy("entry_no")
+    return entries.withColumn("repeat_no", F.row_number().over(same))
+
+
 def drop_processed(entries: DataFrame, done: DataFrame, key="entry_id") -> DataFrame:
     return entries.join(done.select(key), key, "left_anti")
