@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.inputs import (BASE_SQL, FINAL_NEVER_SQL, FINAL_SAFE_SQL, KEYS, LEDGER_SQL, TABLES, base, changes_sql,
                            ledger_log, row_changes, table, union_sql)
@@ -122,6 +124,22 @@ def t4_hot(spark, sf):
     return apply_changes(base(spark, sf), row_changes(spark, sf), ["k"], hot_limit=2)
 
 
+# Every third event updates key 0, always from the value the one before it set; every
+# tenth of those also carries a stale image. All other events insert a key of their own.
+_HOT = """SELECT 'f' AS file, event_id AS pos, 0 AS row_no, CASE WHEN event_id % 3 > 0 OR event_id = 0 THEN 'INSERT' ELSE 'UPDATE' END AS op,
+  CASE WHEN event_id % 3 = 0 AND event_id > 0 THEN named_struct('k', 0L, 'v', event_id - 3) END AS before,
+  named_struct('k', CASE WHEN event_id % 3 = 0 THEN 0L ELSE event_id END, 'v', event_id) AS after FROM {e}
+UNION ALL SELECT 'f', event_id, 1, 'UPDATE', named_struct('k', 0L, 'v', -1L), named_struct('k', 0L, 'v', -2L) FROM {e} WHERE event_id % 30 = 0"""
+
+
+@check("t4_fold_changes_one_hot_key", """SELECT event_id AS k, event_id AS v FROM events WHERE event_id % 3 > 0
+  UNION ALL SELECT 0, max(event_id) FROM events WHERE event_id % 3 = 0""")
+def t4_one_hot(spark, sf):
+    e = table(spark, sf, "events")
+    stored = e.selectExpr("event_id AS k", "event_id AS v").limit(0)
+    return apply_changes(stored, spark.sql(_HOT, e=e), ["k"], hot_limit=500)
+
+
 # Without a key every INSERT adds a row, also where the key is there already.
 _BAG_SQL = f"""WITH {BASE_SQL}
 SELECT k, CASE WHEN k % 10 = 0 THEN 'F' WHEN k % 5 = 0 THEN 'P' ELSE status END AS status,
@@ -136,8 +154,8 @@ def t4_bag(spark, sf):
     return apply_changes(base(spark, sf), row_changes(spark, sf))
 
 
-# Even keys move up by two million and odd ones move there after them and back: the
-# first move lands, the second finds the key taken unless its neighbour left again.
+# Each pair of keys moves to one new key, some of them back again: a move lands only
+# where the new key is free, so the second of a pair depends on the first.
 _MOVES = """SELECT file, pos, row_no, 'UPDATE' AS op, named_struct('k', kb, 'v', vb) AS before, named_struct('k', ka, 'v', va) AS after
 FROM (SELECT 'f' AS file, o_orderkey * 10 AS pos, 0 AS row_no, o_orderkey AS kb, o_orderpriority AS vb,
         cast(o_orderkey div 2 + 2000000 AS bigint) AS ka, 'moved' AS va FROM {o}
@@ -151,7 +169,7 @@ _MOVES_SQL = """WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS v FROM ord
               WHEN twin_back AND back THEN 'back' WHEN twin_back THEN 'moved' ELSE v END AS v FROM e"""
 
 
-@check("t4_fold_changes_moved_keys")
+@check("t4_fold_changes_moved_keys", _MOVES_SQL)
 def t4_moves(spark, sf):
     orders = table(spark, sf, "orders")
     return apply_changes(orders.selectExpr("o_orderkey AS k", "o_orderpriority AS v"), spark.sql(_MOVES, o=orders), ["k"])
@@ -307,13 +325,11 @@ def j7(spark, sf):
 @check("a8_table_checksum", union_sql("SELECT '{t}' AS table_name, count(*) AS row_count, true AS same FROM {t}"))
 def a8(spark, sf):
     """Fingerprint of each table against that of the same rows in another order and layout."""
-    out = None
+    sides = []
     for t in TABLES:
         df = table(spark, sf, t)
-        a = verify.table_checksum(df)
-        b = verify.table_checksum(df.repartition(5))
-        line = a.join(b.withColumnsRenamed({c: f"r_{c}" for c in b.columns}), F.lit(True)).select(
-            F.lit(t).alias("table_name"), "row_count",
-            F.expr("row_count = r_row_count AND hash_xor = r_hash_xor AND hash_sum = r_hash_sum").alias("same"))
-        out = line if out is None else out.unionByName(line)
-    return out
+        sides += [verify.table_checksum(x).withColumn("table_name", F.lit(t)) for x in (df, df.repartition(5))]
+    return reduce(DataFrame.unionByName, sides).groupBy("table_name").agg(
+        F.max("row_count").alias("row_count"),
+        ((F.min("row_count") == F.max("row_count")) & (F.min("hash_xor") == F.max("hash_xor"))
+         & (F.min("hash_sum") == F.max("hash_sum"))).alias("same"))

@@ -32,6 +32,7 @@ from ferrylog.session import is_empty, materialize
 
 ORDER = ("file", "pos", "row_no")
 HOT_LIMIT = 100_000  # changes of one key (or component) folded in one piece
+OPS_PER_GROUP = 50_000  # changes of tied keys per Python call, about
 FAN = 1000           # pieces composed into one at the next level
 
 
@@ -199,8 +200,9 @@ def _tied_keys(ops, keys):
     return materialize(names.join(labels, "id").select("k.*", "component"), "tied-keys")
 
 
-def _fold_component(pdf_rows: pd.DataFrame, pdf_ops: pd.DataFrame) -> pd.DataFrame:
-    """Sequential compare-and-set over the few keys of one component."""
+def _fold_components(pdf_rows: pd.DataFrame, pdf_ops: pd.DataFrame) -> pd.DataFrame:
+    """Sequential compare-and-set over the keys of some components; components share
+    no key, so one pass over their merged log keeps them apart."""
     rows = dict(zip(pdf_rows["kid"], pdf_rows["id"]))
     for op in pdf_ops.sort_values("n").itertuples():
         if op.op == INSERT:
@@ -229,12 +231,15 @@ def _fold_tied(target, ops, schema, keys, order, limit):
         key = F.struct(*[F.col(image).getField(k).alias(k) for k in keys])
         return F.when(F.col(image).isNotNull(), F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256))
 
-    steps = ops.select("component", "n", "op", kid("before").alias("kb"), kid("after").alias("ka"),
+    # Many small components share a task; the number of groups grows with the log.
+    groups = max((ops.agg(F.max("n")).first()[0] or 0) // OPS_PER_GROUP, 1) * 8
+    group = F.pmod(F.xxhash64("component"), F.lit(groups)).alias("g")
+    steps = ops.select(group, "n", "op", kid("before").alias("kb"), kid("after").alias("ka"),
                        identity("before", schema).alias("i"), identity("after", schema).alias("o"))
     stored = target.select("component", pack(schema.names).alias("row"))
-    rows = stored.select("component", kid("row").alias("kid"), identity("row", schema).alias("id"))
-    ends = (rows.groupBy("component").cogroup(steps.groupBy("component"))
-                .applyInPandas(_fold_component, "id string"))
+    rows = stored.select(group, kid("row").alias("kid"), identity("row", schema).alias("id"))
+    ends = (rows.groupBy("g").cogroup(steps.groupBy("g"))
+                .applyInPandas(_fold_components, "id string"))
     images = (stored.select(identity("row", schema).alias("id"), "row")
                     .unionByName(ops.select(identity("after", schema).alias("id"),
                                             F.col("after").alias("row")).where("row IS NOT NULL"))

@@ -59,14 +59,14 @@ def parse_statements(entries: DataFrame, schema: T.StructType, sql="sql") -> Dat
     text = _swap(F.regexp_replace(col(sql), ";$", ""), _MASKS)
     cut = (entries.withColumn("__t", text)
            .withColumn("__insert", F.col("__t").startswith("INSERT INTO "))
-           .withColumn("__names", F.when("__insert", F.split(F.regexp_extract("__t", _INSERT, 2), ", "))
+           .withColumn("__names", F.when(F.col("__insert"), F.split(F.regexp_extract("__t", _INSERT, 2), ", "))
                        .otherwise(F.regexp_extract_all("__t", F.lit(_PAIR), F.lit(2))))
-           .withColumn("__values", F.when("__insert", F.regexp_extract_all(
+           .withColumn("__values", F.when(F.col("__insert"), F.regexp_extract_all(
                F.regexp_extract("__t", _INSERT, 3), F.lit(_VALUE), F.lit(1)))
                .otherwise(F.regexp_extract_all("__t", F.lit(_PAIR), F.lit(3))))
            .withColumn("__seps", F.when(~F.col("__insert"),
                                         F.regexp_extract_all("__t", F.lit(_PAIR), F.lit(1))))
-           .withColumn("__head", F.when("__insert", F.concat(
+           .withColumn("__head", F.when(F.col("__insert"), F.concat(
                F.lit("INSERT INTO "), F.regexp_extract("__t", _INSERT, 1)))
                .otherwise(F.trim(F.regexp_extract("__t", _OTHER, 0))))
            .withColumn("__at", F.array_position("__seps", F.lit(" WHERE ")).cast("int")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.util import inheritable_thread_target
 
 from ferrylog.functions.position import Position
 from ferrylog.operators.copying import (has_bad_rows, plan_copy, project_columns, resume_filter,
@@ -32,6 +35,7 @@ class CopyConfig:
     enable_resume: bool = True
     included_tables: Sequence[str] = field(default_factory=tuple)
     ranges: int = 1  # committed units per table, cut by key quantiles
+    parallel_tables: int = 4  # tables in flight; each is a distributed job
     quarantine_path: Optional[str] = None  # refused rows, one folder per table
 
 
@@ -165,7 +169,8 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     if step.decision == "resume" and not numeric:
         done = 0  # no bound to resume from: the whole table again, stored keys skipped
     rest = resume_filter(rows, key if numeric else None, last, ordered=False)
-    for bound in (key_bounds(rest, key, cfg.ranges) if numeric else [None]):
+    bounds = (key_bounds(rest, key, cfg.ranges) if numeric else []) or [None]
+    for i, bound in enumerate(bounds, 1):
         part, stored = rest, target.read(table) if keys else None
         if bound is not None:
             at, fresh = F.col(key), not last
@@ -175,11 +180,13 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
             stored = None if stored is None else stored.where(inside)
         copied, refused = _copy_range(part, step, target, cfg, stored, keys)
         done, bad, last = done + copied, bad + refused, bound if bound is not None else last
-        note(step.status)
-    note("COMPLETED")
+        note("COMPLETED" if i == len(bounds) else step.status)
     return done, bad
 
 
+_RESULT = "table_name string, copied bigint, refused bigint, error string"
+
+
 def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
               snapshot: Optional[Position] = None) -> DataFrame:
     """Copy every table; returns copied and refused rows per table.
@@ -202,28 +209,37 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
         entry[0].append(r.column_name)
         if r.is_primary_key:
             entry[1].append(r.column_name)
-    results = []
-    if cfg.migrate_data:
-        counts = skip_empty_tables(row_counts(source, sorted(catalog)))
-        ledger = read_progress(spark, cfg.ledger_path)
-        if not cfg.enable_resume:
-            ledger = ledger.limit(0)
-        for step in plan_copy(counts, ledger).orderBy("table_name").collect():  # one per table
-            names, keys = catalog[step.table_name]
-            try:
-                done, bad = _copy_table(spark, source, target, cfg, step, names,
-                                        keys[0] if keys else None, keys)
-                results.append((step.table_name, done, bad, None))
-            except Exception as e:  # noqa: BLE001 - policy decides
-                error = str(e).splitlines()[0]
-                now = read_progress(spark, cfg.ledger_path).where(
-                    F.col("table_name") == step.table_name).first()
-                append_progress(_ledger_row(
-                    spark, table_name=step.table_name, total_rows=now.total_rows,
-                    migrated_rows=now.migrated_rows, last_migrated_id=now.last_migrated_id,
-                    status="FAILED", error_message=error), cfg.ledger_path)
-                if not cfg.continue_on_error:
-                    raise
-                results.append((step.table_name, -1, 0, error))
-    return spark.createDataFrame(
-        results, "table_name string, copied bigint, refused bigint, error string")
+    if not cfg.migrate_data:
+        return spark.createDataFrame([], _RESULT)
+    counts = skip_empty_tables(row_counts(source, sorted(catalog)))
+    ledger = read_progress(spark, cfg.ledger_path)
+    if not cfg.enable_resume:
+        ledger = ledger.limit(0)
+    failed = threading.Event()
+
+    def copy_one(step):
+        if failed.is_set() and not cfg.continue_on_error:
+            return None
+        names, keys = catalog[step.table_name]
+        try:
+            done, bad = _copy_table(spark, source, target, cfg, step, names,
+                                    keys[0] if keys else None, keys)
+            return step.table_name, done, bad, None
+        except Exception as e:  # noqa: BLE001 - policy decides
+            failed.set()
+            error = str(e).splitlines()[0]
+            now = read_progress(spark, cfg.ledger_path).where(
+                F.col("table_name") == step.table_name).first() or step
+            append_progress(_ledger_row(
+                spark, table_name=step.table_name, total_rows=now.total_rows,
+                migrated_rows=now.migrated_rows, last_migrated_id=now.last_migrated_id,
+                status="FAILED", error_message=error), cfg.ledger_path)
+            if not cfg.continue_on_error:
+                raise
+            return step.table_name, -1, 0, error
+
+    steps = plan_copy(counts, ledger).orderBy("table_name").collect()  # one row per table
+    with ThreadPoolExecutor(cfg.parallel_tables) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(copy_one), step) for step in steps]
+    results = [r.result() for r in runs]
+    return spark.createDataFrame([r for r in results if r is not None], _RESULT)

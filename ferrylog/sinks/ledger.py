@@ -7,6 +7,7 @@ small because a row is written per table or per micro-batch, never per data row.
 from __future__ import annotations
 
 import time
+import uuid
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,11 +32,13 @@ def _next_version() -> int:
 def _read(spark, path, shape) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], shape)
-    return spark.read.schema(shape).parquet(path)
+    return spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(path)
 
 
 def _append(rows: DataFrame, path, shape):
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in shape]).write.mode("append").parquet(path)
+    """Each write has a folder of its own, so writers of one log cannot disturb each other."""
+    (rows.select(*[F.col(f.name).cast(f.dataType) for f in shape])
+         .coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}"))
 
 
 # --- progress ---------------------------------------------------------------
