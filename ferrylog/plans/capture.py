@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ferrylog.functions.position import Position, after_checkpoint, entry_id, start_from
 from ferrylog.operators.events import filter_tables, last_position
 from ferrylog.operators.fold import ORDER, apply_changes
+from ferrylog.operators.numbering import roll_files
 from ferrylog.operators.statements import parse_statements
-from ferrylog.sinks.exports import export_sql, render_changes
+from ferrylog.schema import DELETE, INSERT, UPDATE
+from ferrylog.session import materialize
+from ferrylog.sinks.exports import export_numbered, render_changes
 from ferrylog.sources.exports import dedup_entries, number_repeats, read_sql_export
 
 
@@ -19,7 +22,10 @@ def capture_to_files(changes: DataFrame, schema: T.StructType, folder: str, stam
                      start: Optional[Position] = None, size=10000) -> DataFrame:
     """Filter typed row changes, render them and write rolling export files."""
     kept = filter_tables(start_from(changes, start), databases, tables)
-    return export_sql(render_changes(kept, schema), folder, stamp, generated, size=size)
+    # Number first: the range sort reads its input twice, and changes are cheaper to
+    # read again than statements are to render again.
+    numbered = roll_files(kept.where(F.col("op").isin(INSERT, UPDATE, DELETE)), size=size)
+    return export_numbered(render_changes(numbered, schema), folder, stamp, generated)
 
 
 class Parsed(NamedTuple):
@@ -42,6 +48,8 @@ def changes_of_entries(entries: DataFrame, schema: T.StructType, table: Optional
         parsed = parsed.where(F.col("error").isNotNull()
                               | (F.concat_ws(".", "database", "table") == table)
                               | (F.col("table") == table))
+    # Written once: the rejected rows and each pass of the apply read it again.
+    parsed = materialize(parsed, "parsed")
     good = parsed.where("error IS NULL").select(
         "source_file", "entry_no", "row_no", "file", "pos", "gtid", "database", "table", "op",
         "before", "after")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ferrylog.functions.render import render_change, statement_terminator
 from ferrylog.functions.text import qualified_name
+from ferrylog.operators.once import compute_once
 from ferrylog.operators.numbering import STATEMENTS_PER_FILE, roll_files
 from ferrylog.session import materialize
 
@@ -24,9 +25,10 @@ FILE_STEM = "binlog_sql_{stamp}_{number:04d}.sql"
 
 def render_changes(changes: DataFrame, schema) -> DataFrame:
     """Row changes to terminated statements; blank ones are dropped."""
-    named = changes.withColumn("__name", qualified_name("database", "table"))
-    sql = statement_terminator(render_change(schema, table="__name"))
-    return named.withColumn("sql", sql).where("sql IS NOT NULL").drop("__name")
+    named = compute_once(changes, __name=qualified_name("database", "table"))
+    rendered = compute_once(named, __sql=render_change(schema, table="__name"))
+    return (compute_once(rendered, sql=statement_terminator("__sql"))
+            .where("sql IS NOT NULL").drop("__name", "__sql"))
 
 
 def entry_text(file="file", pos="pos", gtid="gtid", sql="sql") -> Column:
@@ -68,23 +70,27 @@ def _writer(folder, stamp, generated):
     return write
 
 
-def export_sql(statements: DataFrame, folder: str, stamp: str, generated: str,
-               order_by=("file", "pos", "row_no"), size=STATEMENTS_PER_FILE) -> DataFrame:
-    """Write ``sql`` statements in log order, a new file after ``size`` of them.
+def export_numbered(numbered: DataFrame, folder: str, stamp: str, generated: str) -> DataFrame:
+    """Write statements that already have ``file_no`` and ``statement_no``.
 
-    ``folder`` is a URI or absolute path all executors reach. Returns one row per
-    file written: ``(file_no, file_name, statements)``.
+    ``folder`` is a URI or absolute path all executors reach. A file is one task's
+    work and holds a bounded number of statements. Returns one row per file:
+    ``(file_no, file_name, statements)``.
     """
-    numbered = roll_files(statements, order_by, size).select(
-        "file_no", "statement_no", entry_text().alias("text"))
-    placed = (numbered.repartitionByRange("file_no")
-                      .sortWithinPartitions("file_no", "statement_no")
+    placed = (numbered.select("file_no", "statement_no", entry_text().alias("text"))
+                      .repartition("file_no").sortWithinPartitions("file_no", "statement_no")
                       .select("file_no", "text"))
     written = placed.mapInPandas(_writer(folder, stamp, generated),
                                  "file_no long, file_name string, statements long")
     return materialize(written, "export-files")
 
 
+def export_sql(statements: DataFrame, folder: str, stamp: str, generated: str,
+               order_by=("file", "pos", "row_no"), size=STATEMENTS_PER_FILE) -> DataFrame:
+    """Write ``sql`` statements in log order, a new file after ``size`` of them."""
+    return export_numbered(roll_files(statements, order_by, size), folder, stamp, generated)
+
+
 def export_stats(statements: DataFrame) -> DataFrame:
     """Statements per file, with a total line (NULL file number) and the file count."""
     per_file = statements.groupBy("file_no").agg(F.count(F.lit(1)).alias("statements"))
