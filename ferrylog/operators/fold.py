@@ -8,7 +8,7 @@ With a key, and updates that keep it, keys are independent: the changes of a key
 fold over its row. Three cases need more, each exact and without a cap:
 
 * a key with very many changes is cut into pieces of the log; a piece becomes a
-  small map "row before -> row after", and maps compose (``_fold_hot``);
+  small map "row before -> row after", and maps are chained (``_fold_hot``);
 * updates that move a row to another key tie keys together; tied keys fold as one
   component, and a component too large for one task is applied in two halves of
   the log (``_fold_tied``);
@@ -31,9 +31,8 @@ from ferrylog.schema import DELETE, INSERT, UPDATE
 from ferrylog.session import is_empty, materialize
 
 ORDER = ("file", "pos", "row_no")
-HOT_LIMIT = 100_000  # changes of one key (or component) folded in one piece
+HOT_LIMIT = 10_000   # changes of one key (or component) folded in one piece
 OPS_PER_GROUP = 50_000  # changes of tied keys per Python call, about
-FAN = 1000           # pieces composed into one at the next level
 
 
 def prepare_changes(changes: DataFrame, schema, order=ORDER, null_match="safe") -> DataFrame:
@@ -131,13 +130,14 @@ def _fold_grouped(target, ops, keys, order):
 
 
 def _compose(key, pdf: pd.DataFrame, names) -> pd.DataFrame:
-    """Compose the steps of one piece into a map row-before -> row-after.
+    """Compose the changes of one piece into a map row-before -> row-after.
 
-    Walking backwards, a step (i -> o) sends i to wherever o ends up.
+    Walking backwards, a change (i -> o) sends i to wherever o ends up.
     """
     ends = {}
-    for _, step in sorted(pdf.groupby("step"), key=lambda kv: kv[0], reverse=True):
-        ends.update({i: ends.get(o, o) for i, o in zip(step["i"], step["o"])})
+    steps = pdf.sort_values("n", ascending=False)
+    for i, o in zip(steps["i"], steps["o"]):
+        ends[i] = ends.get(o, o)
     kept = [(i, o) for i, o in ends.items() if i != o]
     out = pd.DataFrame(kept, columns=["i", "o"])
     for name, value in zip(names, key):
@@ -146,11 +146,13 @@ def _compose(key, pdf: pd.DataFrame, names) -> pd.DataFrame:
 
 
 def _fold_hot(target, ops, schema, keys, order, piece):
-    """Fold keys with many changes piece by piece.
+    """Fold keys with many changes: pieces of the log in parallel, then pointers.
 
     Rows are known by digest. Pieces are cut by global row number, so a piece has
-    at most ``piece`` rows. Entries whose start is neither the stored row nor the
-    end of another entry cannot be reached and are dropped before each level.
+    at most ``piece`` changes; each becomes a map of entries. An entry whose start
+    is neither the stored row nor the end of another entry cannot be reached and
+    is dropped, which leaves about one per piece where changes follow each other.
+    The entries then form chains over the pieces, followed by pointer doubling.
     """
     ops = number_rows(ops.select(*keys, *order, "after",
                                  identity("before", schema).alias("i"),
@@ -160,23 +162,29 @@ def _fold_hot(target, ops, schema, keys, order, piece):
         ops.select(*keys).distinct().join(stored, keys, "left")
            .withColumn("s", identity("row", schema)), "hot-start")
     names = [*keys, "block"]
-    out_schema = ops.select(*keys).schema.add("block", "long").add("i", "string").add("o", "string")
-    entries = ops.select(*keys, "i", "o", F.col("n").alias("step"),
-                         F.floor((F.col("n") - 1) / F.lit(piece)).cast("long").alias("block"))
-    while True:
-        entries = entries.groupBy(*names).applyInPandas(
-            lambda key, pdf: _compose(key, pdf, names), out_schema)
-        entries = materialize(entries, "hot-entries")
-        top = entries.agg(F.max("block")).first()[0]
-        if not top:
-            break
-        reached = (entries.select(*keys, F.col("o").alias("i"))
-                          .union(start.select(*keys, "s")).distinct())
-        entries = (entries.join(reached, [*keys, "i"], "left_semi")
-                          .withColumn("step", F.col("block"))
-                          .withColumn("block", F.floor(F.col("block") / F.lit(FAN)).cast("long")))
-    ends = (start.join(entries.drop("block").withColumnRenamed("i", "s"), [*keys, "s"], "left")
-                 .withColumn("o", F.coalesce("o", "s")).where(F.col("o") != ABSENT))
+    shape = ops.select(*keys).schema.add("block", "long").add("i", "string").add("o", "string")
+    entries = materialize(
+        ops.select(*keys, "n", "i", "o",
+                   F.floor((F.col("n") - 1) / F.lit(piece)).cast("long").alias("block"))
+           .groupBy(*names).applyInPandas(lambda key, pdf: _compose(key, pdf, names), shape),
+        "hot-entries")
+    reached = (entries.select(*keys, F.col("o").alias("i"))
+                      .union(start.select(*keys, "s")).distinct())
+    entries = materialize(entries.join(reached, [*keys, "i"], "left_semi")
+                                 .withColumn("n", F.monotonically_increasing_id()), "hot-reached")
+
+    leaves = entries.select(*keys, F.col("i").alias("id"), (-2 * F.col("block")).alias("t"),
+                            F.col("n").alias("leave"))
+    arrives = entries.select(*keys, F.col("o").alias("id"), (-2 * F.col("block") - 1).alias("t"),
+                             F.lit(None).cast("long").alias("leave")).distinct()
+    ahead = _next_leave(leaves, arrives, [*keys, "id"])
+    nodes = _chase(entries.withColumn("t", -2 * F.col("block") - 1).withColumnRenamed("o", "id")
+                          .join(ahead, [*keys, "id", "t"])
+                          .select("n", "next", F.col("id").alias("end")))
+    first = (leaves.groupBy(*keys, F.col("id").alias("s")).agg(F.max_by("leave", "t").alias("n"))
+                   .join(nodes, "n").select(*keys, "s", "end"))
+    ends = (start.join(first, [*keys, "s"], "left")
+                 .withColumn("o", F.coalesce("end", "s")).where(F.col("o") != ABSENT))
     kept = ends.where(F.col("o") == F.col("s")).select("row.*")
     changed = ends.where(F.col("o") != F.col("s")).select(*keys, "o")
     rows = (ops.join(changed, [*keys, "o"], "left_semi")
@@ -184,6 +192,34 @@ def _fold_hot(target, ops, schema, keys, order, piece):
     return kept.unionByName(rows)
 
 
+# --- chains -----------------------------------------------------------------
+
+def _next_leave(leaves, arrives, by, chunk=CHUNK):
+    """For each arrival at a row, the next change that leaves that row.
+
+    Both carry a time ``t`` that runs backwards, so the wanted change is the latest
+    one before the arrival.
+    """
+    timeline = carry_forward(leaves.unionByName(arrives), "leave", "t", by, out="next", chunk=chunk)
+    return timeline.where("leave IS NULL").select(*by, "t", "next")
+
+
+def _chase(nodes: DataFrame) -> DataFrame:
+    """Follow ``nodes(n, next, end)`` to the end of each chain.
+
+    Every round doubles the reach of all pointers with one equi join on unique ids,
+    so the rounds are the logarithm of the longest chain.
+    """
+    nodes = materialize(nodes, "chain")
+    while not is_empty(nodes.where("next IS NOT NULL")):
+        ahead = nodes.select(F.col("n").alias("next"), F.col("next").alias("next2"),
+                             F.col("end").alias("end2"))
+        nodes = materialize(nodes.where("next IS NULL").unionByName(
+            nodes.where("next IS NOT NULL").join(ahead, "next")
+                 .select("n", F.col("next2").alias("next"), F.col("end2").alias("end"))), "chain")
+    return nodes
+
+
 # --- updates that move keys -------------------------------------------------
 
 def _tied_keys(ops, keys):
@@ -274,21 +310,12 @@ def _fold_bag(target, ops, order, chunk=CHUNK):
         F.col("i").alias("id"), (-2 * F.col("n")).alias("t"), F.col("n").alias("leave"))
     arrives = ops.where(F.col("op") != DELETE).select(
         F.col("o").alias("id"), (-2 * F.col("n") - 1).alias("t"), F.lit(None).cast("long").alias("leave"))
-    # Time runs backwards here, so "latest before" is "earliest after".
-    timeline = carry_forward(leaves.unionByName(arrives), "leave", "t", ["id"],
-                             out="next", chunk=chunk)
-    nodes = (timeline.where("leave IS NULL")
-                     .select(((-F.col("t") - 1) / 2).cast("long").alias("n"), "next", F.col("id").alias("end"))
-                     .unionByName(ops.where(F.col("op") == DELETE).select(
-                         "n", F.lit(None).cast("long").alias("next"), F.lit(ABSENT).alias("end"))))
-    nodes = materialize(nodes, "chain")
-    while not is_empty(nodes.where("next IS NOT NULL")):
-        ahead = nodes.select(F.col("n").alias("next"), F.col("next").alias("next2"),
-                             F.col("end").alias("end2"))
-        nodes = (nodes.where("next IS NULL").unionByName(
-            nodes.where("next IS NOT NULL").join(ahead, "next")
-                 .select("n", F.col("next2").alias("next"), F.col("end2").alias("end"))))
-        nodes = materialize(nodes, "chain")
+    ahead = _next_leave(leaves, arrives, ["id"], chunk)
+    nodes = _chase(ahead.select(((-F.col("t") - 1) / 2).cast("long").alias("n"), "next",
+                                F.col("id").alias("end"))
+                        .unionByName(ops.where(F.col("op") == DELETE).select(
+                            "n", F.lit(None).cast("long").alias("next"),
+                            F.lit(ABSENT).alias("end"))))
 
     images = ops.where(F.col("op") != DELETE).groupBy(F.col("o").alias("end")).agg(
         F.first("after").alias("row"))

@@ -52,13 +52,16 @@ def task_log_page(logs: DataFrame, task_id, newest_first=True, page=1,
 def task_with_logs(tasks: DataFrame, logs: DataFrame) -> DataFrame:
     """Live tasks with their logs, one row per log line (and one for a task without).
 
-    The lines of a task are not gathered into an array, so a task with a great
-    many of them stays spread over rows; sort by ``created_at`` to read them.
+    The lines of a task are not gathered into an array, so a task with a great many
+    of them stays spread over rows; sort by ``logged_at`` to read them. An outer
+    join cannot split a skewed inner side, an inner join can: hence the two parts.
     """
+    live = live_tasks(tasks)
     lines = logs.select("task_id", F.col("id").alias("log_id"), "level", "message",
                         F.col("created_at").alias("logged_at"))
-    return (live_tasks(tasks).join(lines, F.col("id") == F.col("task_id"), "left")
-                             .drop("task_id"))
+    told = live.join(lines, F.col("id") == F.col("task_id")).drop("task_id")
+    silent = live.join(logs.select(F.col("task_id").alias("id")).distinct(), "id", "left_anti")
+    return told.unionByName(silent, allowMissingColumns=True)
 
 
 def task_transition(tasks: DataFrame, transitions: DataFrame) -> DataFrame:

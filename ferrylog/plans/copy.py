@@ -10,6 +10,7 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.util import inheritable_thread_target
 
+from ferrylog.errors import first_line
 from ferrylog.functions.position import Position
 from ferrylog.operators.copying import (has_bad_rows, plan_copy, project_columns, resume_filter,
                                          split_bad_rows)
@@ -227,7 +228,7 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
             return step.table_name, done, bad, None
         except Exception as e:  # noqa: BLE001 - policy decides
             failed.set()
-            error = str(e).splitlines()[0]
+            error = first_line(e)
             now = read_progress(spark, cfg.ledger_path).where(
                 F.col("table_name") == step.table_name).first() or step
             append_progress(_ledger_row(

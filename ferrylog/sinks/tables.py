@@ -6,6 +6,7 @@ from typing import Mapping, NamedTuple, Optional
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ferrylog.errors import first_line
 from ferrylog.sources.tables import create_ddl
 
 # Fixed value: rows per insert batch.
@@ -42,7 +43,7 @@ def create_target(spark: SparkSession, columns: DataFrame, database="default", d
             ddl = row.create_sql.replace(f"`{row.table_name}`", name, 1)
             spark.sql(f"{ddl} USING {format}")
         except Exception as e:  # noqa: BLE001 - recorded per table
-            error = str(e).splitlines()[0]
+            error = first_line(e)
         results.append((row.table_name, error is None, error))
     return spark.createDataFrame(results, "table_name string, created boolean, error string")
 

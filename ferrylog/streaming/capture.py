@@ -8,6 +8,7 @@ from typing import Callable, Mapping, NamedTuple, Optional, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ferrylog.errors import first_line
 from ferrylog.functions.position import Position, start_from
 from ferrylog.operators.events import (classify_events, filter_databases, filter_tables,
                                        fill_gtid, resolve_table_map, skip_ddl)
@@ -45,7 +46,7 @@ class Handlers:
                 handler.handle(events.where(handler.supports), batch_id)
             except Exception as e:  # noqa: BLE001 - isolation is the contract
                 log.exception("handler %s failed in batch %s", handler.name, batch_id)
-                self.errors.append((batch_id, handler.name, str(e).splitlines()[0]))
+                self.errors.append((batch_id, handler.name, first_line(e)))
 
 
 class CallbackListener(StreamingQueryListener):

@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ferrylog.operators import fold
 from ferrylog.operators.components import connected_components
 from ferrylog.operators.fold import apply_changes
 from tests.model import apply_bag, apply_keyed
@@ -57,8 +56,7 @@ def test_keyed(spark, seed, null_match):
 
 
 @pytest.mark.parametrize("seed", [3, 4])
-def test_hot_keys_in_pieces(spark, seed, monkeypatch):
-    monkeypatch.setattr(fold, "FAN", 3)  # several levels of pieces
+def test_hot_keys_in_pieces(spark, seed):
     rnd = random.Random(seed)
     rows = random_rows(rnd, 12)
     log = random_log(rnd, rows, 12, 400, hot=5)
