@@ -16,7 +16,7 @@ from ferrylog.operators.copying import (has_bad_rows, plan_copy, project_columns
                                          split_bad_rows)
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
-from ferrylog.sinks.tables import BATCH_SIZE, JdbcTable, create_target, write_table
+from ferrylog.sinks.tables import BATCH_SIZE, JdbcTable, create_tables, write_table
 from ferrylog.sources.files import exists
 from ferrylog.sources.tables import (attach_keys, column_catalog, primary_keys, row_counts,
                                      skip_empty_tables)
@@ -49,16 +49,13 @@ class FolderTarget:
     def path(self, table):
         return f"{self.root}/{table}.parquet"
 
-    def create(self, columns: DataFrame, drop: bool) -> DataFrame:
-        """Folders appear with the first write; dropping empties them with an empty table."""
-        rows = columns.select("table_name").distinct().collect()
-        for r in rows:
-            if drop and exists(self.spark, self.path(r.table_name)):
-                old = self.spark.read.parquet(self.path(r.table_name))
-                self.spark.createDataFrame([], old.schema).write.mode("overwrite").parquet(
-                    self.path(r.table_name))
-        return self.spark.createDataFrame([(r.table_name, True, None) for r in rows],
-                                          "table_name string, created boolean, error string")
+    def create(self, columns: DataFrame, tables, drop: bool) -> list[tuple]:
+        """Folders appear with the first write; dropping replaces them by an empty table."""
+        for t in tables:
+            if drop and exists(self.spark, self.path(t)):
+                old = self.spark.read.parquet(self.path(t))
+                self.spark.createDataFrame([], old.schema).write.mode("overwrite").parquet(self.path(t))
+        return [(t, True, None) for t in tables]
 
     def read(self, table) -> Optional[DataFrame]:
         return (self.spark.read.parquet(self.path(table))
@@ -74,8 +71,8 @@ class CatalogTarget:
     def __init__(self, spark: SparkSession, database="default"):
         self.spark, self.database = spark, database
 
-    def create(self, columns, drop):
-        return create_target(self.spark, columns, self.database, drop)
+    def create(self, columns, tables, drop):
+        return create_tables(self.spark, columns, self.database, drop)
 
     def read(self, table):
         name = f"`{self.database}`.`{table}`"
@@ -91,10 +88,8 @@ class JdbcTarget:
     def __init__(self, spark: SparkSession, url: str, properties=None):
         self.spark, self.url, self.properties = spark, url, dict(properties or {})
 
-    def create(self, columns, drop):
-        rows = columns.select("table_name").distinct().collect()
-        return self.spark.createDataFrame([(r.table_name, True, None) for r in rows],
-                                          "table_name string, created boolean, error string")
+    def create(self, columns, tables, drop):
+        return [(t, True, None) for t in tables]
 
     def read(self, table):
         try:
@@ -118,7 +113,8 @@ def key_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
 def _ledger_row(spark, **values) -> DataFrame:
     shape = T.StructType([f for f in PROGRESS_LOG if f.name not in
                           ("start_time", "last_update_time", "complete_time", "deleted", "version")])
-    row = spark.createDataFrame([tuple(values.get(f.name) for f in shape)], shape)
+    row = spark.range(0, 1, 1, 1).select(
+        *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in shape])
     done = values.get("status") == "COMPLETED"
     return row.withColumns({
         "start_time": F.current_timestamp(), "last_update_time": F.current_timestamp(),
@@ -197,19 +193,17 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
     """
     if cfg.checkpoint_path:
         save_checkpoint(spark, cfg.checkpoint_path, "copy", snapshot)
-    columns = attach_keys(column_catalog(source), primary_keys(source))
-    if cfg.included_tables:
-        columns = columns.where(F.col("table_name").isin(list(cfg.included_tables)))
-    if cfg.create_tables:
-        failed = target.create(columns, cfg.drop_tables).where("NOT created").first()
-        if failed is not None and not cfg.continue_on_error:
-            raise RuntimeError(f"{failed.table_name}: {failed.error}")
+    columns = attach_keys(column_catalog(source, cfg.included_tables), primary_keys(source))
     catalog = {}
-    for r in columns.orderBy("table_name", "ordinal").collect():  # one row per column
+    for r in sorted(columns.collect(), key=lambda r: (r.table_name, r.ordinal)):  # one per column
         entry = catalog.setdefault(r.table_name, ([], []))
         entry[0].append(r.column_name)
         if r.is_primary_key:
             entry[1].append(r.column_name)
+    if cfg.create_tables:
+        for name, created, error in target.create(columns, sorted(catalog), cfg.drop_tables):
+            if not created and not cfg.continue_on_error:
+                raise RuntimeError(f"{name}: {error}")
     if not cfg.migrate_data:
         return spark.createDataFrame([], _RESULT)
     counts = skip_empty_tables(row_counts(source, sorted(catalog)))
@@ -239,7 +233,7 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
                 raise
             return step.table_name, -1, 0, error
 
-    steps = plan_copy(counts, ledger).orderBy("table_name").collect()  # one row per table
+    steps = sorted(plan_copy(counts, ledger).collect(), key=lambda r: r.table_name)  # one per table
     with ThreadPoolExecutor(cfg.parallel_tables) as pool:
         runs = [pool.submit(inheritable_thread_target(spark)(copy_one), step) for step in steps]
     results = [r.result() for r in runs]

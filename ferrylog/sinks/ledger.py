@@ -112,7 +112,8 @@ def save_checkpoint(spark: SparkSession, path: str, stream_id: str,
         return False
     now = _next_version()
     row = (stream_id, position.file, position.pos, position.gtid, now // 1_000_000, now)
-    _append(spark.createDataFrame([row], CHECKPOINTS), path, CHECKPOINTS)
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, CHECKPOINTS)]
+    _append(spark.range(0, 1, 1, 1).select(*values), path, CHECKPOINTS)
     return True
 
 

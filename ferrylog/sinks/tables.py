@@ -27,14 +27,14 @@ def write_table(df: DataFrame, dst, batch_size=BATCH_SIZE, mode="append", format
         df.write.mode(mode).format(format).save(dst)
 
 
-def create_target(spark: SparkSession, columns: DataFrame, database="default", drop=False,
-                  format="parquet") -> DataFrame:
-    """Create a catalog table per described table; one failure never stops the others.
+STATUS = "table_name string, created boolean, error string"
 
-    Returns ``(table_name, created, error)``. DDL text is one row per table.
-    """
+
+def create_tables(spark: SparkSession, columns: DataFrame, database="default", drop=False,
+                  format="parquet") -> list[tuple]:
+    """Create a catalog table per described table; one failure never stops the others."""
     results = []
-    for row in create_ddl(columns).orderBy("table_name").collect():
+    for row in create_ddl(columns).orderBy("table_name").collect():  # one row per table
         name = f"`{database}`.`{row.table_name}`"
         error: Optional[str] = None
         try:
@@ -45,7 +45,13 @@ def create_target(spark: SparkSession, columns: DataFrame, database="default", d
         except Exception as e:  # noqa: BLE001 - recorded per table
             error = first_line(e)
         results.append((row.table_name, error is None, error))
-    return spark.createDataFrame(results, "table_name string, created boolean, error string")
+    return results
+
+
+def create_target(spark: SparkSession, columns: DataFrame, database="default", drop=False,
+                  format="parquet") -> DataFrame:
+    """``(table_name, created, error)`` of ``create_tables``."""
+    return spark.createDataFrame(create_tables(spark, columns, database, drop, format), STATUS)
 
 
 def copy_outcome(results: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ class DirectorySource:
     def read(self, table, part: Optional[KeyRange] = None) -> DataFrame:
         return self.spark.read.format(self.format).load(f"{self.root}/{table}.{self.format}")
 
-    def columns(self) -> DataFrame:
-        return _columns_of(self)
+    def columns(self, tables=None) -> DataFrame:
+        return _columns_of(self, tables)
 
     def key_columns(self) -> DataFrame:
         return _declared_keys(self)
@@ -100,8 +100,9 @@ class JdbcSource:
                                     upperBound=part.upper, numPartitions=part.partitions,
                                     properties=self.properties)
 
-    def columns(self) -> DataFrame:
-        return _as(self.query(self.queries["columns"]), schema.COLUMN_CATALOG)
+    def columns(self, tables=None) -> DataFrame:
+        rows = _as(self.query(self.queries["columns"]), schema.COLUMN_CATALOG)
+        return rows.where(F.col("table_name").isin(list(tables))) if tables else rows
 
     def key_columns(self) -> DataFrame:
         return _as(self.query(self.queries["keys"]), schema.PRIMARY_KEYS)
@@ -111,9 +112,9 @@ def _as(df, shape):
     return df.select(*[F.col(f.name).cast(f.dataType) for f in shape])
 
 
-def _columns_of(source) -> DataFrame:
+def _columns_of(source, tables=None) -> DataFrame:
     rows = [(table, i, f.name, f.dataType.simpleString(), f.nullable, None, False)
-            for table in source.table_names()
+            for table in source.table_names() if not tables or table in tables
             for i, f in enumerate(source.read(table).schema, 1)]
     return source.spark.createDataFrame(rows, schema.COLUMN_CATALOG)
 
@@ -133,8 +134,8 @@ def list_tables(source) -> DataFrame:
     return source.spark.createDataFrame([(t,) for t in source.table_names()], "table_name string")
 
 
-def column_catalog(source) -> DataFrame:
-    return source.columns()
+def column_catalog(source, tables=None) -> DataFrame:
+    return source.columns(tables)
 
 
 def primary_keys(source) -> DataFrame:
