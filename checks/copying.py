@@ -85,8 +85,9 @@ _BATCHES = "batches AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS row
 _TRAIL = f"{_BATCHES}, trail AS (SELECT batch_no, count(*) AS batch_rows, max(row_no) AS migrated_rows, max(o_orderkey) AS last_migrated_id FROM batches GROUP BY 1)"
 
 
-def _batches(spark, sf):
-    return numbering.assign_batches(table(spark, sf, "orders"), "o_orderkey", 700)
+def _batches(spark, sf, columns="*"):
+    """Numbering writes its rows once, so callers pass the columns they need."""
+    return numbering.assign_batches(table(spark, sf, "orders").select(columns), "o_orderkey", 700)
 
 
 @check("w2_assign_batches", f"WITH {_BATCHES} SELECT * FROM batches")
@@ -96,13 +97,13 @@ def w2(spark, sf):
 
 @check("w3_progress_trail", f"WITH {_TRAIL} SELECT batch_no, batch_rows, cast(sum(batch_rows) OVER (ORDER BY batch_no) AS BIGINT) AS migrated_rows, last_migrated_id FROM trail")
 def w3(spark, sf):
-    return numbering.progress_trail(_batches(spark, sf), "o_orderkey")
+    return numbering.progress_trail(_batches(spark, sf, "o_orderkey"), "o_orderkey")
 
 
 @check("w7_progress_milestones", f"WITH {_TRAIL} SELECT * FROM trail WHERE migrated_rows % 1000 = 0 OR migrated_rows = (SELECT count(*) FROM orders)")
 def w7(spark, sf):
     orders = table(spark, sf, "orders")
-    return numbering.progress_milestones(numbering.progress_trail(_batches(spark, sf), "o_orderkey"),
+    return numbering.progress_milestones(numbering.progress_trail(_batches(spark, sf, "o_orderkey"), "o_orderkey"),
                                          orders.agg(F.count(F.lit(1))).scalar(), numbering.LEDGER_STEP)
 
 

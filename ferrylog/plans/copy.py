@@ -36,6 +36,7 @@ class CopyConfig:
     enable_resume: bool = True
     included_tables: Sequence[str] = field(default_factory=tuple)
     ranges: int = 1  # committed units per table, cut by key quantiles
+    read_partitions: int = 8  # parallel reads of one table behind JDBC
     parallel_tables: int = 4  # tables in flight; each is a distributed job
     quarantine_path: Optional[str] = None  # refused rows, one folder per table
 
@@ -156,6 +157,9 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     rows = project_columns(source.read(table), columns)
     numeric = key is not None and isinstance(rows.schema[key].dataType, T.IntegralType)
     last = step.last_migrated_id if numeric else None
+    split = source.key_range(table, key, cfg.read_partitions) if numeric else None
+    if split is not None:
+        rows = project_columns(source.read(table, split), columns)
 
     def note(status):
         append_progress(_ledger_row(spark, table_name=table, total_rows=step.total_rows,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/ferrylog/{label}-{uuid.uuid4().hex}"
 
 
+_scope = threading.local()
+
+
+def delete_path(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete what is materialized inside once the scope ends.
+
+    For work whose results are written out within it, such as a micro-batch; a
+    stream would otherwise fill the shared folder.
+    """
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        for path in paths:
+            delete_path(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -56,6 +82,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     result can be read many times with column pruning.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ferrylog.operators.fold import HOT_LIMIT, ORDER, apply_changes
+from ferrylog.session import delete_path
 from ferrylog.sources.files import exists
 
 _BUCKET, _LIVE = "__bucket", "__live"
@@ -58,8 +59,9 @@ class AppliedTable:
         (staged.repartition(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(1 << 20)) % 8)
                .write.partitionBy(_BUCKET).mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").parquet(self.data))
-        self.spark.range(1).selectExpr("current_timestamp() AS applied_at").write.mode(
+        self.spark.range(0, 1, 1, 1).selectExpr("current_timestamp() AS applied_at").write.mode(
             "overwrite").parquet(f"{self.log}/{batch}")
+        delete_path(self.spark, stage)
 
     def _stage(self, changes, stage, order):
         before = [F.col("before").getField(k) for k in self.keys]

@@ -40,6 +40,10 @@ class DirectorySource:
     def read(self, table, part: Optional[KeyRange] = None) -> DataFrame:
         return self.spark.read.format(self.format).load(f"{self.root}/{table}.{self.format}")
 
+    def key_range(self, table, key, partitions) -> Optional[KeyRange]:
+        """Files split themselves."""
+        return None
+
     def columns(self, tables=None) -> DataFrame:
         return _columns_of(self, tables)
 
@@ -100,6 +104,11 @@ class JdbcSource:
                                     upperBound=part.upper, numPartitions=part.partitions,
                                     properties=self.properties)
 
+    def key_range(self, table, key, partitions) -> Optional[KeyRange]:
+        """Bounds for a read in parallel by a numeric key."""
+        row = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}").first()
+        return None if row.lo is None else KeyRange(key, int(row.lo), int(row.hi), partitions)
+
     def columns(self, tables=None) -> DataFrame:
         rows = _as(self.query(self.queries["columns"]), schema.COLUMN_CATALOG)
         return rows.where(F.col("table_name").isin(list(tables))) if tables else rows

@@ -12,7 +12,7 @@ from ferrylog.errors import first_line
 from ferrylog.functions.position import Position, start_from
 from ferrylog.operators.events import (classify_events, filter_databases, filter_tables,
                                        fill_gtid, resolve_table_map, skip_ddl)
-from ferrylog.session import materialize
+from ferrylog.session import materialize, scratch_scope
 from ferrylog.sources.files import child_names
 
 log = logging.getLogger(__name__)
@@ -94,7 +94,10 @@ class Capture:
         return spark.read.parquet(f"{self.context_path}/batch={max(past)}") if past else None
 
     def __call__(self, events: DataFrame, batch_id: int):
-        spark = events.sparkSession
+        with scratch_scope(events.sparkSession):
+            self._run(events.sparkSession, events, batch_id)
+
+    def _run(self, spark: SparkSession, events: DataFrame, batch_id: int):
         batch = materialize(start_from(events, self.start), "capture")
         seed = self._seed(spark, batch_id)
         seeded = batch if seed is None else batch.unionByName(seed, allowMissingColumns=True)

@@ -7,9 +7,10 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ferrylog.functions.position import Position
 from ferrylog.operators.events import last_position
-from ferrylog.functions.position import Position, after_checkpoint
 from ferrylog.plans.capture import ENTRY_ORDER, changes_of_entries
+from ferrylog.session import scratch_scope
 from ferrylog.sinks.applied import AppliedTable
 from ferrylog.sinks.ledger import read_checkpoint, save_checkpoint
 from ferrylog.sources.exports import carry_headers, read_export_files
@@ -48,13 +49,16 @@ class Replay:
         self.rejected_path, self.table_name = rejected_path, table_name
 
     def __call__(self, files: DataFrame, batch_id: int):
-        spark = files.sparkSession
+        with scratch_scope(files.sparkSession):
+            self._run(files.sparkSession, files, batch_id)
+
+    def _run(self, spark: SparkSession, files: DataFrame, batch_id: int):
         batch = f"{self.stream_id}-{batch_id}"
-        checkpoint = read_checkpoint(spark, self.checkpoint_path, self.stream_id)
         entries = carry_headers(files)
         known = entries.where("NOT orphan").drop("orphan")
-        parsed = changes_of_entries(known, self.schema, self.table_name, checkpoint)
         if not self.table.is_applied(batch):
+            checkpoint = read_checkpoint(spark, self.checkpoint_path, self.stream_id)
+            parsed = changes_of_entries(known, self.schema, self.table_name, checkpoint)
             orphans = entries.where("orphan").drop("orphan").withColumn(
                 "error", F.lit("text before the first header"))
             # Named by batch, so a repeated batch replaces its own rows.

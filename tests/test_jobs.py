@@ -298,6 +298,19 @@ def test_checksum_sees_duplicates(spark):
     assert table_checksum(two.union(two)).first() != table_checksum(spark.createDataFrame([(5,)] * 4, "id long")).first()
 
 
+def test_micro_batches_leave_no_scratch(spark, tmp_path):
+    import pathlib
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "ferrylog"
+    applied, schema, job = replay_parts(spark, tmp_path)
+    applied.create(spark.createDataFrame([(1, "a")], SCHEMA))
+    capture_to_files(changes(spark, [(10, 0, "DELETE", (1, "a"), None)]), schema, str(tmp_path / "export"), "1", "g")
+    before = set(shared.iterdir())
+    drain(spark, tmp_path, job)
+    assert applied.read().count() == 0
+    assert set(shared.iterdir()) == before
+    assert not (tmp_path / "table/stage/s-0").exists()
+
+
 def test_scratch_folder_is_the_sessions(spark):
     from ferrylog.session import scratch_root
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
