@@ -21,7 +21,8 @@ def carry_forward(df: DataFrame, value: str, seq="seq", by=(), out=None, chunk=C
     One window per key would put a hot key, or with no key the whole log, into
     one task. Here rows are windowed inside (key, chunk); the last value of each
     chunk is carried over chunks, and over groups of ``fan`` chunks, on tables
-    that shrink by the chunk size and by ``fan``. ``seq`` must be unique.
+    that shrink by the chunk size and by ``fan``. ``seq`` must be unique, and keys
+    not NULL.
     """
     by, out = list(by), out or value
     s, c, g = "__seq", "__chunk", "__group"
@@ -29,9 +30,12 @@ def carry_forward(df: DataFrame, value: str, seq="seq", by=(), out=None, chunk=C
               .withColumn(c, F.floor(F.col(s) / F.lit(chunk)).cast("bigint")))
     inside = Window.partitionBy(*by, c).orderBy(s).rowsBetween(Window.unboundedPreceding, 0)
 
-    # Last value per chunk: partial aggregation leaves one row per key and chunk.
-    ends = (rows.groupBy(*by, c)
-                .agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(s))).alias("__end"))
+    # One row per key and chunk: all of them by a plain distinct, and the last value of
+    # those that have one. Only rows with a value are sorted for that; carried marks are
+    # rare, and the filter on them reaches the scan.
+    last = (rows.where(F.col(value).isNotNull()).groupBy(*by, c)
+                .agg(F.max_by(value, s).alias("__end")))
+    ends = (rows.select(*by, c).distinct().join(last, [*by, c], "left")
                 .withColumn(g, F.floor(F.col(c) / F.lit(fan)).cast("bigint")))
     groups = (ends.groupBy(*by, g)
                   .agg(F.max_by("__end", F.when(F.col("__end").isNotNull(), F.col(c)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ferrylog.session import is_empty, materialize
+from ferrylog.session import materialize, materialize_while
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,15 +16,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = materialize(edges.union(edges.select("dst", "src")).distinct(), "edges")
     labels = materialize(both.groupBy(F.col("src").alias("id"))
                              .agg(F.least(F.col("id"), F.min("dst")).alias("component")), "labels")
-    while True:
+    more = True
+    while more:
         near = (both.join(labels.withColumnRenamed("id", "dst"), "dst")
                     .groupBy(F.col("src").alias("id")).agg(F.min("component").alias("near")))
         step = (labels.join(near, "id")
                       .select("id", "component", F.least("component", "near").alias("new")))
         root = labels.select(F.col("id").alias("new"), F.col("component").alias("root"))
-        step = materialize(step.join(root, "new")
-                               .select("id", "component", F.least("new", "root").alias("new")),
-                           "labels")
-        if is_empty(step.where("component <> new")):
-            return labels
+        step = step.join(root, "new").select("id", "component", F.least("new", "root").alias("new"))
+        step, more = materialize_while(step, "labels", F.col("component") != F.col("new"))
         labels = step.select("id", F.col("new").alias("component"))
+    return labels

@@ -28,7 +28,7 @@ from ferrylog.operators.carry import CHUNK, carry_forward
 from ferrylog.operators.components import connected_components
 from ferrylog.operators.numbering import number_rows
 from ferrylog.schema import DELETE, INSERT, UPDATE
-from ferrylog.session import is_empty, materialize
+from ferrylog.session import is_empty, materialize, materialize_while
 
 ORDER = ("file", "pos", "row_no")
 HOT_LIMIT = 10_000   # changes of one key (or component) folded in one piece
@@ -77,22 +77,22 @@ def _fold_keyed(target, ops, keys, order, hot_limit):
         F.struct(*[F.col("after").getField(k) for k in keys]))
     ops = _with_key(ops, keys).withColumn("moved", (F.col("op") == UPDATE) & moved)
     special = (ops.groupBy(*keys)
-                  .agg(F.count(F.lit(1)).alias("n"), F.max("moved").alias("moved"))
-                  .where((F.col("n") > hot_limit) | F.col("moved")))
-    if is_empty(special):
+                  .agg(F.count(F.lit(1)).alias("n"), F.max("moved").alias("moved")))
+    most = special.agg(F.max("n").alias("n"), F.max("moved").alias("moved")).first()
+    if not most.moved and (most.n or 0) <= hot_limit:
         return _fold_grouped(target, ops, keys, order)
 
-    special = materialize(special, "special-keys")
     parts, rest_target, rest_ops = [], target, ops
-    if not is_empty(special.where("moved")):
+    if most.moved:
         tied = _tied_keys(ops, keys)
         parts.append(_fold_tied(target.join(tied, keys), ops.join(tied, keys),
                                 target.schema, keys, order, hot_limit))
         rest_target = rest_target.join(tied, keys, "left_anti")
         rest_ops = rest_ops.join(tied, keys, "left_anti")
         special = special.join(tied, keys, "left_anti")
-    hot = special.where(F.col("n") > hot_limit).select(*keys)
-    if not is_empty(hot):
+    if most.n > hot_limit:
+        # Few by nature: each has more than hot_limit changes of its own.
+        hot = materialize(special.where(F.col("n") > hot_limit).select(*keys), "hot-keys")
         parts.append(_fold_hot(rest_target.join(hot, keys, "left_semi"),
                                rest_ops.join(hot, keys, "left_semi"),
                                target.schema, keys, order, hot_limit))
@@ -210,13 +210,15 @@ def _chase(nodes: DataFrame) -> DataFrame:
     Every round doubles the reach of all pointers with one equi join on unique ids,
     so the rounds are the logarithm of the longest chain.
     """
-    nodes = materialize(nodes, "chain")
-    while not is_empty(nodes.where("next IS NOT NULL")):
+    unfinished = F.col("next").isNotNull()
+    nodes, more = materialize_while(nodes, "chain", unfinished)
+    while more:
         ahead = nodes.select(F.col("n").alias("next"), F.col("next").alias("next2"),
                              F.col("end").alias("end2"))
-        nodes = materialize(nodes.where("next IS NULL").unionByName(
-            nodes.where("next IS NOT NULL").join(ahead, "next")
-                 .select("n", F.col("next2").alias("next"), F.col("end2").alias("end"))), "chain")
+        nodes, more = materialize_while(nodes.where(~unfinished).unionByName(
+            nodes.where(unfinished).join(ahead, "next")
+                 .select("n", F.col("next2").alias("next"), F.col("end2").alias("end"))),
+            "chain", unfinished)
     return nodes
 
 

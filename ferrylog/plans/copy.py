@@ -126,7 +126,7 @@ def _write_counted(target, df, table, cfg, mode="append") -> int:
     """Write and count in one pass."""
     seen = Observation()
     target.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), table, cfg.batch_size, mode)
-    return seen.get["rows"]
+    return seen.get.get("rows") or 0
 
 
 def _copy_range(part, step, target, cfg, stored, keys):

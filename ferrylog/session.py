@@ -7,7 +7,7 @@ import threading
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -88,5 +88,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_while(df: DataFrame, label: str, open_rows) -> tuple[DataFrame, bool]:
+    """Materialize one round of an iteration and tell whether rows remain open.
+
+    The count is observed while the rows are written, so it costs no job. A task
+    that runs twice can only count too many, which at worst adds a round.
+    """
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(open_rows).alias("open")), label)
+    return out, bool(seen.get.get("open"))
+
+
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).isEmpty()

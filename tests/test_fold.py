@@ -96,6 +96,16 @@ def test_any_cut_of_the_log_gives_the_same_table(spark):
     assert run(spark, middle, log[50:], ["k"]) == run(spark, rows, log, ["k"])
 
 
+@pytest.mark.parametrize("keys", [["k"], None])
+def test_empty_sides(spark, keys):
+    """No changes, no rows, and changes that all miss, on every path."""
+    rows, miss = [(1, "a", 1)], [("UPDATE", (1, "z", 1), (2, "z", 1)), ("DELETE", (1, "z", 1), None)]
+    assert run(spark, rows, miss, keys, hot_limit=1) == rows
+    assert run(spark, [], miss, keys, hot_limit=1) == []
+    nothing = spark.createDataFrame([], CHANGE)
+    assert apply_changes(spark.createDataFrame(rows, ROW), nothing, keys).count() == 1
+
+
 def test_components(spark):
     path = [(f"p{i}", f"p{i + 1}") for i in range(40)]
     edges = path + [("x", "y"), ("y", "x"), ("z", "y")]
