@@ -139,7 +139,7 @@ def _compose(key, pdf: pd.DataFrame, names) -> pd.DataFrame:
     for i, o in zip(steps["i"], steps["o"]):
         ends[i] = ends.get(o, o)
     kept = [(i, o) for i, o in ends.items() if i != o]
-    out = pd.DataFrame(kept, columns=["i", "o"])
+    out = pd.DataFrame(kept, columns=["i", "o"], dtype=object)
     for name, value in zip(names, key):
         out[name] = [value] * len(out)
     return out[[*names, "i", "o"]]
@@ -251,7 +251,7 @@ def _fold_components(pdf_rows: pd.DataFrame, pdf_ops: pd.DataFrame) -> pd.DataFr
             elif op.ka == op.kb or op.ka not in rows:
                 del rows[op.kb]
                 rows[op.ka] = op.o
-    return pd.DataFrame({"id": list(rows.values())}, columns=["id"])
+    return pd.DataFrame({"id": pd.Series(list(rows.values()), dtype=object)})
 
 
 def _fold_tied(target, ops, schema, keys, order, limit):

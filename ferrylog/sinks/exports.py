@@ -13,6 +13,7 @@ from ferrylog.functions.text import qualified_name
 from ferrylog.operators.once import compute_once
 from ferrylog.operators.numbering import STATEMENTS_PER_FILE, roll_files
 from ferrylog.session import materialize
+from ferrylog.sources.files import make_folder
 
 # Header lines of an export file and marks of an entry.
 HEADER = ("-- Binlog SQL Export\n"
@@ -65,7 +66,8 @@ def _writer(folder, stamp, generated):
                 stream.write("".join(part["text"]).encode())
                 done[-1][2] += len(part)
         close()
-        yield pd.DataFrame(done, columns=["file_no", "file_name", "statements"])
+        if done:
+            yield pd.DataFrame(done, columns=["file_no", "file_name", "statements"])
 
     return write
 
@@ -77,6 +79,7 @@ def export_numbered(numbered: DataFrame, folder: str, stamp: str, generated: str
     work and holds a bounded number of statements. Returns one row per file:
     ``(file_no, file_name, statements)``.
     """
+    make_folder(numbered.sparkSession, folder)  # there even if nothing is exported
     placed = (numbered.select("file_no", "statement_no", entry_text().alias("text"))
                       .repartition("file_no").sortWithinPartitions("file_no", "statement_no")
                       .select("file_no", "text"))

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_folder(spark: SparkSession, path: str):
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def child_names(spark: SparkSession, path: str, suffix="") -> list[str]:
     """Sorted names of the entries directly inside a folder."""
     fs, p = _fs(spark, path)
