@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, licences, sharding
+from ferrylog.llm import bpe, licences, repeats, sharding
 
 
 def _documents(spark, sf_dir):
@@ -24,5 +24,9 @@ def op8_license_scan(spark, sf_dir):
     return licences.licence_report(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_byte_bpe, op3_jump_sharding, op8_license_scan)}
+def op9_substring_dedup(spark, sf_dir):
+    return repeats.digest(_documents(spark, sf_dir))
+
+
+QUERIES = {q.__name__: q for q in (op2_byte_bpe, op3_jump_sharding, op8_license_scan, op9_substring_dedup)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL}
