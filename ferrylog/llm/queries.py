@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, licences, repeats, sharding
+from ferrylog.llm import bpe, licences, minhash, repeats, sharding
 
 
 def _documents(spark, sf_dir):
@@ -20,6 +20,10 @@ def op3_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(_documents(spark, sf_dir), 40)
 
 
+def op7_minmax_dedup(spark, sf_dir):
+    return minhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_license_scan(spark, sf_dir):
     return licences.licence_report(_documents(spark, sf_dir))
 
@@ -28,5 +32,5 @@ def op9_substring_dedup(spark, sf_dir):
     return repeats.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_byte_bpe, op3_jump_sharding, op8_license_scan, op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op2_byte_bpe, op3_jump_sharding, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL}
