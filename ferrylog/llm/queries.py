@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, licences, minhash, repeats, sharding
+from ferrylog.llm import bpe, language, licences, minhash, repeats, sharding
 
 
 def _documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark, sf_dir):
+    return language.identify(_documents(spark, sf_dir))
+
+
 def op2_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digest(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -32,5 +36,5 @@ def op9_substring_dedup(spark, sf_dir):
     return repeats.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_byte_bpe, op3_jump_sharding, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op1_language_id, op2_byte_bpe, op3_jump_sharding, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL}
