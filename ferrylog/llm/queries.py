@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, language, licences, minhash, repeats, sharding
+from ferrylog.llm import bpe, language, licences, minhash, quality, repeats, sharding
 
 
 def _documents(spark, sf_dir):
@@ -24,6 +24,10 @@ def op3_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(_documents(spark, sf_dir), 40)
 
 
+def op5_quality_divergence(spark, sf_dir):
+    return quality.quality_report(_documents(spark, sf_dir))
+
+
 def op7_minmax_dedup(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -36,5 +40,5 @@ def op9_substring_dedup(spark, sf_dir):
     return repeats.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_language_id, op2_byte_bpe, op3_jump_sharding, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op1_language_id, op2_byte_bpe, op3_jump_sharding, op5_quality_divergence, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL}

@@ -173,3 +173,25 @@ def seen_before(groups: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.
     other[order[1:]] = same
     other[order[:-1]] |= same
     return earlier, other
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; spans lie in order and do not overlap."""
+    out = np.zeros(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + PIECE, "right")))
+        a, b = int(start[i]), int(end[j - 1])
+        if b - a > PIECE:  # one long span, in pieces
+            for c in range(a, b, PIECE):
+                values = _BYTE[data[c:min(c + PIECE, b)]]
+                values *= _power(_BASE, len(values))
+                out[i] = mix(out[i:i + 1] + values.sum(dtype=np.uint64), 3)[0]
+        else:
+            values = _BYTE[data[a:b]]
+            values *= _power(_BASE, b - a)
+            total = np.append(_U(0), np.cumsum(values, dtype=np.uint64))
+            at, to = start[i:j] - a, end[i:j] - a
+            out[i:j] = (total[to] - total[at]) * _power(_INVERSE, b - a + 1)[at]
+        i = j
+    return mix(out + (end - start).astype(np.uint64))
