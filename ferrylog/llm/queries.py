@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, language, licences, minhash, quality, repeats, sharding
+from ferrylog.llm import bpe, language, licences, minhash, packing, quality, repeats, sharding, token_counts, topk
 
 
 def _documents(spark, sf_dir):
@@ -24,10 +24,18 @@ def op3_jump_sharding(spark, sf_dir):
     return sharding.shard_documents(_documents(spark, sf_dir), 40)
 
 
+def op4_swap_packing(spark, sf_dir):
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_quality_divergence(spark, sf_dir):
     return quality.quality_report(_documents(spark, sf_dir))
 
 
+def op6_token_counts(spark, sf_dir):
+    return token_counts.token_report(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_minmax_dedup(spark, sf_dir):
     return minhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -40,5 +48,11 @@ def op9_substring_dedup(spark, sf_dir):
     return repeats.digest(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_language_id, op2_byte_bpe, op3_jump_sharding, op5_quality_divergence, op7_minmax_dedup, op8_license_scan, op9_substring_dedup)}
+def op10_pivot_topk(spark, sf_dir):
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_language_id, op2_byte_bpe, op3_jump_sharding, op4_swap_packing, op5_quality_divergence, op6_token_counts,
+    op7_minmax_dedup, op8_license_scan, op9_substring_dedup, op10_pivot_topk)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL}
