@@ -7,23 +7,28 @@ that hits nothing is no error.
 With a key, and updates that keep it, keys are independent: the changes of a key
 fold over its row. Three cases need more, each exact and without a cap:
 
-* a key with very many changes is cut into pieces of the log; a piece becomes a
-  small map "row before -> row after", and maps are chained (``_fold_hot``);
+* a key with very many changes follows the chain of changes that land, found by
+  pointer doubling over its states, "no row" among them (``_fold_hot``);
 * updates that move a row to another key tie keys together; tied keys fold as one
   component, and a component too large for one task is applied in two halves of
   the log (``_fold_tied``);
 * a table without a key is a bag of rows, and every row follows its own chain of
   changes, found by pointer doubling (``_fold_bag``).
+
+All use one equality: values are equal as Spark compares them, NULL equals NULL, and
+maps are equal with equal entries. A NULL in a key is a value like any other. The
+limits choose the way, never the result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Optional, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ferrylog.functions.images import ABSENT, align, has_null, identity, pack
+from ferrylog.functions.images import ABSENT, align, has_map, has_null, identity, pack
 from ferrylog.operators.carry import CHUNK, carry_forward
 from ferrylog.operators.components import connected_components
 from ferrylog.operators.numbering import number_rows
@@ -31,7 +36,7 @@ from ferrylog.schema import DELETE, INSERT, UPDATE
 from ferrylog.session import is_empty, materialize, materialize_while
 
 ORDER = ("file", "pos", "row_no")
-HOT_LIMIT = 10_000   # changes of one key (or component) folded in one piece
+HOT_LIMIT = 10_000   # changes of one key (or component) folded in one array or call
 OPS_PER_GROUP = 50_000  # changes of tied keys per Python call, about
 
 
@@ -72,6 +77,13 @@ def _with_key(ops, keys):
     return ops.withColumns({k: image.getField(k) for k in keys})
 
 
+def _match(left, right, keys, how):
+    """Join on keys in which NULL equals NULL; the keys are those of the left side."""
+    right = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__right_{k}"]) for k in keys])
+    return left.join(right, same, how).drop(*[f"__right_{k}" for k in keys])
+
+
 def _fold_keyed(target, ops, keys, order, hot_limit):
     moved = ~F.struct(*[F.col("before").getField(k) for k in keys]).eqNullSafe(
         F.struct(*[F.col("after").getField(k) for k in keys]))
@@ -85,38 +97,56 @@ def _fold_keyed(target, ops, keys, order, hot_limit):
     parts, rest_target, rest_ops = [], target, ops
     if most.moved:
         tied = _tied_keys(ops, keys)
-        parts.append(_fold_tied(target.join(tied, keys), ops.join(tied, keys),
+        parts.append(_fold_tied(_match(target, tied, keys, "inner"), _match(ops, tied, keys, "inner"),
                                 target.schema, keys, order, hot_limit))
-        rest_target = rest_target.join(tied, keys, "left_anti")
-        rest_ops = rest_ops.join(tied, keys, "left_anti")
-        special = special.join(tied, keys, "left_anti")
+        rest_target = _match(rest_target, tied, keys, "left_anti")
+        rest_ops = _match(rest_ops, tied, keys, "left_anti")
+        special = _match(special, tied, keys, "left_anti")
     if most.n > hot_limit:
         # Few by nature: each has more than hot_limit changes of its own.
         hot = materialize(special.where(F.col("n") > hot_limit).select(*keys), "hot-keys")
-        parts.append(_fold_hot(rest_target.join(hot, keys, "left_semi"),
-                               rest_ops.join(hot, keys, "left_semi"),
-                               target.schema, keys, order, hot_limit))
-        rest_target = rest_target.join(hot, keys, "left_anti")
-        rest_ops = rest_ops.join(hot, keys, "left_anti")
+        parts.append(_fold_hot(_match(rest_target, hot, keys, "left_semi"),
+                               _match(rest_ops, hot, keys, "left_semi"), target.schema, keys, order))
+        rest_target = _match(rest_target, hot, keys, "left_anti")
+        rest_ops = _match(rest_ops, hot, keys, "left_anti")
     out = _fold_grouped(rest_target, rest_ops, keys, order)
     for part in parts:
         out = out.unionByName(part)
     return out
 
 
+def _in_order(steps, order, maps):
+    """Sorted steps. The order is unique, so what follows it in a step never decides; maps forbid the plain sort."""
+    if not maps:
+        return F.sort_array(steps)
+
+    def compare(a, b):
+        sign = F.lit(0)
+        for name in reversed(order):
+            sign = F.when(a[name] < b[name], F.lit(-1)).when(a[name] > b[name], F.lit(1)).otherwise(sign)
+        return sign
+
+    return F.array_sort(steps, compare)
+
+
 def _fold_grouped(target, ops, keys, order):
     """All changes of a key in one array, folded over the stored row.
 
     Full outer join: a key may be only stored, only changed, or both.
     """
+    maps = has_map(target.schema)
     step = F.struct(*order, "op", "before", "after")
-    logs = ops.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("__log"))
+    logs = ops.groupBy(*keys).agg(_in_order(F.collect_list(step), order, maps).alias("__log"))
     image_type = target.schema.simpleString()
     stored = target.select(*keys, pack(target.columns).alias("__row"))
 
+    def equal(row, image):
+        if maps:
+            return identity(row, target.schema) == identity(image, target.schema)
+        return row.eqNullSafe(image)
+
     def advance(row, c):
-        lands = F.when(c["op"] == INSERT, row.isNull()).otherwise(
-            row.isNotNull() & row.eqNullSafe(c["before"]))
+        lands = F.when(c["op"] == INSERT, row.isNull()).otherwise(row.isNotNull() & equal(row, c["before"]))
         return F.when(lands, c["after"]).otherwise(row)
 
     # Both branches of the outer join meet as one nullable struct.
@@ -125,70 +155,37 @@ def _fold_grouped(target, ops, keys, order):
         F.aggregate("__log", start, advance))
     # A generator evaluates the fold once; a filter on it would be pushed below
     # the projection and fold every log twice.
-    return (stored.join(logs, keys, "full_outer")
+    return (_match(stored, logs, keys, "full_outer")
                   .select(F.inline(F.array_compact(F.array(folded)))))
 
 
-def _compose(key, pdf: pd.DataFrame, names) -> pd.DataFrame:
-    """Compose the changes of one piece into a map row-before -> row-after.
+def _fold_hot(target, ops, schema, keys, order):
+    """Fold keys with many changes, however many: pointers instead of arrays.
 
-    Walking backwards, a change (i -> o) sends i to wherever o ends up.
-    """
-    ends = {}
-    steps = pdf.sort_values("n", ascending=False)
-    for i, o in zip(steps["i"], steps["o"]):
-        ends[i] = ends.get(o, o)
-    kept = [(i, o) for i, o in ends.items() if i != o]
-    out = pd.DataFrame(kept, columns=["i", "o"], dtype=object)
-    for name, value in zip(names, key):
-        out[name] = [value] * len(out)
-    return out[[*names, "i", "o"]]
-
-
-def _fold_hot(target, ops, schema, keys, order, piece):
-    """Fold keys with many changes: pieces of the log in parallel, then pointers.
-
-    Rows are known by digest. Pieces are cut by global row number, so a piece has
-    at most ``piece`` changes; each becomes a map of entries. An entry whose start
-    is neither the stored row nor the end of another entry cannot be reached and
-    is dropped, which leaves about one per piece where changes follow each other.
-    The entries then form chains over the pieces, followed by pointer doubling.
+    The state of a key is the digest of its row, or ABSENT. A change leaves the state
+    of its before image and arrives at that of its after image; after it has landed,
+    the next one to land is the first later change that leaves where it arrived.
     """
-    ops = number_rows(ops.select(*keys, *order, "after",
-                                 identity("before", schema).alias("i"),
+    kind = T.StructType([schema[k] for k in keys])
+    key = identity(pack(keys), kind).alias("kid")
+    ops = number_rows(ops.select(key, *order, "after", identity("before", schema).alias("i"),
                                  identity("after", schema).alias("o")), order, "n")
-    stored = target.select(*keys, pack(schema.names).alias("row"))
-    start = materialize(
-        ops.select(*keys).distinct().join(stored, keys, "left")
-           .withColumn("s", identity("row", schema)), "hot-start")
-    names = [*keys, "block"]
-    shape = ops.select(*keys).schema.add("block", "long").add("i", "string").add("o", "string")
-    entries = materialize(
-        ops.select(*keys, "n", "i", "o",
-                   F.floor((F.col("n") - 1) / F.lit(piece)).cast("long").alias("block"))
-           .groupBy(*names).applyInPandas(lambda key, pdf: _compose(key, pdf, names), shape),
-        "hot-entries")
-    reached = (entries.select(*keys, F.col("o").alias("i"))
-                      .union(start.select(*keys, "s")).distinct())
-    entries = materialize(entries.join(reached, [*keys, "i"], "left_semi")
-                                 .withColumn("n", F.monotonically_increasing_id()), "hot-reached")
-
-    leaves = entries.select(*keys, F.col("i").alias("id"), (-2 * F.col("block")).alias("t"),
-                            F.col("n").alias("leave"))
-    arrives = entries.select(*keys, F.col("o").alias("id"), (-2 * F.col("block") - 1).alias("t"),
-                             F.lit(None).cast("long").alias("leave")).distinct()
-    ahead = _next_leave(leaves, arrives, [*keys, "id"])
-    nodes = _chase(entries.withColumn("t", -2 * F.col("block") - 1).withColumnRenamed("o", "id")
-                          .join(ahead, [*keys, "id", "t"])
-                          .select("n", "next", F.col("id").alias("end")))
-    first = (leaves.groupBy(*keys, F.col("id").alias("s")).agg(F.max_by("leave", "t").alias("n"))
-                   .join(nodes, "n").select(*keys, "s", "end"))
-    ends = (start.join(first, [*keys, "s"], "left")
+    stored = target.select(key, pack(schema.names).alias("row"))
+    start = materialize(ops.select("kid").distinct().join(stored, "kid", "left")
+                           .withColumn("s", identity("row", schema)), "hot-start")
+    leaves = ops.select("kid", F.col("i").alias("id"), (-2 * F.col("n")).alias("t"), F.col("n").alias("leave"))
+    arrives = ops.select("kid", F.col("o").alias("id"), (-2 * F.col("n") - 1).alias("t"),
+                         F.lit(None).cast("long").alias("leave"))
+    ahead = _next_leave(leaves, arrives, ["kid", "id"])
+    nodes = _chase(ahead.select(((-F.col("t") - 1) / 2).cast("long").alias("n"), "next", F.col("id").alias("end")))
+    first = (leaves.groupBy("kid", F.col("id").alias("s")).agg(F.min("leave").alias("n"))
+                   .join(nodes, "n").select("kid", "s", "end"))
+    ends = (start.join(first, ["kid", "s"], "left")
                  .withColumn("o", F.coalesce("end", "s")).where(F.col("o") != ABSENT))
     kept = ends.where(F.col("o") == F.col("s")).select("row.*")
-    changed = ends.where(F.col("o") != F.col("s")).select(*keys, "o")
-    rows = (ops.join(changed, [*keys, "o"], "left_semi")
-               .groupBy(*keys).agg(F.first("after").alias("row")).select("row.*"))
+    changed = ends.where(F.col("o") != F.col("s")).select("kid", "o")
+    rows = (ops.join(changed, ["kid", "o"], "left_semi")
+               .groupBy("kid").agg(F.first("after").alias("row")).select("row.*"))
     return kept.unionByName(rows)
 
 
@@ -229,8 +226,8 @@ def _tied_keys(ops, keys):
     moves = ops.where("moved").select(
         F.struct(*[F.col("before").getField(k).alias(k) for k in keys]).alias("a"),
         F.struct(*[F.col("after").getField(k).alias(k) for k in keys]).alias("b"))
-    kid = lambda c: F.sha2(F.to_json(c, {"ignoreNullFields": "false"}), 256)
-    moves = materialize(moves.select("a", "b", kid("a").alias("src"), kid("b").alias("dst"))
+    kind = ops.select(*keys).schema
+    moves = materialize(moves.select("a", "b", identity("a", kind).alias("src"), identity("b", kind).alias("dst"))
                              .distinct(), "moves")
     labels = connected_components(moves.select("src", "dst"))
     names = (moves.select(F.col("a").alias("k"), F.col("src").alias("id"))
@@ -267,7 +264,7 @@ def _fold_tied(target, ops, schema, keys, order, limit):
 
     def kid(image):
         key = F.struct(*[F.col(image).getField(k).alias(k) for k in keys])
-        return F.when(F.col(image).isNotNull(), F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256))
+        return F.when(F.col(image).isNotNull(), identity(key, T.StructType([schema[k] for k in keys])))
 
     # Many small components share a task; the number of groups grows with the log.
     groups = max((ops.agg(F.max("n")).first()[0] or 0) // OPS_PER_GROUP, 1) * 8

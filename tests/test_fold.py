@@ -114,3 +114,37 @@ def test_components(spark):
     for r in out.collect():
         groups.setdefault(r.component, set()).add(r.id)
     assert sorted(map(len, groups.values())) == [3, 41]
+
+
+
+@pytest.mark.parametrize("limit", [1, 10_000])
+def test_equality_is_one_on_every_path(spark, limit):
+    """Local time that occurs twice, signed zeros and maps compare alike whatever the limit."""
+
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        spark.sql(f"""SELECT k, timestamp_seconds(s) AS at, f, map('x', 1, 'y', 2) AS m,
+            array(named_struct('t', timestamp_seconds(s), 'd', f)) AS a
+            FROM VALUES (1L, 1762061400, 0.0D), (2L, 1762065000, 0.0D), (3L, 1762061400, 1.0D) AS v(k, s, f)""").createOrReplaceTempView("wide_rows")
+        made = lambda k, s, f, keys: f"named_struct('k', {k}L, 'at', timestamp_seconds({s}), 'f', {f}D, 'm', {keys}, 'a', array(named_struct('t', timestamp_seconds({s}), 'd', {f}D)))"
+        plain, turned = "map('x', 1, 'y', 2)", "map('y', 2, 'x', 1)"
+        steps = [(made(1, 1762065000, "0.0", plain), made(1, 9, "7.0", plain)),      # the other 01:30: no hit
+                 (made(2, 1762065000, "-0.0", turned), made(2, 9, "8.0", plain)),    # equal
+                 (made(2, 9, "8.0", turned), made(2, 10, "9.0", plain)),
+                 (made(3, 1762061400, "1.0", "map('x', 1, 'y', 3)"), made(3, 9, "7.0", plain))]  # another map: no hit
+        log = spark.sql(" UNION ALL ".join(f"SELECT 'f' AS file, {i}L AS pos, 0 AS row_no, 'UPDATE' AS op, {b} AS before, {a} AS after"
+                                           for i, (b, a) in enumerate(steps)))
+        out = apply_changes(spark.table("wide_rows"), log, ["k"], hot_limit=limit)
+        assert sorted((r.k, r.f) for r in out.select("k", "f").collect()) == [(1, 0.0), (2, 9.0), (3, 1.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("limit", [2, 10_000])
+def test_null_keys_are_values(spark, limit):
+    rows = [(None, "a", 1), (2, "b", 2)]
+    log = [("UPDATE", (None, "a", 1), (None, "b", 1)), ("INSERT", None, (None, "c", 1)), ("UPDATE", (None, "b", 1), (None, "d", None)),
+           ("DELETE", (2, "b", 2), None)]
+    assert run(spark, rows, log, ["k"], hot_limit=limit) == apply_keyed(rows, log, key) == [(None, "d", None)]
