@@ -35,7 +35,7 @@ def p2(spark, sf):
 
 @check("p2_resume_filter_no_bound", ORDERS_ALL)
 def p2_none(spark, sf):
-    return copying.resume_filter(table(spark, sf, "orders"), "o_orderkey", 0)
+    return copying.resume_filter(table(spark, sf, "orders"), "o_orderkey", None)
 
 
 @check("p2_resume_after_composite", """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
@@ -209,6 +209,31 @@ def k4(spark, sf):
     return applied.read()
 
 
+def _cast_keys(images, kind):
+    """The images with keys of another type than the stored table's."""
+    cast = lambda image: F.when(F.col(image).isNotNull(), F.col(image).withField("k", F.col(image)["k"].cast(kind)))
+    return images.withColumns({"before": cast("before"), "after": cast("after")})
+
+
+def _applied_with(spark, sf, kind):
+    applied = AppliedTable(spark, scratch_path(spark, "applied"), ["k"], buckets=64)
+    applied.create(base(spark, sf))
+    changes = _cast_keys(row_changes(spark, sf), kind)
+    for name, part in (("a", changes.where("file <= 'binlog.000012'")), ("b", changes.where("file > 'binlog.000012'"))):
+        applied.apply(part, name)
+    return applied.read()
+
+
+@check("k4_apply_changes_int_keys", FINAL_SAFE_SQL)
+def k4_int(spark, sf):
+    return _applied_with(spark, sf, "int")
+
+
+@check("k4_apply_changes_text_keys", FINAL_SAFE_SQL)
+def k4_text(spark, sf):
+    return _applied_with(spark, sf, "string")
+
+
 # --- targets and outcomes ---------------------------------------------------
 
 @check("k1_write_table", ORDERS_ALL)

@@ -17,8 +17,8 @@ def project_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def resume_filter(df: DataFrame, key: Optional[str], last_id, ordered=True) -> DataFrame:
-    """Rows past the last copied key in key order; without key or id, the whole table."""
-    if not key or not last_id:
+    """Rows past the last copied key in key order; without key or id, the whole table. 0 is an id."""
+    if not key or last_id is None:
         return df
     rest = df.where(F.col(key) > F.lit(last_id))
     return rest.orderBy(key) if ordered else rest

@@ -17,7 +17,8 @@ from ferrylog.operators.copying import (has_bad_rows, plan_copy, project_columns
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
 from ferrylog.sinks.tables import BATCH_SIZE, JdbcTable, create_tables, write_table
-from ferrylog.sources.files import exists
+from ferrylog.session import delete_path
+from ferrylog.sources.files import child_names, exists, make_folder, move
 from ferrylog.sources.tables import (attach_keys, column_catalog, primary_keys, row_counts,
                                      skip_empty_tables)
 
@@ -65,6 +66,32 @@ class FolderTarget:
     def write(self, df, table, batch_size, mode="append"):
         write_table(df, self.path(table), batch_size, mode)
 
+    def write_once(self, df, table, batch_size, stage) -> int:
+        """Append rows without a key exactly once, however often it is tried.
+
+        They are written apart, then their files move over one by one; what has moved
+        is no longer there to move. The stage stays until the caller has noted the end.
+        """
+        if not exists(self.spark, f"{stage}/_SUCCESS"):
+            self.write_stage(df, stage, batch_size)
+        rows = self.spark.read.parquet(f"{stage}-count").first()[0]
+        make_folder(self.spark, self.path(table))
+        for name in child_names(self.spark, stage, ".parquet"):
+            move(self.spark, f"{stage}/{name}", f"{self.path(table)}/{name}")
+        return rows
+
+    def write_stage(self, df, stage, batch_size):
+        seen = Observation()
+        write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{stage}-new", batch_size, "overwrite")
+        self.spark.createDataFrame([(seen.get.get("rows") or 0,)], "rows long").write.mode("overwrite").parquet(f"{stage}-count")
+        delete_path(self.spark, stage)
+        move(self.spark, f"{stage}-new", stage)
+
+
+def _missing_rows(df, stored):
+    """The rows of ``df`` that ``stored`` has not, repeated rows counted."""
+    return df if stored is None else df.exceptAll(stored.select(*df.columns))
+
 
 class CatalogTarget:
     """Targets as tables of a session-catalog database."""
@@ -82,6 +109,12 @@ class CatalogTarget:
     def write(self, df, table, batch_size, mode="append"):
         df.write.mode(mode).saveAsTable(f"`{self.database}`.`{table}`")
 
+    def write_once(self, df, table, batch_size, stage) -> int:
+        """Append what is not there yet; older equal rows count as there."""
+        rows = df.count()
+        self.write(_missing_rows(df, self.read(table)), table, batch_size)
+        return rows
+
 
 class JdbcTarget:
     """Targets as JDBC tables, created by the first write."""
@@ -93,14 +126,36 @@ class JdbcTarget:
         return [(t, True, None) for t in tables]
 
     def read(self, table):
+        """The stored table, or None if the database says that there is none; other errors are raised."""
         try:
             return self.spark.read.jdbc(self.url, table, properties=self.properties)
-        except Exception:  # noqa: BLE001 - not there yet
-            return None
+        except Exception as e:  # noqa: BLE001 - raised again unless the table is missing
+            if self._missing(e):
+                return None
+            raise
+
+    @staticmethod
+    def _missing(error) -> bool:
+        """SQLSTATE class 42 with a missing table: 42S02, 42P01 (as others write it), 42X05."""
+        cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+        while cause is not None:
+            if hasattr(cause, "getSQLState"):
+                try:
+                    return cause.getSQLState() in ("42S02", "42P01", "42X05")
+                except Exception:  # noqa: BLE001 - no SQL error
+                    pass
+            cause = cause.getCause()
+        return False
 
     def write(self, df, table, batch_size, mode="append"):
         write_table(df, JdbcTable(self.url, table, self.properties), batch_size, mode)
 
+    def write_once(self, df, table, batch_size, stage) -> int:
+        """Append what is not there yet; older equal rows count as there."""
+        rows = df.count()
+        self.write(_missing_rows(df, self.read(table)), table, batch_size)
+        return rows
+
 
 def key_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
     """Upper ends of about equal key ranges (``ranges`` values, last one the maximum)."""
@@ -143,8 +198,9 @@ def _copy_range(part, step, target, cfg, stored, keys):
         refused = quarantine.agg(F.sum("copies")).first()[0] or 0
         if cfg.quarantine_path:
             quarantine.write.mode("append").parquet(f"{cfg.quarantine_path}/{table}")
-    mode = "overwrite" if not keys and step.decision == "resume" else "append"
-    return there + _write_counted(target, part, table, cfg, mode), refused
+    if not keys:
+        return target.write_once(part, table, cfg.batch_size, f"{cfg.ledger_path}-stage/{table}"), refused
+    return there + _write_counted(target, part, table, cfg), refused
 
 
 def _copy_table(spark, source, target, cfg, step, columns, key, keys):
@@ -156,14 +212,14 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     table, done, bad = step.table_name, step.migrated_rows, 0
     rows = project_columns(source.read(table), columns)
     numeric = key is not None and isinstance(rows.schema[key].dataType, T.IntegralType)
-    last = step.last_migrated_id if numeric else None
+    last = step.last_migrated_id if numeric and step.migrated_rows else None  # nothing copied, no bound
     split = source.key_range(table, key, cfg.read_partitions) if numeric else None
     if split is not None:
         rows = project_columns(source.read(table, split), columns)
 
     def note(status):
         append_progress(_ledger_row(spark, table_name=table, total_rows=step.total_rows,
-                                    migrated_rows=done, last_migrated_id=last or 0, status=status),
+                                    migrated_rows=done, last_migrated_id=last, status=status),
                         cfg.ledger_path)
 
     note(step.status)
@@ -174,7 +230,7 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     for i, bound in enumerate(bounds, 1):
         part, stored = rest, target.read(table) if keys else None
         if bound is not None:
-            at, fresh = F.col(key), not last
+            at, fresh = F.col(key), last is None
             inside = (at <= F.lit(bound)) if fresh else (at > F.lit(last)) & (at <= F.lit(bound))
             # Rows without a key belong to the first range, where they are refused.
             part = part.where(inside | at.isNull() if fresh else inside)
@@ -182,6 +238,9 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
         copied, refused = _copy_range(part, step, target, cfg, stored, keys)
         done, bad, last = done + copied, bad + refused, bound if bound is not None else last
         note("COMPLETED" if i == len(bounds) else step.status)
+    if not keys:
+        for suffix in ("", "-count"):
+            delete_path(spark, f"{cfg.ledger_path}-stage/{table}{suffix}")
     return done, bad
 
 

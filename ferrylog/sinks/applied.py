@@ -1,81 +1,138 @@
 """A keyed table that changes are applied to, in hash buckets of its key.
 
-Only buckets with changes are read and rewritten. A batch is first staged in the
-table's own ``stage`` folder, then copied over its buckets, then recorded; each
-step can be repeated, so a lost driver or a retried micro-batch changes nothing.
+Only buckets with changes are read and rewritten. A version of the table is a small
+manifest: for each bucket the folder that holds its rows. A batch writes the new
+buckets beside the old ones and then publishes a manifest named after itself; a
+reader sees the version before or the one after, and a batch that is run again finds
+its name or writes its folder anew. One writer at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+from typing import NamedTuple, Optional
 
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from ferrylog.functions.images import align
 from ferrylog.operators.fold import HOT_LIMIT, ORDER, apply_changes
-from ferrylog.session import delete_path
-from ferrylog.sources.files import exists
+from ferrylog.session import delete_path, scratch_path
+from ferrylog.sources.files import child_names, exists, folder_bytes
+
+_BUCKET = "__bucket"
+#: Tasks that may write one bucket, and the size of a bucket when the table is created.
+SHARES, BUCKET_BYTES = 8, 512 << 20
+
 
-_BUCKET, _LIVE = "__bucket", "__live"
+class Version(NamedTuple):
+    """A published state: folder of each bucket that has rows, number of buckets, columns."""
+
+    number: int
+    folders: dict
+    buckets: int
+    schema: T.StructType
 
 
 class AppliedTable:
-    def __init__(self, spark: SparkSession, root: str, keys, buckets=64, null_match="safe",
+    def __init__(self, spark: SparkSession, root: str, keys, buckets: Optional[int] = None, null_match="safe",
                  hot_limit=HOT_LIMIT):
+        """``buckets`` counts for ``create`` only; by default it follows from the size of the rows."""
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.buckets = list(keys), buckets
         self.null_match, self.hot_limit = null_match, hot_limit
-        self.data, self.log = f"{self.root}/data", f"{self.root}/applied"
+        self.data, self.versions = f"{self.root}/data", f"{self.root}/versions"
 
-    def _bucket(self, columns):
-        return F.pmod(F.xxhash64(*columns), F.lit(self.buckets)).cast("int")
+    # --- versions -----------------------------------------------------------
 
-    def _write(self, rows: DataFrame, path: str, mode: str):
-        """One task per bucket and share of rows; an empty marker keeps every bucket present."""
-        ids = self.spark.range(self.buckets).select(F.col("id").cast("int").alias(_BUCKET))
-        (rows.repartition(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(1 << 20)) % 8)
-             .unionByName(ids.withColumn(_LIVE, F.lit(False)), allowMissingColumns=True)
-             .write.partitionBy(_BUCKET).mode(mode)
-             .option("partitionOverwriteMode", "dynamic").parquet(path))
+    def _published(self) -> list[str]:
+        return [n for n in child_names(self.spark, self.versions) if exists(self.spark, f"{self.versions}/{n}/_SUCCESS")]
 
-    def create(self, rows: DataFrame):
-        keyed = rows.withColumns({_BUCKET: self._bucket(self.keys), _LIVE: F.lit(True)})
-        self._write(keyed, self.data, "overwrite")
+    def _current(self) -> Version:
+        names = self._published()
+        if not names:
+            raise RuntimeError(f"{self.root} holds no table")
+        rows = self.spark.read.parquet(f"{self.versions}/{names[-1]}").collect()  # a row per bucket
+        head = next(r for r in rows if r.bucket < 0)
+        spec = json.loads(head.folder)
+        return Version(int(names[-1].split("-")[0]), {r.bucket: r.folder for r in rows if r.bucket >= 0},
+                       spec["buckets"], T.StructType.fromJson(spec["schema"]))
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.parquet(self.data)
-
-    def read(self) -> DataFrame:
-        return self._stored().where(_LIVE).drop(_LIVE, _BUCKET)
+    def _publish(self, name, version: Version):
+        spec = json.dumps({"buckets": version.buckets, "schema": version.schema.jsonValue()})
+        rows = [(-1, spec), *version.folders.items()]
+        (self.spark.createDataFrame(rows, "bucket int, folder string").coalesce(1)
+             .write.mode("overwrite").parquet(f"{self.versions}/{name}"))
 
     def is_applied(self, batch: str) -> bool:
-        return exists(self.spark, f"{self.log}/{batch}")
+        return any(n.partition("-")[2] == batch for n in self._published())
+
+    def vacuum(self):
+        """Delete the buckets that the current version does not use; readers of older ones must be done."""
+        used = self._current().folders
+        for folder in child_names(self.spark, self.data):
+            for bucket in child_names(self.spark, f"{self.data}/{folder}"):
+                if bucket.startswith(f"{_BUCKET}=") and used.get(int(bucket.partition("=")[2])) != folder:
+                    delete_path(self.spark, f"{self.data}/{folder}/{bucket}")
+
+    # --- rows ---------------------------------------------------------------
+
+    def _bucket(self, columns, buckets):
+        return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+    def _rows(self, version: Version, wanted=None) -> DataFrame:
+        paths = [f"{self.data}/{folder}/{_BUCKET}={b}" for b, folder in sorted(version.folders.items())
+                 if wanted is None or b in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], version.schema)
+        return self.spark.read.schema(version.schema).parquet(*paths)
+
+    def _write(self, rows: DataFrame, folder: str, buckets: int) -> list[int]:
+        """Write rows by bucket, several tasks each; returns the buckets that got rows.
+
+        The share of a row comes from a hash of its own, independent of the bucket's.
+        """
+        share = F.pmod(F.xxhash64(F.lit("share"), *self.keys), F.lit(SHARES))
+        (rows.withColumn(_BUCKET, self._bucket(self.keys, buckets)).repartition(_BUCKET, share)
+             .write.partitionBy(_BUCKET).mode("overwrite").parquet(f"{self.data}/{folder}"))
+        names = child_names(self.spark, f"{self.data}/{folder}")
+        return [int(n.partition("=")[2]) for n in names if n.startswith(f"{_BUCKET}=")]
+
+    def create(self, rows: DataFrame):
+        """Replace the table by ``rows``."""
+        buckets, staged = self.buckets, None
+        if buckets is None:
+            staged = scratch_path(self.spark, "applied")
+            rows.write.parquet(staged)
+            rows = self.spark.read.schema(rows.schema).parquet(staged)
+            buckets = max(8, -(-folder_bytes(self.spark, staged) // BUCKET_BYTES))
+        names = self._published()
+        number = int(names[-1].split("-")[0]) + 1 if names else 0
+        folder = f"{number:012d}"
+        written = self._write(rows, folder, buckets)
+        self._publish(folder, Version(number, dict.fromkeys(written, folder), buckets, rows.schema))
+        if staged:
+            delete_path(self.spark, staged)
+
+    def read(self) -> DataFrame:
+        return self._rows(self._current())
 
     def apply(self, changes: DataFrame, batch: str, order=ORDER):
         """Apply one named batch once; repeating the name is a no-op."""
         if self.is_applied(batch):
             return
-        stage = f"{self.root}/stage/{batch}"
-        if not exists(self.spark, f"{stage}/_SUCCESS"):
-            self._stage(changes, stage, order)
-        staged = self.spark.read.parquet(stage)
-        (staged.repartition(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(1 << 20)) % 8)
-               .write.partitionBy(_BUCKET).mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").parquet(self.data))
-        self.spark.range(0, 1, 1, 1).selectExpr("current_timestamp() AS applied_at").write.mode(
-            "overwrite").parquet(f"{self.log}/{batch}")
-        delete_path(self.spark, stage)
-
-    def _stage(self, changes, stage, order):
-        before = [F.col("before").getField(k) for k in self.keys]
-        after = [F.col("after").getField(k) for k in self.keys]
-        hit = (changes.select(F.explode(F.array(
-            F.when(F.col("before").isNotNull(), self._bucket(before)),
-            F.when(F.col("after").isNotNull(), self._bucket(after)))).alias("b"))
-            .where("b IS NOT NULL").distinct())
-        touched = [r.b for r in hit.collect()]  # at most one row per bucket
-        current = (self._stored().where(F.col(_BUCKET).isin(touched)).where(_LIVE)
-                       .drop(_LIVE, _BUCKET))
-        after_rows = apply_changes(current, changes, self.keys, self.null_match, order,
-                                   self.hot_limit)
-        ids = self.spark.range(self.buckets).select(F.col("id").cast("int").alias(_BUCKET))
-        marks = ids.where(F.col(_BUCKET).isin(touched)).withColumn(_LIVE, F.lit(False))
-        rows = after_rows.withColumns({_BUCKET: self._bucket(self.keys), _LIVE: F.lit(True)})
-        rows.unionByName(marks, allowMissingColumns=True).write.mode("overwrite").parquet(stage)
+        now = self._current()
+        # Images get the stored types first: a hash of a key depends on its type.
+        typed = changes.withColumns({"before": align("before", now.schema), "after": align("after", now.schema)})
+        keys = [[F.col(image).getField(k) for k in self.keys] for image in ("before", "after")]
+        hit = (typed.select(F.explode(F.array(*[F.when(F.col(image).isNotNull(), self._bucket(k, now.buckets))
+                                                for image, k in zip(("before", "after"), keys)])).alias("b"))
+               .where("b IS NOT NULL").distinct())
+        touched = {r.b for r in hit.collect()}  # at most one row per bucket
+        after = apply_changes(self._rows(now, touched), typed, self.keys, self.null_match, order, self.hot_limit)
+        folder = f"{now.number + 1:012d}"
+        written = self._write(after.select(*now.schema.names), folder, now.buckets)
+        if not touched.issuperset(written):
+            delete_path(self.spark, f"{self.data}/{folder}")
+            raise RuntimeError(f"rows belong to buckets that were not read: {sorted(set(written) - touched)}")
+        folders = {b: f for b, f in now.folders.items() if b not in touched} | dict.fromkeys(written, folder)
+        self._publish(f"{folder}-{batch}", now._replace(number=now.number + 1, folders=folders))

@@ -27,3 +27,14 @@ def child_names(spark: SparkSession, path: str, suffix="") -> list[str]:
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
     return sorted(n for n in names if n.endswith(suffix))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def move(spark: SparkSession, source: str, target: str):
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot move {source} to {target}")

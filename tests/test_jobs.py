@@ -225,14 +225,17 @@ def test_a_repeated_batch_is_applied_once(spark, tmp_path):
     assert rows_of(applied.read()) == [(1, "a")]
 
 
-def test_a_crash_after_staging_is_finished(spark, tmp_path):
+def test_a_crash_before_publishing_is_finished(spark, tmp_path, monkeypatch):
     applied, _, _ = replay_parts(spark, tmp_path)
     applied.create(spark.createDataFrame([(i, "a") for i in range(20)], SCHEMA))
     log = changes(spark, [(i, 0, "DELETE", (i, "a"), None) for i in range(10)])
-    applied._stage(log, f"{applied.root}/stage/b", ("file", "pos", "row_no"))
-    assert applied.read().count() == 20
-    applied.apply(log.limit(0), "b")  # the staged rows count, not the new input
-    assert rows_of(applied.read()) == [(i, "a") for i in range(10, 20)]
+    with monkeypatch.context() as broken:
+        broken.setattr(applied, "_publish", lambda *a: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(OSError):
+            applied.apply(log, "b")
+    assert not applied.is_applied("b") and applied.read().count() == 20
+    applied.apply(log, "b")
+    assert applied.is_applied("b") and [k for k, _ in rows_of(applied.read())] == sorted(range(10, 20), key=repr)
 
 
 def test_buckets_without_changes_are_not_rewritten(spark, tmp_path):
@@ -314,3 +317,87 @@ def test_micro_batches_leave_no_scratch(spark, tmp_path):
 def test_scratch_folder_is_the_sessions(spark):
     from ferrylog.session import scratch_root
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# --- applied tables ---------------------------------------------------------
+
+def test_keys_of_another_type_reach_the_stored_buckets(spark, tmp_path):
+    stored = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    for kind in ("bigint", "int", "string"):
+        applied = AppliedTable(spark, str(tmp_path / kind), ["k"], buckets=64)
+        applied.create(stored)
+        made = f"SELECT 'f' AS file, {{}}L AS pos, 0 AS row_no, '{{}}' AS op, {{}} AS before, {{}} AS after"
+        image = lambda k, v: f"named_struct('k', cast({k} AS {kind}), 'v', '{v}')"
+        none = f"cast(NULL AS struct<k:{kind},v:string>)"
+        log = spark.sql(" UNION ALL ".join([made.format(1, "UPDATE", image(7, "old"), image(7, "new")),
+                                            made.format(2, "INSERT", none, image(1000, "a")), made.format(3, "INSERT", none, image(1001, "b"))]))
+        applied.apply(log, "one")
+        rows = {r.k: r.v for r in applied.read().collect()}
+        assert len(rows) == 1002 and rows[7] == "new" and rows[8] == "old" and rows[1001] == "b"
+
+
+def test_versions_of_an_applied_table(spark, tmp_path):
+    applied = AppliedTable(spark, str(tmp_path / "table"), ["k"], buckets=4)
+    applied.create(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA))
+    old = applied.read()
+    log = changes(spark, [(1, 0, "DELETE", (1, "a"), None), (2, 0, "DELETE", (2, "b"), None)])
+    applied.apply(log, "gone")
+    applied.apply(changes(spark, [(3, 0, "INSERT", None, (1, "again"))]), "gone")  # the name was applied
+    assert applied.is_applied("gone") and not applied.is_applied("other")
+    assert applied.read().count() == 0 and rows_of(old) == [(1, "a"), (2, "b")]  # a reader keeps its version
+    # A batch that died before it published leaves a folder; the next one writes it anew.
+    (tmp_path / "table/data/000000000002/__bucket=1").mkdir(parents=True)
+    applied.apply(changes(spark, [(3, 0, "INSERT", None, (5, "e"))]), "more")
+    applied.vacuum()
+    assert rows_of(applied.read()) == [(5, "e")]
+    assert not list((tmp_path / "table/data/000000000000").glob("__bucket=*"))
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        applied = AppliedTable(spark, str(tmp_path / "table"), ["k"], buckets=1)
+        applied.create(spark.range(4000).selectExpr("id AS k", "'x' AS v"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "table/data").glob("*/__bucket=0/*.parquet"))) > 2
+
+
+def test_buckets_follow_the_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ferrylog.sinks.applied.BUCKET_BYTES", 1000)
+    applied = AppliedTable(spark, str(tmp_path / "table"), ["k"])
+    applied.create(spark.range(20000).selectExpr("id AS k", "md5(cast(id AS string)) AS v"))
+    assert applied._current().buckets > 100 and applied.read().count() == 20000
+
+
+# --- keys and resumes of a copy ---------------------------------------------
+
+def test_copy_of_signed_keys(spark, tmp_path):
+    """The bound 0 is a bound: the second range starts after it."""
+    spark.range(-100, 101).selectExpr("id AS k").write.parquet(str(tmp_path / "src/signed.parquet"))
+    source, target = DirectorySource(spark, str(tmp_path / "src"), keys={"signed": ["k"]}), FolderTarget(spark, str(tmp_path / "t"))
+    result = full_copy(spark, source, target, config(tmp_path, ranges=2)).first()
+    assert (result.copied, result.refused, result.error) == (201, 0, None)
+    assert target.read("signed").distinct().count() == target.read("signed").count() == 201
+
+
+def test_keyless_resume_keeps_older_rows(spark, tmp_path):
+    spark.range(5).selectExpr("id AS v").write.parquet(str(tmp_path / "src/loose.parquet"))
+    source, target, cfg = DirectorySource(spark, str(tmp_path / "src")), FolderTarget(spark, str(tmp_path / "t")), config(tmp_path)
+    spark.range(3).selectExpr("id + 100 AS v").write.parquet(str(tmp_path / "t/loose.parquet"))
+    stage = f"{cfg.ledger_path}-stage/loose"
+    target.write_stage(source.read("loose"), stage, 1000)  # a run that died while its files moved
+    moved = sorted((tmp_path / "ledger-stage/loose").glob("*.parquet"))[0]
+    moved.rename(tmp_path / "t/loose.parquet" / moved.name)
+    append_progress(spark.createDataFrame(
+        [("loose", 5, 0, None, "IN_PROGRESS", None)],
+        "table_name string, total_rows long, migrated_rows long, last_migrated_id long, status string, error_message string"
+    ).withColumns({c: F.current_timestamp() for c in ("start_time", "last_update_time", "complete_time")}), cfg.ledger_path)
+    result = full_copy(spark, source, target, cfg).first()
+    assert result.copied == 5 and sorted(r.v for r in target.read("loose").collect()) == [0, 1, 2, 3, 4, 100, 101, 102]
+    assert not (tmp_path / "ledger-stage/loose").exists()
+
+
+def test_an_unreachable_target_is_an_error(spark):
+    with pytest.raises(Exception):
+        JdbcTarget(spark, "jdbc:nothing:here").read("t")
