@@ -9,7 +9,8 @@ from checks.registry import check
 from ferrylog.functions.position import Position, start_from
 from ferrylog.operators import events as ev
 from ferrylog.operators.numbering import checkpoint_marks
-from ferrylog.sinks.ledger import advancing
+from ferrylog.session import materialize, scratch_path
+from ferrylog.sinks.ledger import read_checkpoint, save_checkpoint
 from ferrylog.sources.exports import dedup_entries, drop_processed, union_entries, order_files
 
 # Small chunks, so that the carry over chunks is exercised on the small tables too.
@@ -102,9 +103,11 @@ def a6(spark, sf):
 
 @check("o1_order_by_position", f"WITH {changes_sql()} SELECT file, pos, gtid, row_number() OVER (ORDER BY file, pos) AS place FROM row_changes")
 def o1(spark, sf):
+    """The place of a row is where the operator put it: in partition order, then within."""
     from ferrylog.operators.numbering import number_rows
     ordered = ev.order_by_position(row_changes(spark, sf).select("file", "pos", "gtid", "row_no"), "row_no")
-    return number_rows(ordered, ["file", "pos", "row_no"], "place").drop("row_no")
+    placed = materialize(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
+    return number_rows(placed, "at", "place").drop("row_no", "at")
 
 
 @check("t6_start_from", f"WITH {FEED_SQL} SELECT seq, file, pos FROM feed WHERE file > 'binlog.000013' OR (file = 'binlog.000013' AND pos >= 150004)")
@@ -156,4 +159,12 @@ _CHECKPOINT_LOG = """SELECT concat('s', cast(event_id % 7 AS string)) AS stream_
 @check("k6_save_checkpoint", f"""SELECT stream_id, file, pos, gtid FROM ({_CHECKPOINT_LOG.format(events='events')})
   QUALIFY row_number() OVER (PARTITION BY stream_id ORDER BY file DESC, pos DESC) = 1""")
 def k6(spark, sf):
-    return advancing(spark.sql(_CHECKPOINT_LOG.format(events="{e}"), e=table(spark, sf, "events")))
+    """Each stream's first, greatest and last position are saved in that order; the checkpoint never moves back."""
+    log, path = spark.sql(_CHECKPOINT_LOG.format(events="{e}"), e=table(spark, sf, "events")), scratch_path(spark, "checkpoints")
+    at = F.struct("file", "pos", "gtid")
+    streams = log.groupBy("stream_id").agg(F.min_by(at, "version").alias("a"), F.max(at).alias("b"), F.max_by(at, "version").alias("c")).collect()
+    for s in streams:
+        for p in (s.a, s.b, s.c):
+            save_checkpoint(spark, path, s.stream_id, Position(p.file, p.pos, p.gtid))
+    return spark.createDataFrame([(s.stream_id, *read_checkpoint(spark, path, s.stream_id)) for s in streams],
+                                 "stream_id string, file string, pos bigint, gtid string")

@@ -9,24 +9,28 @@ from pyspark.sql import functions as F
 from checks.inputs import (FEED_SQL, FINAL_SAFE_SQL, KEYS, LOGS_SQL, TABLES, TASKS_SQL, base, changes_sql,
                            entries_sql, feed, mapped_sql, money_base, money_changes, row_changes,
                            table, task_logs, tasks, union_sql)
+from checks.copying import COPY_SQL, copied_orders
 from checks.registry import check
 from checks.scans import GENERATED, STAMP, exported, source
 from checks.taskviews import _PAYLOAD
 from ferrylog.functions.position import Position, entry_id
-from ferrylog.operators import tasks as op
 from ferrylog.operators.fold import apply_changes
-from ferrylog.operators.numbering import roll_files
+from ferrylog.operators.numbering import number_rows, roll_files
 from ferrylog.operators.statements import parse_statements
 from ferrylog.operators.verify import diff_tables
 from ferrylog.plans.capture import capture_and_apply, capture_to_files, incremental_replay
-from ferrylog.plans.copy import CopyConfig, FolderTarget, full_copy
-from ferrylog.plans.verify import verify_copy
+from ferrylog.plans.copy import CopyConfig, FolderTarget, copy_new_rows, full_copy
+from ferrylog.plans.dashboard import task_dashboard
+from ferrylog.plans.verify import differing_rows, verify_copy
 from ferrylog.session import materialize, scratch_path
 from ferrylog.sinks.applied import AppliedTable
 from ferrylog.sinks.exports import entry_text, export_stats, render_changes
 from ferrylog.sinks.ledger import read_checkpoint, read_progress
+from ferrylog.sources.changes import read_change_events
 from ferrylog.sources.exports import read_sql_export
+from ferrylog.sources.tables import DirectorySource
 from ferrylog.streaming.capture import CallbackListener, Capture, Handler, Handlers, capture
+from ferrylog.streaming.handlers import apply_handler, audit_handler, default_handlers, export_handler, retry_failed
 from ferrylog.streaming.watch import Replay, bounded_run, stream_dedup, watch_exports
 
 # Prices travel through statements as decimals.
@@ -182,7 +186,8 @@ def x1(spark, sf):
     return spark.read.parquet(f"{out}/audit").select("seq", "ddl_sql")
 
 
-@check("x2_register_listener")
+@check("x2_register_listener", """SELECT 'connect' AS callback, CAST(0 AS BIGINT) AS input_rows
+  UNION ALL SELECT 'disconnect', 0 UNION ALL SELECT 'event', count(*) FROM events""")
 def x2(spark, sf):
     """Rows read, as a listener's callbacks saw them."""
     seen = []
@@ -205,7 +210,7 @@ def x2(spark, sf):
                                  "callback string, input_rows bigint")
 
 
-@check("t7_bounded_run")
+@check("t7_bounded_run", f"WITH {FEED_SQL} SELECT event_type, count(*) AS events, false AS ended FROM feed GROUP BY event_type")
 def t7(spark, sf):
     """A watch that never ends by itself is stopped when its time is up."""
     home = scratch_path(spark, "bounded")
@@ -246,10 +251,7 @@ def e1_keyed_rows(spark, sf):
 @check("e5_task_dashboard", f"""WITH {TASKS_SQL}, {LOGS_SQL}, page AS (SELECT id, status, {_PAYLOAD} AS payload FROM tasks WHERE NOT is_deleted ORDER BY created_at DESC, id LIMIT 10)
   SELECT p.*, level, message, l.created_at AS logged_at FROM page p LEFT JOIN task_logs l ON p.id = l.task_id""")
 def e5(spark, sf):
-    page = op.page_tasks(tasks(spark, sf), 1, 10).drop("total")
-    payload = op.task_messages(page).select(F.col("key").alias("id"), F.col("value").alias("payload"))
-    return (op.task_with_logs(page, task_logs(spark, sf)).join(payload, "id")
-              .select("id", "status", "payload", "level", "message", "logged_at"))
+    return task_dashboard(tasks(spark, sf), task_logs(spark, sf), 1, 10)
 
 
 @check("e6_verify_copy", union_sql("SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS same FROM {t}"))
@@ -257,3 +259,105 @@ def e6(spark, sf):
     s = source(spark, sf)
     _, target, _ = _copy(spark, sf)
     return verify_copy(s, target, s.table_names())
+
+
+@check("e6_differing_rows", f"""WITH {COPY_SQL} SELECT 'orders' AS table_name, '{{"o_orderkey":' || o_orderkey || '}}' AS key,
+  CASE WHEN c.o_custkey IS NULL THEN 'missing' WHEN o.o_custkey IS NULL THEN 'extra' ELSE 'changed' END AS state,
+  CASE WHEN o.o_custkey IS NULL THEN 0 ELSE 1 END::BIGINT AS left_rows, CASE WHEN c.o_custkey IS NULL THEN 0 ELSE 1 END::BIGINT AS right_rows
+  FROM orders o FULL JOIN copied c USING (o_orderkey) WHERE c.o_totalprice IS DISTINCT FROM o.o_totalprice""")
+def e6_rows(spark, sf):
+    """Counts and fingerprints first, then the rows of the one table that differs."""
+    s, target = source(spark, sf), FolderTarget(spark, f"{scratch_path(spark, 'copy')}/target")
+    target.write(copied_orders(spark, sf)[1], "orders", 1000)
+    target.write(s.read("customer"), "customer", 1000)
+    return differing_rows(s, target, verify_copy(s, target, ["orders", "customer"]), KEYS)
+
+
+@check("e1_copy_new_rows", "SELECT * FROM orders")
+def e1_new(spark, sf):
+    """Two rounds of a periodic copy onto a target that has a part of the rows."""
+    s, target = source(spark, sf), FolderTarget(spark, f"{scratch_path(spark, 'copy')}/target")
+    orders = s.read("orders")
+    target.write(orders.where(F.col("o_orderkey") <= orders.agg(F.expr("median(o_orderkey)")).scalar()), "orders", 1000)
+    for _ in range(2):
+        copy_new_rows(spark, s, target, {"orders": "o_orderkey"})
+    return target.read("orders")
+
+
+@check("e1_full_copy_signed_keys", "SELECT o_orderkey - (SELECT max(o_orderkey) // 2 FROM orders) AS k FROM orders")
+def e1_signed(spark, sf):
+    """Keys on both sides of 0 in several ranges, one of whose bounds may be 0."""
+    home = scratch_path(spark, "copy")
+    orders = table(spark, sf, "orders")
+    half = orders.agg(F.expr("max(o_orderkey) div 2")).first()[0]
+    orders.select((F.col("o_orderkey") - F.lit(half)).alias("k")).write.parquet(f"{home}/source/signed.parquet")
+    target = FolderTarget(spark, f"{home}/target")
+    full_copy(spark, DirectorySource(spark, f"{home}/source", keys={"signed": ["k"]}), target, CopyConfig(f"{home}/ledger", ranges=2))
+    return target.read("signed")
+
+
+# --- capture with the built-in handlers ---------------------------------------
+
+def _change_feed(spark, sf):
+    """The row changes as a stream of events whose rows are maps of text, every one behind its table map."""
+    text = lambda image: F.when(F.col(image).isNotNull(), F.map_from_arrays(
+        F.array(*[F.lit(c) for c in ("k", "status", "price", "note")]), F.array(*[F.col(image)[c].cast("string") for c in ("k", "status", "price", "note")])))
+    log = number_rows(row_changes(spark, sf), ["file", "pos", "row_no"], "n")
+    kind = F.create_map(*[F.lit(x) for x in ("INSERT", "EXT_WRITE_ROWS", "UPDATE", "EXT_UPDATE_ROWS", "DELETE", "EXT_DELETE_ROWS")])
+    rows = log.select((F.col("n") + 1).alias("seq"), kind[F.col("op")].alias("event_type"), "file", "pos", "gtid",
+                      F.lit(None).cast("bigint").alias("ts_ms"), F.lit(None).cast("string").alias("database"), F.lit(None).cast("string").alias("table"),
+                      F.lit(7).cast("bigint").alias("table_id"), F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("ddl_sql"),
+                      F.array(F.struct(text("before").alias("before"), text("after").alias("after"))).alias("rows"))
+    first = spark.sql("""SELECT 1L AS seq, 'TABLE_MAP' AS event_type, 'binlog.000000' AS file, 4L AS pos, cast(NULL AS string) AS gtid, cast(NULL AS bigint) AS ts_ms,
+      'shop' AS database, 'orders' AS table, 7L AS table_id, cast(NULL AS string) AS op, cast(NULL AS string) AS ddl_sql,
+      cast(NULL AS array<struct<before:map<string,string>,after:map<string,string>>>) AS rows""")
+    feed = materialize(first.unionByName(rows), "feed")
+    path, most = scratch_path(spark, "feed"), log.count() + 1
+    for a, b in ((0, most // 2), (most // 2, most)):
+        feed.where(F.col("seq").between(a + 1, b)).coalesce(1).write.mode("append").parquet(path)
+    return read_change_events(spark, path, stream=True, maxFilesPerTrigger=1)
+
+
+def _drained(spark, sf, handlers):
+    home = scratch_path(spark, "capture")
+    bounded_run(capture(_change_feed(spark, sf), Capture(f"{home}/context", handlers, ["shop"]), f"{home}/state", interval=None))
+
+
+@check("e4_stream_capture_and_apply", FINAL_SAFE_SQL)
+def e4_stream(spark, sf):
+    """The feed through the default handlers onto a table, in two micro-batches."""
+    applied = AppliedTable(spark, scratch_path(spark, "applied"), ["k"], buckets=4)
+    applied.create(base(spark, sf))
+    schema = base(spark, sf).schema
+    _drained(spark, sf, default_handlers(audit=audit_handler(scratch_path(spark, "audit")), apply=apply_handler(applied, schema, "s", "shop.orders")))
+    return applied.read()
+
+
+@check("e2_stream_capture_to_files", f"WITH {changes_sql()} SELECT file, pos FROM row_changes")
+def e2_stream(spark, sf):
+    """The feed through the export handler; what the files hold."""
+    folder = scratch_path(spark, "export")
+    _drained(spark, sf, default_handlers(export=export_handler(folder, base(spark, sf).schema, GENERATED, "shop.orders", 1000)))
+    return read_sql_export(spark, folder).select("file", "pos")
+
+
+@check("x1_default_handlers", """SELECT * FROM (VALUES ('both', 'audit apply'), ('export', 'export'), ('nothing', ''), ('retried', 'apply')) AS t(choice, handlers)""")
+def x1_default(spark, sf):
+    """Which handlers run, and that a batch a handler failed on can be run again."""
+    failed, calls = scratch_path(spark, "failed"), []
+
+    def handle(events, batch_id):
+        calls.append(events.count())
+        if len(calls) == 1:
+            raise OSError("target went away")
+
+    audit, export = audit_handler("a"), export_handler("b", base(spark, sf).schema, GENERATED)
+    names = lambda handlers: " ".join(h.name for h in handlers.handlers)
+    own = default_handlers(apply=Handler("apply", F.lit(True), handle), failed_path=failed)
+    own.run(base(spark, sf), 3)
+    before = own.failed(spark)
+    retry_failed(spark, own)
+    assert [(b, n) for b, n, _ in before] == [(3, "apply")] and calls[0] == calls[1] and not own.failed(spark)
+    apply = Handler("apply", F.lit(True), handle)
+    return spark.createDataFrame([("both", names(default_handlers(audit=audit, apply=apply))), ("export", names(default_handlers(export, audit, apply))),
+                                  ("nothing", names(default_handlers())), ("retried", before[0][1])], "choice string, handlers string")

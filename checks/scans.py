@@ -50,7 +50,12 @@ def s3(spark, sf):
     return src.column_catalog(source(spark, sf)).select("table_name", "ordinal", "column_name", "data_type")
 
 
-@check("s4_primary_keys", _KEYS_SQL)
+# A declared key must be one: no value twice, none missing.
+_TRUE_KEYS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name FROM {t} HAVING count(*) = count(DISTINCT {c})" for t, cs in KEYS.items() for c in cs)
+
+
+@check("s4_primary_keys", _TRUE_KEYS_SQL)
 def s4(spark, sf):
     s = source(spark, sf)
     return src.primary_keys(s).join(src.column_catalog(s), ["table_name", "column_name"], "left_semi")
@@ -122,14 +127,12 @@ def s10(spark, sf):
     return snapshot_position(feed(spark, sf))
 
 
-@check("s11_read_progress", f"WITH {LEDGER_SQL.replace('WHERE NOT deleted', '')} SELECT table_name, total_rows, migrated_rows, last_migrated_id, status, error_message FROM ledger")
+@check("s11_read_progress", f"WITH {LEDGER_SQL} SELECT table_name, total_rows, migrated_rows, last_migrated_id, status, error_message FROM ledger")
 def s11(spark, sf):
-    from ferrylog.sinks.ledger import latest_per_key
+    from ferrylog.sinks.ledger import read_progress
     path = scratch_path(spark, "ledger")
-    log = ledger_log(spark, sf)
-    log.select("table_name", "total_rows", "migrated_rows", "last_migrated_id", "status", "start_time",
-               "last_update_time", "complete_time", "error_message", F.lit(False).alias("deleted"), "version").write.parquet(path)
-    return latest_per_key(spark.read.parquet(path), "table_name").select("table_name", "total_rows", "migrated_rows", "last_migrated_id", "status", "error_message")
+    ledger_log(spark, sf).write.parquet(path)
+    return read_progress(spark, path).select("table_name", "total_rows", "migrated_rows", "last_migrated_id", "status", "error_message")
 
 
 @check("j1_attach_keys", f"""WITH columns_ AS ({_COLUMNS_SQL}), k AS ({_KEYS_SQL})

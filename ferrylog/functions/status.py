@@ -46,10 +46,6 @@ def task_resume_stage(progress) -> Column:
     return F.coalesce(F.get(above, F.lit(0)), F.lit(STAGE_MARKS[0]))
 
 
-def is_final(status) -> Column:
-    return col(status).isin(FINAL_TASK_STATUSES)
-
-
 def task_payload(name="name", id="id", source="source_connection", target="target_connection",
                  created="created_at", progress="progress", status="status",
                  updated="updated_at") -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ferrylog.functions.ddl import is_skipped_ddl
-from ferrylog.functions.rowmap import row_to_map
 from ferrylog.operators.carry import CHUNK, carry_forward
 from ferrylog.schema import DELETE, INSERT, UPDATE
 
@@ -82,8 +81,10 @@ def fill_gtid(events: DataFrame, seq="seq", chunk=CHUNK) -> DataFrame:
 def resolve_table_map(events: DataFrame, context=("map_database", "map_table"),
                       seq="seq", chunk=CHUNK) -> DataFrame:
     """As-of lookup: a row event takes the table context of the latest map event
-    with its table id. Events before any map are dropped, map events consumed.
+    with its table id. Events before any map are dropped, map events consumed. Other
+    events leave before anything is shuffled.
     """
+    events = events.where(row_operation().isNotNull() | (F.col("event_type") == "TABLE_MAP"))
     own = F.when(F.col("event_type") == "TABLE_MAP", F.struct(*context))
     mapped = carry_forward(events.withColumn("__map", own), "__map", seq, ["table_id"],
                            out="__at", chunk=chunk)
@@ -101,10 +102,6 @@ def explode_rows(events: DataFrame) -> DataFrame:
             .drop("rows", "__row"))
 
 
-def name_values(rows: DataFrame, values, names, out) -> DataFrame:
-    return rows.withColumn(out, row_to_map(values, names))
-
-
 def change_counts(changes: DataFrame) -> DataFrame:
     return changes.groupBy("database", "table", "op").agg(F.count(F.lit(1)).alias("changes"))
 

@@ -47,7 +47,3 @@ def diff_tables(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
                     F.lit("changed")))
     return (sums.withColumn("state", state).where("state IS NOT NULL")
                 .select(*keys, "state", "left_rows", "right_rows"))
-
-
-def diff_summary(diff: DataFrame) -> DataFrame:
-    return diff.groupBy("state").agg(F.count(F.lit(1)).alias("row_keys"))

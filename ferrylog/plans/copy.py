@@ -12,8 +12,8 @@ from pyspark.util import inheritable_thread_target
 
 from ferrylog.errors import first_line
 from ferrylog.functions.position import Position
-from ferrylog.operators.copying import (has_bad_rows, plan_copy, project_columns, resume_filter,
-                                         split_bad_rows)
+from ferrylog.operators.copying import (append_new_rows, has_bad_rows, plan_copy, project_columns,
+                                         resume_filter, split_bad_rows)
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
 from ferrylog.sinks.tables import BATCH_SIZE, JdbcTable, create_tables, write_table
@@ -301,3 +301,18 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
         runs = [pool.submit(inheritable_thread_target(spark)(copy_one), step) for step in steps]
     results = [r.result() for r in runs]
     return spark.createDataFrame([r for r in results if r is not None], _RESULT)
+
+
+def copy_new_rows(spark: SparkSession, source, target, keys, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """One round of a periodic copy: per table, rows whose key is past all that the target has.
+
+    ``keys`` has one ascending key column by table. Returns the rows added.
+    """
+    added = []
+    for table, key in keys.items():
+        rows, stored = source.read(table), target.read(table)
+        new = rows if stored is None else append_new_rows(rows, stored, key)
+        seen = Observation()
+        target.write(new.observe(seen, F.count(F.lit(1)).alias("rows")), table, batch_size)
+        added.append((table, seen.get.get("rows") or 0))
+    return spark.createDataFrame(added, "table_name string, added bigint")

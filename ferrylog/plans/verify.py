@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ferrylog.operators.verify import table_checksum
+from ferrylog.operators.verify import diff_tables, table_checksum
 
 
 def verify_copy(source, target, tables) -> DataFrame:
@@ -27,3 +27,25 @@ def verify_copy(source, target, tables) -> DataFrame:
     return reduce(DataFrame.unionByName, sides).groupBy("table_name").agg(
         of("source", "row_count").alias("source_rows"),
         of("target", "row_count").alias("target_rows"), same.alias("same"))
+
+
+_DIFFERENCES = "table_name string, key string, state string, left_rows bigint, right_rows bigint"
+
+
+def differing_rows(source, target, report: DataFrame, keys) -> DataFrame:
+    """Keys that are missing, extra or changed in the tables that ``report`` finds unequal.
+
+    ``keys`` has the key columns by table; tables without a key are left to the report.
+    A key is given as JSON text.
+    """
+    found = [r.table_name for r in report.where("NOT same").select("table_name").collect()]  # one per table
+    parts = []
+    for t in found:
+        if keys.get(t):
+            stored = source.read(t)
+            diff = diff_tables(stored, target.read(t).select(*stored.columns), keys[t])
+            parts.append(diff.select(F.lit(t).alias("table_name"), F.to_json(F.struct(*keys[t])).alias("key"),
+                                     "state", "left_rows", "right_rows"))
+    if not parts:
+        return report.sparkSession.createDataFrame([], _DIFFERENCES)
+    return reduce(DataFrame.unionByName, parts)

@@ -53,6 +53,11 @@ def append_progress(rows: DataFrame, path: str):
     _append(progress_versions(rows), path, PROGRESS_LOG)
 
 
+def delete_progress(rows: DataFrame, path: str):
+    """Delete the progress of the tables of some ledger rows."""
+    _append(progress_versions(rows, deleted=True), path, PROGRESS_LOG)
+
+
 def current_progress(log: DataFrame) -> DataFrame:
     """State of the ledger: latest version of each table that is not a tombstone."""
     return latest_per_key(log, "table_name").where("NOT coalesce(deleted, false)")

@@ -21,8 +21,3 @@ def snapshot_position(events: DataFrame) -> DataFrame:
     top = last_position(events).select("file", "pos")
     gtid = events.agg(F.max_by("gtid", F.when(F.col("gtid").isNotNull(), at))).scalar()
     return top.withColumn("gtid", gtid)
-
-
-def live_position(source, status_query: str) -> DataFrame:
-    """Position of a live JDBC source, by a query that returns file, pos, gtid."""
-    return source.query(status_query).selectExpr("file", "cast(pos as bigint) pos", "gtid")

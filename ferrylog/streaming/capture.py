@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from typing import Callable, Mapping, NamedTuple, Optional, Sequence
+from collections import deque
+from typing import Callable, NamedTuple, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -12,7 +13,7 @@ from ferrylog.errors import first_line
 from ferrylog.functions.position import Position, start_from
 from ferrylog.operators.events import (classify_events, filter_databases, filter_tables,
                                        fill_gtid, resolve_table_map, skip_ddl)
-from ferrylog.session import materialize, scratch_scope
+from ferrylog.session import delete_path, materialize, scratch_scope
 from ferrylog.sources.files import child_names
 
 log = logging.getLogger(__name__)
@@ -27,11 +28,17 @@ class Handler(NamedTuple):
 
 
 class Handlers:
-    """Registered handlers, run in the order they were added."""
+    """Registered handlers, run in the order they were added.
 
-    def __init__(self, handlers: Sequence[Handler] = ()):
-        self.handlers = list(handlers)
-        self.errors: list[tuple[int, str, str]] = []
+    With ``failed_path`` the events that a handler failed on are kept there, so the
+    batch can be run again (``retry_failed``); errors are kept up to ``MOST_ERRORS``.
+    """
+
+    MOST_ERRORS = 1000
+
+    def __init__(self, handlers: Sequence[Handler] = (), failed_path: Optional[str] = None):
+        self.handlers, self.failed_path = list(handlers), failed_path
+        self.errors: deque[tuple[int, str, str]] = deque(maxlen=self.MOST_ERRORS)
 
     def register(self, handler: Handler):
         self.handlers.append(handler)
@@ -47,6 +54,14 @@ class Handlers:
             except Exception as e:  # noqa: BLE001 - isolation is the contract
                 log.exception("handler %s failed in batch %s", handler.name, batch_id)
                 self.errors.append((batch_id, handler.name, first_line(e)))
+                if self.failed_path:
+                    (events.where(handler.supports).write.mode("overwrite")
+                           .parquet(f"{self.failed_path}/{batch_id:012d}-{handler.name}"))
+
+    def failed(self, spark: SparkSession) -> list[tuple[int, str, str]]:
+        """``(batch, handler, folder of its events)`` of what failed and was not run again."""
+        names = child_names(spark, self.failed_path) if self.failed_path else []
+        return [(int(n.partition("-")[0]), n.partition("-")[2], f"{self.failed_path}/{n}") for n in names]
 
 
 class CallbackListener(StreamingQueryListener):
@@ -79,9 +94,12 @@ class Capture:
 
     The table map and transaction id in force at the end of a batch are saved
     under ``context_path/batch=<id>`` and seed the next batch: one row per table
-    id, not per event. A repeated batch starts from the same seed.
+    id, not per event. A repeated batch starts from the same seed. Only the last batch
+    can be repeated, so contexts older than ``KEPT`` batches go.
     """
 
+    KEPT = 10
+
     def __init__(self, context_path: str, handlers: Handlers, databases=None, tables=None,
                  start: Optional[Position] = None):
         self.context_path, self.handlers = context_path.rstrip("/"), handlers
@@ -90,7 +108,9 @@ class Capture:
     def _seed(self, spark: SparkSession, batch_id: int) -> Optional[DataFrame]:
         past = [int(n.split("=")[1]) for n in child_names(spark, self.context_path)
                 if n.startswith("batch=")]
-        past = [n for n in past if n < batch_id]
+        past = sorted(n for n in past if n < batch_id)
+        for n in past[:-self.KEPT]:
+            delete_path(spark, f"{self.context_path}/batch={n}")
         return spark.read.parquet(f"{self.context_path}/batch={max(past)}") if past else None
 
     def __call__(self, events: DataFrame, batch_id: int):
@@ -130,11 +150,3 @@ def capture(events: DataFrame, job: Capture, state_path: str,
     writer = (writer.trigger(availableNow=True) if interval is None
               else writer.trigger(processingTime=interval))
     return writer.start()
-
-
-def default_handlers(export: Optional[Handler] = None, audit: Optional[Handler] = None,
-                     apply: Optional[Handler] = None) -> Handlers:
-    """With an export handler only that one; else the DDL audit and direct apply."""
-    if export is not None:
-        return Handlers([export])
-    return Handlers([h for h in (audit, apply) if h is not None])
