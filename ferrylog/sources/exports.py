@@ -16,9 +16,9 @@ POSITION, GTID, COMMENT = "[POSITION]", "[GTID]", "--"
 _BLOCK_START = r"(?:^|(?<=[\n\r]))(?=[\x00-\x09\x0b\x0c\x0e-\x20]*\[POSITION\])"
 
 
-def read_export_files(spark: SparkSession, path: str, stream=False, glob="*.sql") -> DataFrame:
+def read_export_files(spark: SparkSession, path: str, stream=False, glob="*.sql", **options) -> DataFrame:
     """Whole export files ``(source_file, text)``; the exporter's roll size bounds them."""
-    reader = spark.readStream if stream else spark.read
+    reader = (spark.readStream if stream else spark.read).options(**options)
     return (reader.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
                   .select(F.col("_metadata.file_name").alias("source_file"),
                           F.col("value").alias("text")))

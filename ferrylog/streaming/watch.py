@@ -19,9 +19,10 @@ from ferrylog.sources.exports import carry_headers, read_export_files
 SCAN_INTERVAL = "5 seconds"
 
 
-def stream_sql_export(spark: SparkSession, folder: str) -> DataFrame:
-    """New export files as they appear, each once and whole."""
-    return read_export_files(spark, folder, stream=True)
+def stream_sql_export(spark: SparkSession, folder: str, max_files: Optional[int] = None) -> DataFrame:
+    """New export files as they appear, each once and whole; ``max_files`` bounds a micro-batch."""
+    limit = {} if max_files is None else {"maxFilesPerTrigger": max_files}
+    return read_export_files(spark, folder, stream=True, **limit)
 
 
 def stream_dedup(events: DataFrame, key="entry_id", watermark: Optional[tuple] = None) -> DataFrame:
@@ -72,12 +73,13 @@ class Replay:
 
 
 def watch_exports(spark: SparkSession, folder: str, replay: Replay, state_path: str,
-                  interval: Optional[str] = SCAN_INTERVAL) -> StreamingQuery:
+                  interval: Optional[str] = SCAN_INTERVAL, max_files: Optional[int] = None) -> StreamingQuery:
     """Replay what is in the folder, then keep watching it.
 
-    ``interval=None`` drains what is there and ends.
+    ``interval=None`` drains what is there and ends. ``max_files`` bounds the export
+    files of one micro-batch, so a long backlog is not one batch.
     """
-    writer = (stream_sql_export(spark, folder).writeStream.foreachBatch(replay)
+    writer = (stream_sql_export(spark, folder, max_files).writeStream.foreachBatch(replay)
               .option("checkpointLocation", state_path))
     writer = (writer.trigger(availableNow=True) if interval is None
               else writer.trigger(processingTime=interval))

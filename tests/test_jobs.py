@@ -401,3 +401,13 @@ def test_keyless_resume_keeps_older_rows(spark, tmp_path):
 def test_an_unreachable_target_is_an_error(spark):
     with pytest.raises(Exception):
         JdbcTarget(spark, "jdbc:nothing:here").read("t")
+
+
+def test_a_backlog_is_drained_in_bounded_batches(spark, tmp_path):
+    applied, schema, job = replay_parts(spark, tmp_path)
+    applied.create(spark.createDataFrame([(0, "a")], SCHEMA))
+    for i in range(1, 4):
+        capture_to_files(changes(spark, [(i, 0, "INSERT", None, (i, "x"))]), schema, str(tmp_path / "export"), str(i), "g")
+    query = watch_exports(spark, str(tmp_path / "export"), job, str(tmp_path / "state"), interval=None, max_files=1)
+    assert bounded_run(query) and len(query.recentProgress) >= 3
+    assert [r[0] for r in rows_of(applied.read())] == [0, 1, 2, 3]
