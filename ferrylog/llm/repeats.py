@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ferrylog.llm import exchange
 from ferrylog.llm.words import mix, slices, text_buffers, windows, words_of
 
 WINDOW = 13
@@ -37,9 +38,6 @@ _U = np.uint64
 _MOST = _U((1 << 64) - 1)
 _STEP = 0xD6E8FEB86659FD93
 _BACK = pow(_STEP, -1, 1 << 64)
-# The primes of xxHash64.
-_XXH = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-_DEALT = "bucket int, docs binary, keys binary, more binary"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -143,94 +141,6 @@ def _ids(table, column):
     return ids.fill_null(0).to_numpy(zero_copy_only=False), valid
 
 
-def _pack(buckets, docs, keys, more=None) -> pa.Table:
-    """One row a bucket from entries sorted by bucket."""
-    order = np.argsort(buckets, kind="stable")
-    buckets, docs, keys = buckets[order], docs[order], keys[order]
-    more = None if more is None else more[order]
-    cut = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else np.zeros(0, int)
-    ends = np.append(cut[1:], len(buckets))
-    column = lambda x: [x[a:b].tobytes() for a, b in zip(cut, ends)]
-    return pa.table({"bucket": pa.array(buckets[cut], pa.int32()), "docs": pa.array(column(docs), pa.binary()),
-                     "keys": pa.array(column(keys), pa.binary()),
-                     "more": pa.array(column(more) if more is not None else [b""] * len(cut), pa.binary())})
-
-
-def _unpack(table):
-    read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    return read("docs", np.int64), read("keys", np.uint64), read("more", np.uint64)
-
-
-def _key_bucket(keys, count):
-    return (mix(keys, 99) % _U(count)).astype(np.int32)
-
-
-def _doc_bucket(ids, count):
-    """``pmod(xxhash64(id), count)`` as Spark computes it for 64-bit integers."""
-    turn = lambda h, k: (h << _U(k)) | (h >> _U(64 - k))
-    p1, p2, p3, p4, p5 = (_U(p) for p in _XXH)
-    h = turn(ids.astype(np.int64).view(np.uint64) * p2, 31) * p1 ^ (_U(42 + 8) + p5)
-    h = turn(h, 27) * p1 + p4
-    h = (h ^ (h >> _U(33))) * p2
-    h = (h ^ (h >> _U(29))) * p3
-    return np.mod((h ^ (h >> _U(32))).view(np.int64), np.int64(count)).astype(np.int32)
-
-
-def _first_of_key(keys, docs, more=None):
-    """Order by key, then document; marks of a key's first entry, and first positions."""
-    order = np.lexsort((docs, keys) if more is None else (docs, more, keys))
-    keys, docs = keys[order], docs[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    if more is not None:
-        more = more[order]
-        new[1:] |= more[1:] != more[:-1]
-    start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(keys)))
-    return keys, docs, more, start, size
-
-
-def _deal(keys, docs, more, buckets):
-    """Entries of a bucket of documents: settled ones, and the smallest document of each key.
-
-    Settled are the documents above a key's smallest one here. The buckets of settled
-    entries are ``buckets`` to ``2 * buckets - 1``. A smallest document whose key others
-    here hold is settled too as far as keys go (its key is shared), and still goes on.
-    """
-    keys, docs, more, start, size = _first_of_key(keys, docs, more)
-    lead = np.zeros(len(keys), bool)
-    lead[start] = True
-    above = ~lead & (docs != np.repeat(docs[start], size))
-    shared = np.zeros(len(keys), bool)
-    shared[start] = np.logical_or.reduceat(above, start) if len(start) else False
-    return keys, docs, more, lead, above, shared
-
-
-def _shared_keys(buckets):
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        docs, keys, _ = _unpack(table)
-        if bucket < buckets:
-            keys, docs, _, start, size = _first_of_key(keys, docs)
-            last = start + size - 1
-            many = np.repeat(docs[start] != docs[last], size)
-            keys, docs = keys[many], docs[many]
-        return _pack(_doc_bucket(docs, buckets), docs, keys)
-    return run
-
-
-def _later_windows(buckets):
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        docs, keys, more = _unpack(table)
-        if bucket < buckets:
-            keys, docs, _, start, size = _first_of_key(keys, docs, more)
-            later = docs != np.repeat(docs[start], size)
-            keys, docs = keys[later], docs[later]
-        return _pack(_doc_bucket(docs, buckets), docs, keys)
-    return run
-
-
 def _combine(ids, keys):
     return mix(keys ^ mix(ids.astype(np.uint64), 77))
 
@@ -255,21 +165,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no words and keep an empty text. Rows with a null id are
     kept whole and remove nothing elsewhere. Rows with one id are one document: they
     don't remove each other's windows. ``buckets`` bounds the texts that a task holds
-    at once; by default four for each shuffle partition.
+    at once; by default there are two for each shuffle partition, and one bucket of keys.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key_buckets, buckets = buckets or partitions, buckets or 2 * partitions
     docs = docs.drop("n_words", "n_removed", "kept_text")
     placed = docs.withColumn("__bucket", F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(buckets)).cast("int"))
     if docs.schema[id_col].nullable:  # rows without an id are spread by their text
         spread = F.pmod(F.xxhash64(text_col), F.lit(buckets)).cast("int")
         placed = placed.withColumn("__bucket", F.when(F.col(id_col).isNull(), spread).otherwise(F.col("__bucket")))
 
-    def deal(parts):
-        keys, ids, more = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
-                           for k, kind in ((0, np.uint64), (1, np.int64), (2, np.uint64)))
-        return _deal(keys, ids, more if len(more) else None, buckets)
-
     def key_rows(table: pa.Table) -> pa.Table:
         ids, valid = _ids(table, id_col)
 
@@ -280,17 +186,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             own = words.doc[at]
             new = np.ones(len(at), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])
-            return keys[new], ids[own[new]], np.zeros(0, np.uint64)
+            return keys[new], ids[own[new]]
 
-        keys, ids, _, lead, above, shared = deal(_group(table.column(text_col), ids, keys_of))
-        settled = above | shared
-        at = np.concatenate([np.flatnonzero(lead), np.flatnonzero(settled)])
-        to = np.concatenate([_key_bucket(keys[lead], buckets), _doc_bucket(ids[settled], buckets) + buckets])
-        return _pack(to, ids[at], keys[at])
+        parts = _group(table.column(text_col), ids, keys_of)
+        keys, ids = (np.concatenate([np.zeros(0, kind), *(p[k] for p in parts)]) for k, kind in ((0, np.uint64), (1, np.int64)))
+        return exchange.first_keys(keys, ids, key_buckets, buckets)
 
     def window_rows(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, valid = _ids(left, id_col)
-        docs, keys, _ = _unpack(right)
+        docs, keys, _ = exchange.unpack(right)
         wanted = np.unique(_combine(docs, keys))
 
         def prints_of(words, ids, a):
@@ -300,14 +204,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return windows(words, window, 17)[1][hit], own, windows(words, window, 29)[1][hit]
 
         parts = _group(left.column(text_col), ids, prints_of) if len(wanted) else []
-        keys, ids, more, lead, above, _ = deal(parts)
+        keys, ids, more = (np.concatenate([np.zeros(0, kind), *(p[k] for p in parts)])
+                           for k, kind in ((0, np.uint64), (1, np.int64), (2, np.uint64)))
+        keys, ids, more, lead, above, _ = exchange.settle(keys, ids, more)
         at = np.concatenate([np.flatnonzero(lead), np.flatnonzero(above)])
-        to = np.concatenate([_key_bucket(keys[lead], buckets), _doc_bucket(ids[above], buckets) + buckets])
-        return _pack(to, ids[at], keys[at], None if more is None else more[at])
+        to = np.concatenate([exchange.key_bucket(keys[lead], key_buckets), -1 - exchange.doc_bucket(ids[above], buckets)])
+        return exchange.pack(to, ids[at], keys[at], more[at])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, valid = _ids(left, id_col)
-        docs, keys, _ = _unpack(right)
+        docs, keys, _ = exchange.unpack(right)
         wanted = np.unique(_combine(docs, keys))
         column = left.column(text_col).combine_chunks()
 
@@ -341,9 +247,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # The three uses of ``texts`` are one exchange: the texts are dealt out once.
     texts = placed.groupBy("__bucket")
-    shared = texts.applyInArrow(key_rows, _DEALT).groupBy("bucket").applyInArrow(_shared_keys(buckets), _DEALT)
-    prints = texts.cogroup(shared.groupBy("bucket")).applyInArrow(window_rows, _DEALT)
-    later = prints.groupBy("bucket").applyInArrow(_later_windows(buckets), _DEALT)
+    shared = texts.applyInArrow(key_rows, exchange.ROWS).groupBy("bucket").applyInArrow(exchange.shared_keys(buckets), exchange.ROWS)
+    prints = texts.cogroup(shared.groupBy("bucket")).applyInArrow(window_rows, exchange.ROWS)
+    later = prints.groupBy("bucket").applyInArrow(exchange.later_entries(buckets), exchange.ROWS)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return texts.cogroup(later.groupBy("bucket")).applyInArrow(cut, schema)

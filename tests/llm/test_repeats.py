@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ferrylog.llm import repeats
+from ferrylog.llm import exchange, repeats
 from ferrylog.llm.words import words_of
 
 
@@ -78,7 +78,7 @@ def test_empty_table_and_clashing_columns(spark):
 def test_document_buckets_are_those_of_spark(spark):
     ids = [0, 1, -5, 2**62, -2**63, 123456789]
     got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", F.pmod(F.xxhash64("i"), F.lit(97)).alias("b")).collect()
-    assert [r.b for r in got] == repeats._doc_bucket(np.array(ids), 97).tolist()
+    assert [r.b for r in got] == exchange.doc_bucket(np.array(ids), 97).tolist()
 
 
 def test_equal_windows_have_equal_keys():
