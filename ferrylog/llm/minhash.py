@@ -10,11 +10,15 @@ Texts with one shingle set are one class. Classes in a band's bucket are compare
 with pivots of the bucket, never all with all at once:
 
 * first with the smallest class of the bucket; what is confirmed is one component;
-* then, in buckets that still hold several components, with a share of the members
-  as pivots that grows fourfold a round, and only across components.
+* then, in buckets that still hold several components, with a number of pivots that
+  grows sixteenfold a round, and only across components.
 
 A bucket is done when its members that were no pivots yet lie in one component. Then
-every pair of it was compared, or is connected by confirmed links.
+every pair of it was compared, is connected by confirmed links, or cannot be a link:
+two sets share at most what both have in common with the bucket's first class, and
+beyond it those of their shingles that any other candidate has. This bounds their
+similarity from above; copies with many changes of their own drop out by it without a
+comparison.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ferrylog.llm import exchange
 from ferrylog.llm.words import mix, slices, text_buffers, windows, words_of
 from ferrylog.operators.components import connected_components
 from ferrylog.session import is_empty, materialize
@@ -126,19 +131,55 @@ def _sets_of(column):
             yield values[first[i]:first[i + 1]]
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs ``(a, b)`` whose shingle sets reach the similarity, of ``texts(id, text)``."""
+def compare(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs ``(a, b)`` with the size of the intersection of their full shingle sets, and whether that links them.
+
+    ``texts(id, text)`` has the texts; an id with several gives a row for each.
+    """
 
     def run(batches):
         for batch in batches:
-            keep = [len(x) > 0 and 100 * (both := len(np.intersect1d(x, y, assume_unique=True))) >= threshold * (len(x) + len(y) - both)
+            sets = [(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)))
                     for x, y in zip(_sets_of(batch.column(2)), _sets_of(batch.column(3)))]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            linked = [n > 0 and 100 * both >= threshold * (n + m - both) for n, m, both in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([both for *_, both in sets], pa.int64()), pa.array(linked, pa.bool_())],
+                names=["a", "b", "both", "linked"])
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long, both long, linked boolean")
+
+
+def common_shingles(texts: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``(id, common)``: how many shingles of a text ``texts(id, text)`` has under another id too."""
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key_buckets, buckets = buckets or partitions, buckets or partitions
+
+    def shingles(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_numpy()
+        offsets, data = text_buffers(table.column("text"))
+        keys, own = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for a, b in slices(offsets):
+            values, first = shingle_sets(data, offsets[a:b + 1])
+            keys.append(values)
+            own.append(np.repeat(ids[a:b], np.diff(first)))
+        return exchange.first_keys(np.concatenate(keys), np.concatenate(own), key_buckets, buckets)
+
+    def count(table: pa.Table) -> pa.Table:
+        docs, keys, _ = exchange.unpack(table)
+        order = np.lexsort((keys, docs))
+        docs, keys = docs[order], keys[order]
+        new = np.ones(len(docs), bool)
+        new[1:] = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])
+        ids, n = np.unique(docs[new], return_counts=True)
+        return pa.table({"id": pa.array(ids, pa.int64()), "common": pa.array(n, pa.int64())})
+
+    placed = texts.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    found = placed.groupBy("bucket").applyInArrow(shingles, exchange.ROWS).groupBy("bucket").applyInArrow(
+        exchange.shared_keys(buckets), exchange.ROWS)
+    return found.groupBy("bucket").applyInArrow(count, "id long, common long")
 
 
 def _share(row: Column, bucket: Column) -> Column:
@@ -146,6 +187,20 @@ def _share(row: Column, bucket: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(row, bucket), 11) / F.lit(float(1 << 53))
 
 
+def _components(links: DataFrame) -> DataFrame:
+    return connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+
+
+def _open_members(members: DataFrame, labels: DataFrame, done: float) -> DataFrame:
+    """Members of buckets in which those that were no pivot yet lie in several components."""
+    fresh = (members.join(labels.withColumnRenamed("id", "cls"), "cls", "left")
+             .withColumn("component", F.coalesce("component", "cls"))
+             .withColumn("place", _share(F.col("cls"), F.col("bucket")) * F.col("size"))
+             .where((F.col("place") >= done) & (F.col("cls") != F.col("least"))))
+    spread = fresh.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
+    return materialize(fresh.join(spread.select("bucket"), "bucket"), "open")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -172,29 +227,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bridges = own.join(several, "id").where("cls <> a").select("a", F.col("cls").alias("b"))
 
     tried = materialize(members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "tried")
-    links = materialize(bridges.union(confirm(tried, texts, threshold)), "links")
-    done, share = -1.0, 4.0
-    while True:
-        labels = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-        place = _share(F.col("cls"), F.col("bucket")) * F.col("size")
-        fresh = (members.join(labels.withColumnRenamed("id", "cls"), "cls", "left")
-                 .withColumn("component", F.coalesce("component", "cls")).withColumn("place", place)
-                 .where((F.col("place") >= done) & (F.col("cls") != F.col("least"))))
-        spread = fresh.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-        fresh = materialize(fresh.join(spread.select("bucket"), "bucket"), "open")
-        if is_empty(fresh):
-            break
+    star = materialize(compare(tried, texts, threshold), "star")
+    links = materialize(bridges.union(star.where("linked").select("a", "b")), "links")
+    labels = _components(links)
+    fresh = _open_members(members, labels, -1.0)
+    if not is_empty(fresh):
+        # What the members of open buckets have in common with others at most.
+        some = texts.join(fresh.select(F.explode(F.array("cls", "least")).alias("id")).distinct(), "id", "left_semi")
+        common = common_shingles(some).withColumnRenamed("id", "cls")
+        members = members.join(common, "cls").where(100 * F.col("common") >= threshold * F.col("n"))
+        # An id has one set as a rule; with several, these bound what their union shares from below and above.
+        shares = F.max("both").alias("near"), F.sum("both").alias("nearly")
+        near = star.groupBy(F.col("a").alias("least"), F.col("b").alias("cls")).agg(*shares)
+        members = members.join(near, ["least", "cls"], "left")
+        members = materialize(members.join(classes.select("cls", "bands"), "cls"), "narrowed")
+        fresh = _open_members(members, labels, -1.0)
+    share = 16.0
+    while not is_empty(fresh):
         m, p = fresh.alias("m"), fresh.where(F.col("place") < share).alias("p")
-        # Sets too unequal in size can't reach the similarity.
-        alike = 100 * F.least("m.n", "p.n") >= threshold * F.greatest("m.n", "p.n")
-        pairs = (m.join(p, F.col("m.bucket") == F.col("p.bucket"))
-                 .where((F.col("m.component") != F.col("p.component")) & alike)
+        # Of what two members share, a part lies in the bucket's first class, the rest among what they have in common
+        # with others beyond it.
+        inside = F.least("m.nearly", "p.nearly")
+        beyond = F.least(F.col("m.common") - F.col("m.near"), F.col("p.common") - F.col("p.near"))
+        both = F.least(inside + beyond, "m.common", "p.common", "m.n", "p.n")
+        # Two members may share many buckets; the smallest one compares them.
+        first = F.array_min(F.array_intersect("m.bands", "p.bands"))
+        pairs = (m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.component") != F.col("p.component"))
+                        & (100 * both >= threshold * (F.col("m.n") + F.col("p.n") - both)) & (first == F.col("m.bucket")))
                  .select(F.least("m.cls", "p.cls").alias("a"), F.greatest("m.cls", "p.cls").alias("b"))
                  .distinct().join(tried, ["a", "b"], "left_anti"))
-        pairs = materialize(pairs, "pairs")
-        tried = tried.union(pairs)
-        links = materialize(links.union(confirm(pairs, texts, threshold)), "links")
-        done, share = share, share * 4
+        more = materialize(compare(materialize(pairs, "pairs"), texts, threshold).where("linked").select("a", "b"), "links")
+        if not is_empty(more):
+            links = links.union(more)
+            labels = _components(links)
+        fresh, share = _open_members(members, labels, share), share * 16
     named = (own.select("id", "cls").distinct().join(labels.withColumnRenamed("id", "cls"), "cls", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "cls")).alias("component_id")))
     out = sketched.select("id", "n_shingles").join(named, "id", "left")
