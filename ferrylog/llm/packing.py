@@ -23,12 +23,15 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from ferrylog.llm.bpe import Memo, PairTable, merge_many, strings_of
+from ferrylog.llm.bpe import Memo, PairTable, merge_many
+from ferrylog.llm.words import slices, text_buffers
 from ferrylog.session import materialize
 
 CAPACITY = 2048
 #: Pieces that one task packs at a time.
 GROUP = 40_000
+#: Words that a worker remembers.
+MEMO = 1_000_000
 #: Rounds of the local search at most, and bins that it dissolves beyond those that should go.
 SEARCH_ROUNDS, SPARE = 24, 16
 
@@ -61,10 +64,19 @@ class WordVocabulary:
         # Fixed by Unicode: letters whose lower case is one character of the same range, and composed already.
         self.simple = regex.compile(r"[\x21-\x7EÀ-ÿ]+").fullmatch
 
-    def encode(self, words: list[str]) -> list[bytes]:
+    def _cut(self, word: str) -> list[str]:
+        """Pre-tokens of a word of simple characters; most are letters, perhaps before a stop."""
+        if word.isalpha():
+            return [word.lower()]
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1].lower(), word[-1]]
+        return self.findall(word.lower())
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
-        own = [w for w in words if "<|" not in w and self.simple(w)]
-        cut = [self.findall(w.lower()) for w in own]
+        texts = [w.decode() for w in words]
+        own = [w for w in texts if self.simple(w) and "<|" not in w]
+        cut = list(map(self._cut, own))
         tokens = list(set(chain.from_iterable(cut)))
         raw = [t.encode() for t in tokens]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -73,11 +85,11 @@ class WordVocabulary:
         ends = np.cumsum(lengths) - 1
         symbols[ends] = self.last[flat[ends]]
         known = dict(zip(tokens, merge_many(symbols, lengths, self.table)))
-        done = {w: b"".join(map(known.__getitem__, c)) for w, c in zip(own, cut)}
-        rest = [w for w in words if w not in done]
+        done = {w: known[c[0]] if len(c) == 1 else b"".join(map(known.__getitem__, c)) for w, c in zip(own, cut)}
+        rest = [w for w in texts if w not in done]
         for w, e in zip(rest, self.library.encode_batch(rest, add_special_tokens=False) if rest else []):
             done[w] = np.array(e.ids, "<u4").tobytes()
-        return list(map(done.__getitem__, words))
+        return list(map(done.__getitem__, texts))
 
 
 _vocabularies: dict = {}
@@ -85,14 +97,10 @@ _vocabularies: dict = {}
 
 def _vocabulary(path: str) -> Memo:
     if path not in _vocabularies:
-        _vocabularies[path] = Memo(WordVocabulary(path).encode)
+        _vocabularies[path] = Memo(WordVocabulary(path).encode, MEMO)
     return _vocabularies[path]
 
 
-# A word here ends at ASCII white space only; what else a library calls white space stays inside and is left to it.
-_WORDS = regex.compile(r"[^\x20\x09-\x0D]+").findall
-
-
 def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
                   end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """``(id, piece, start, length, ids_crc32)`` and, if asked for, ``ids``.
@@ -110,8 +118,11 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col:
     def run(batches):
         memo = _vocabulary(path)
         for batch in batches:
-            for a, b, texts in strings_of(batch, "text"):
-                words = [t.split() if t.isascii() and not _UNIT.search(t) else _WORDS(t) for t in texts]
+            offsets, _ = text_buffers(batch.column(1))
+            raw = batch.column(1).cast(pa.binary())
+            for a, b in slices(offsets):
+                # Only ASCII white space ends a word here; what else the library takes for it is left to it.
+                words = [(t or b"").split() for t in raw.slice(a, b - a).to_pylist()]
                 known = memo.learn(chain.from_iterable(words))
                 rows, pieces, starts, ids = [], [], [], []
                 for i, own in enumerate(words):
@@ -131,10 +142,6 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, T.StructType(fields))
 
 
-# The separators FS, GS, RS and US are white space to str.split, but not here.
-_UNIT = regex.compile(r"[\x1c-\x1f]")
-
-
 def best_fit(sizes, capacity: int) -> list[list[int]]:
     """Bins as lists of indexes into ``sizes``; each piece, longest first, goes where it leaves the least room."""
     by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
