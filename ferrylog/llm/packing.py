@@ -31,7 +31,7 @@ CAPACITY = 2048
 #: Pieces that one task packs at a time.
 GROUP = 40_000
 #: Words that a worker remembers.
-MEMO = 1_000_000
+MEMO = 500_000
 #: Rounds of the local search at most, and bins that it dissolves beyond those that should go.
 SEARCH_ROUNDS, SPARE = 24, 16
 
