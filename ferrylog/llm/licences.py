@@ -56,13 +56,9 @@ def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
     known = F.array(*[F.lit(s) for s in sentences])
     lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-    def number(sentence):
-        return F.array_position(known, F.trim(F.regexp_replace(sentence, _NOT_PLAIN, " "))).cast("int")
-
-    # A known sentence is no longer than its normal form allows; the cheap test spares most of the work.
-    longest = 4 * max(map(len, sentences), default=0)
-    parts = F.filter(F.split(lowered, SENTENCE_END), lambda s: (F.length(s) > 0) & (F.length(s) <= longest))
-    return F.filter(F.transform(parts, number), lambda i: i > 0)
+    # Any run of other characters is one blank, so only the normal form's length says anything about a sentence.
+    normal = F.transform(F.split(lowered, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, _NOT_PLAIN, " ")))
+    return F.filter(F.transform(normal, lambda s: F.array_position(known, s).cast("int")), lambda i: i > 0)
 
 
 def rule_hits(ids: Column, rules=RULES) -> Column:

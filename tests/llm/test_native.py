@@ -2,8 +2,10 @@
 
 import zlib
 
+import duckdb
 from pyspark.sql import functions as F
 
+from checks.compare import compare
 from ferrylog.llm import licences, sharding
 
 
@@ -57,3 +59,16 @@ def test_licences(spark):
     assert all(out[i] == (0, "", "") for i in (3, 4, 5, 7))
     assert licences.licence_report(df.limit(0)).count() == 0
     assert licences.scan_licences(df).columns == ["doc_id", "text", "licences", "sentence_ids"]
+
+
+def test_licences_in_padded_sentences(spark, tmp_path):
+    """Runs of other characters are one blank, however long; the twin agrees."""
+    texts = ["-" * 400 + " Released under the MIT License.", "Released" + " " * 900 + "under the MIT License" + "*" * 500,
+             "All\t" + "\u2014 " * 300 + "rights reserved!", "-" * 100 + " Released under the MIT License.", "word " * 100 + "Released under the MIT License."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r.sentence_ids for r in licences.licence_report(df).collect()}
+    assert out == {0: "4", 1: "4", 2: "14", 3: "4", 4: ""}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(con, licences.licence_report(df), licences.LICENCE_SQL) is None
