@@ -1,16 +1,21 @@
 """Licence recognition by sentences, in DataFrame functions only.
 
-A text is cut into sentences, each is normalised, and known licence sentences become
-their identifiers. A licence is recognised where its rule - an ordered sequence of
-identifiers - lies without a gap in the sequence of a text's known sentences.
-Everything happens within the row: no shuffle and no join.
+A text is normalised, and known licence sentences in it become their identifiers. A
+sentence lies between two ends, which are final punctuation, blank lines and the ends
+of lines; line feeds within it are blanks, so a wrapped sentence is found as well as
+one that a line holds alone. A licence is recognised where its rule - an ordered
+sequence of identifiers - lies without a gap in the sequence of a text's known
+sentences. Everything happens within the row: no shuffle and no join.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Licence sentences in normal form, numbered from 1 in this order.
+# Licence sentences in normal form, numbered from 1 in this order. These are one-line forms, and
+# with the rules below all that the SQL twin knows, which ends a sentence at every line feed.
 SENTENCES = (
     "licensed under cc by nc 4 0",
     "this work is licensed under the gnu general public license version 3",
@@ -42,33 +47,121 @@ RULES = (
     ("all-rights-reserved", (14,)),
 )
 
-#: A sentence ends at a line feed, or at punctuation before white space or the end of the text.
-SENTENCE_END = r"\n|[.!?;]+(?=[\x20\x09-\x0D]|$)"
-_NOT_PLAIN = "[^a-z0-9]+"
+# The licences of the Creative Commons 4.0 family: short code and long name.
+_CC = (("by", "attribution"), ("by sa", "attribution sharealike"), ("by nd", "attribution noderivatives"),
+       ("by nc", "attribution noncommercial"), ("by nc sa", "attribution noncommercial sharealike"),
+       ("by nc nd", "attribution noncommercial noderivatives"))
+
+
+def _cc_sentences(code, name):
+    public = f"creative commons {name} 4 0 international public license"
+    return (f"licensed under cc {code} 4 0", f"this work is licensed under cc {code} 4 0",
+            f"this work is licensed under a creative commons {name} 4 0 international license",
+            f"this work is licensed under the creative commons {name} 4 0 international license",
+            f"this work is licensed under {name} 4 0 international", public,
+            "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions "
+            f"of this {public} public license")
+
+
+_FREE = "this program is free software"
+_REDISTRIBUTE = "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
+# Notices have semicolons or a colon after "free software", and semicolons or a comma after "foundation".
+_VERSIONS = {f"gpl-{v}.0{later}": f"either version {v} of the license or at your option any later version" if later else f"version {v} of the license"
+             for v in (2, 3) for later in ("", "-or-later")}
+_GPL = {name: ((_FREE, _REDISTRIBUTE, v), (f"{_FREE} {_REDISTRIBUTE}", v), (_FREE, f"{_REDISTRIBUTE} {v}"), (f"{_FREE} {_REDISTRIBUTE} {v}",))
+        for name, v in _VERSIONS.items()}
+
+
+# The sentences of the licences' own texts and notices, by the names that the rules below use.
+_TEXTS = {
+    "apache": "licensed under the apache license version 2 0 the license",
+    "apache title": "apache license version 2 0 january 2004",
+    "apache as is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+                    "as is basis without warranties or conditions of any kind either express or implied",
+    "apache see": "see the license for the specific language governing permissions and limitations under the license",
+    "mit grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+                 "files the software to deal in the software without restriction including without limitation the rights to use copy "
+                 "modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+                 "software is furnished to do so subject to the following conditions",
+    "mit notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "mit as is": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+                 "of merchantability fitness for a particular purpose and noninfringement",
+    "bsd grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+                 "following conditions are met",
+    "bsd source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+                  "disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+                 "derived from this software without specific prior written permission",
+    "bsd as is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including "
+                 "but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "gpl title 2": "gnu general public license version 2 june 1991",
+    "gpl title 3": "gnu general public license version 3 29 june 2007",
+    "gpl useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl see": "see the gnu general public license for more details",
+}
+
+#: All known sentences: the one-line forms keep their numbers, those of the texts follow.
+ALL_SENTENCES = tuple(dict.fromkeys((
+    *SENTENCES, *_TEXTS.values(), *(s for forms in _GPL.values() for form in forms for s in form), *(s for kind in _CC for s in _cc_sentences(*kind)))))
+
+
+def _ids(*names):
+    return tuple(ALL_SENTENCES.index(_TEXTS.get(n, n)) + 1 for n in names)
+
+
+#: All rules; a licence may have several.
+ALL_RULES = (
+    *RULES,
+    ("apache-2.0", _ids("apache")),
+    ("apache-2.0", _ids("apache title")),
+    ("apache-2.0-notice", (*_ids("apache"), 8, 9, *_ids("apache as is", "apache see"))),
+    ("mit-text", _ids("mit grant", "mit notice", "mit as is")),
+    ("bsd", _ids("bsd grant")),
+    ("bsd-2-clause", _ids("bsd grant", "bsd source", "bsd binary", "bsd as is")),
+    ("bsd-3-clause", _ids("bsd grant", "bsd source", "bsd binary", "bsd names", "bsd as is")),
+    *((rule, _ids(*form)) for name, forms in _GPL.items() for form in forms for rule in ("gpl", name)),
+    ("gpl-2.0", _ids("gpl title 2")),
+    ("gpl-3.0", _ids("gpl title 3")),
+    *((f"cc-{code.replace(' ', '-')}-4.0", _ids(s)) for code, name in _CC for s in _cc_sentences(code, name)),
+)
+
+#: Punctuation that ends a sentence: before white space or the end of the text.
+SENTENCE_END = r"[.!?;]+(?=[\x20\x09-\x0D]|$)"
+# In lowered text the capitals are free: X is the end of a sentence. Line feeds stay, other runs are one blank.
+_NOT_PLAIN = r"[^a-z0-9X\n]+"
+# Between the words of a sentence: a blank or one line feed, and then the punctuation that leads a comment's line.
+_BETWEEN, _LINE = r"(?: ?\n[ X]*| )", r" ?\n[ X]*"
 
 
-def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
+def sentence_ids(text: Column, sentences=ALL_SENTENCES) -> Column:
     """Numbers of the known sentences of a text, in order; null texts have none.
 
     A sentence's normal form has its ASCII letters in lower case and one blank for
-    every run of other characters.
+    every run of other characters; a line without ASCII letters and digits is blank.
+    Of known sentences that begin at the same place the longest counts: a sentence
+    over several lines comes before the one that its first line holds.
     """
+    words = [s.split(" ") for s in sentences if re.fullmatch("[a-z0-9]+(?: [a-z0-9]+)*", s)]
+    if not words:
+        return F.array().cast("array<int>")
     known = F.array(*[F.lit(s) for s in sentences])
     lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-    # Any run of other characters is one blank, so only the normal form's length says anything about a sentence.
-    normal = F.transform(F.split(lowered, SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, _NOT_PLAIN, " ")))
-    return F.filter(F.transform(normal, lambda s: F.array_position(known, s).cast("int")), lambda i: i > 0)
+    normal = F.regexp_replace(F.regexp_replace(lowered, SENTENCE_END, "X"), _NOT_PLAIN, " ")
+    any_known = "|".join(_BETWEEN.join(w) for w in sorted(words, key=len, reverse=True))
+    found = F.regexp_extract_all(F.concat(F.lit("X"), normal, F.lit("X")), F.lit(f"[X\\n] ?({any_known}) ?(?=[X\\n])"), F.lit(1))
+    return F.transform(found, lambda s: F.array_position(known, F.regexp_replace(s, _LINE, " ")).cast("int"))
 
 
-def rule_hits(ids: Column, rules=RULES) -> Column:
-    """Names of the rules whose sequence lies in ``ids``, in the order of the rules."""
+def rule_hits(ids: Column, rules=ALL_RULES) -> Column:
+    """Names of the rules whose sequence lies in ``ids``, each once, in the order of the rules."""
     trail = F.concat(F.lit(" "), F.array_join(F.transform(ids, lambda i: i.cast("string")), " "), F.lit(" "))
     names = [F.when(F.contains(trail, F.lit(" " + " ".join(map(str, seq)) + " ")), F.lit(name)) for name, seq in rules]
-    return F.array_compact(F.array(*names))
+    return F.array_distinct(F.array_compact(F.array(*names)))
 
 
-def scan_licences(docs: DataFrame, text: str = "text", sentences=SENTENCES, rules=RULES) -> DataFrame:
+def scan_licences(docs: DataFrame, text: str = "text", sentences=ALL_SENTENCES, rules=ALL_RULES) -> DataFrame:
     """Add ``sentence_ids`` (array<int>) and ``licences`` (array<string>).
 
     Columns so named before are replaced. Null, empty and plain texts get empty
