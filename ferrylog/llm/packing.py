@@ -32,7 +32,7 @@ CAPACITY = 2048
 GROUP = 40_000
 #: Words that a worker remembers.
 MEMO = 500_000
-#: Rounds of the local search at most, and bins that it dissolves beyond those that should go.
+#: Rounds of the local search without a gain after which it ends, and bins that it dissolves beyond those that should go.
 SEARCH_ROUNDS, SPARE = 24, 16
 
 
@@ -184,10 +184,13 @@ def _improve(bin_, room, pool, sizes):
 
 
 def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS) -> list[list[int]]:
-    """Best fit, then the swap search until no bin can be emptied."""
+    """Best fit, then the swap search until ``rounds`` rounds on end neither empty a bin nor raise the squared fill.
+
+    Both are bounded by the sum of the sizes, so the search ends.
+    """
     bins = best_fit(sizes, capacity)
-    least, best = -(-sum(sizes) // capacity), [list(b) for b in bins]
-    for _ in range(rounds):
+    least, best, most, stalled = -(-sum(sizes) // capacity), [list(b) for b in bins], 0, 0
+    while stalled < rounds:
         extra = len(bins) - least
         if extra <= 0:
             break
@@ -215,8 +218,12 @@ def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS) -> list[l
         gone, rest = set(donors), [i for _, i in pool]
         again = best_fit([sizes[i] for i in rest], capacity)
         bins = [x for b, x in enumerate(bins) if b not in gone] + [[rest[k] for k in x] for x in again]
+        squared = sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+        stalled += 1
         if len(bins) < len(best):
-            best = [list(b) for b in bins]
+            best, most, stalled = [list(b) for b in bins], squared, 0
+        elif len(bins) == len(best) and squared > most:
+            most, stalled = squared, 0
     return best
 
 
@@ -224,18 +231,21 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` from 1 to ``capacity``.
 
     Offsets have no gaps. Pieces of full length are sequences by themselves. Underfull
-    sequences of all groups are packed again, in ever fewer groups, so the waste does
-    not grow with the number of groups.
+    sequences of all groups are packed again, in ever fewer groups until one is left, so
+    the waste does not grow with the number of groups. Where few pieces get into full
+    sequences, the fuller half of each group's others stays as it is.
     """
     spark = pieces.sparkSession
     numbered = materialize(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
-    schema = "__group long, __row long, length long, __bin long, offset long, __full boolean"
+    schema = "__group long, __row long, length long, __bin long, offset long, __full boolean, __fuller boolean"
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "__row"], ascending=[False, True]).reset_index(drop=True)
         sizes = rows["length"].tolist()
-        member, number, offset, full = [], [], [], []
-        for b, own in enumerate(pack(sizes, capacity)):
+        member, number, offset, full, fuller = [], [], [], [], []
+        bins = sorted(pack(sizes, capacity), key=lambda own: -sum(sizes[i] for i in own))
+        half = (len(bins) + sum(sum(sizes[i] for i in own) == capacity for own in bins)) // 2
+        for b, own in enumerate(bins):
             at = 0
             for i in own:
                 member.append(i)
@@ -243,26 +253,30 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
                 offset.append(at)
                 at += sizes[i]
             full += [at == capacity] * len(own)
-        return rows.iloc[member].assign(__bin=number, offset=offset, __full=full)[["__group", "__row", "length", "__bin", "offset", "__full"]]
+            fuller += [b < half] * len(own)
+        out = rows.iloc[member].assign(__bin=number, offset=offset, __full=full, __fuller=fuller)
+        return out[["__group", "__row", "length", "__bin", "offset", "__full", "__fuller"]]
 
     whole = numbered.where(F.col("length") == capacity).select("__row", F.col("__row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     open_pieces, placed, stage = numbered.where(F.col("length") < capacity).select("__row", "length"), [whole], 1
     count = open_pieces.count()
+    groups = max(1, -(-count // group))
     while True:
-        groups = max(1, -(-count // group))
         dealt = open_pieces.withColumn("__group", F.pmod(F.xxhash64("__row", F.lit(stage)), F.lit(groups)))
         done = materialize(dealt.groupBy("__group").applyInPandas(packed, schema), "packed")
         # Sequence ids: pieces of full length have those of their rows, which are not negative; the others are below.
-        sequence = -((F.col("__group") * F.lit(1 << 20) + F.col("__bin")) * F.lit(64) + F.lit(stage))
-        final = done if groups == 1 else done.where("__full")
-        placed.append(final.select("__row", sequence.alias("sequence_id"), "offset"))
+        sequence = -((F.col("__group") * F.lit(1 << 20) + F.col("__bin")) * F.lit(1 << 12) + F.lit(stage))
         if groups == 1:
+            placed.append(done.select("__row", sequence.alias("sequence_id"), "offset"))
             break
-        open_pieces = done.where(~F.col("__full")).select("__row", "length")
-        before, count, stage = count, open_pieces.count(), stage + 1
-        if count * 10 > before * 9:  # nothing to gain from another round
-            placed.append(done.where(~F.col("__full")).select("__row", sequence.alias("sequence_id"), "offset"))
-            break
+        stays, before, count = F.col("__full"), count, done.where(~F.col("__full")).count()
+        if count * 10 > before * 9:  # too few full sequences: only the emptier ones of each group meet those of others
+            stays = F.col("__fuller")
+            count = done.where(~stays).count()
+        placed.append(done.where(stays).select("__row", sequence.alias("sequence_id"), "offset"))
+        open_pieces, stage = done.where(~stays).select("__row", "length"), stage + 1
+        # Groups of one sequence each leave all pieces; then half as many groups have two.
+        groups = max(1, min(-(-count // group), groups // 2 if count == before else groups))
     where = placed[0]
     for more in placed[1:]:
         where = where.unionByName(more)

@@ -64,6 +64,18 @@ def test_groups_are_joined(spark):
     assert check_sequences(rows, 100) <= -(-sum(sizes) // 100) + 3
 
 
+def test_leftovers_of_all_groups_meet(spark):
+    """No sequence of three can be full, but each group leaves one that is emptier than it need be."""
+    df = spark.range(600).selectExpr("id", "30L AS length")
+    rows = packing.pack_pieces(df, 100, group=20).collect()
+    assert sorted(r.id for r in rows) == list(range(600))
+    assert check_sequences(rows, 100) == 200
+    alone = packing.pack_pieces(spark.range(9).selectExpr("id", "60L AS length"), 100, group=2).collect()
+    assert check_sequences(alone, 100) == 9
+    pairs = packing.pack_pieces(spark.range(12).selectExpr("id", "20L AS length"), 100, group=1).collect()
+    assert check_sequences(pairs, 100) == 3
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, piece string")
     out = packing.pack_documents(df, PATH)
@@ -103,6 +115,16 @@ def test_search_saves_bins():
     assert better
 
 
+def test_search_goes_on_while_it_gains():
+    """One round without a gain ends the search here; the rounds before it are not counted."""
+    for seed, low, bins in ((6, 20, 22), (26, 20, 21), (30, 10, 18)):
+        rng = random.Random(seed)
+        sizes = sorted((rng.randint(low, 45 if low == 20 else 50) for _ in range(60)), reverse=True)
+        found = packing.pack(sizes, 100, rounds=1)
+        assert sorted(i for b in found for i in b) == list(range(60)) and all(sum(sizes[i] for i in b) <= 100 for b in found)
+        assert len(found) == bins < len(packing.best_fit(sizes, 100))
+
+
 def test_a_change_raises_squared_fill():
     sizes = [9, 8, 5, 4, 3]
     pool = sorted([(9, 0), (5, 2)])
