@@ -299,7 +299,10 @@ def e1_signed(spark, sf):
 # --- capture with the built-in handlers ---------------------------------------
 
 def _change_feed(spark, sf):
-    """The row changes as a stream of events whose rows are maps of text, every one behind its table map."""
+    """The row changes as a stream of events whose rows are maps of text, every one behind its table map.
+
+    Each half of the log is a micro-batch of several files.
+    """
     text = lambda image: F.when(F.col(image).isNotNull(), F.map_from_arrays(
         F.array(*[F.lit(c) for c in ("k", "status", "price", "note")]), F.array(*[F.col(image)[c].cast("string") for c in ("k", "status", "price", "note")])))
     log = number_rows(row_changes(spark, sf), ["file", "pos", "row_no"], "n")
@@ -313,9 +316,13 @@ def _change_feed(spark, sf):
       cast(NULL AS array<struct<before:map<string,string>,after:map<string,string>>>) AS rows""")
     feed = materialize(first.unionByName(rows), "feed")
     path, most = scratch_path(spark, "feed"), log.count() + 1
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for a, b in ((0, most // 2), (most // 2, most)):
-        feed.where(F.col("seq").between(a + 1, b)).coalesce(1).write.mode("append").parquet(path)
-    return read_change_events(spark, path, stream=True, maxFilesPerTrigger=1)
+        # Files are read by their age, so the first half's must fill its micro-batch and the second's may not be more.
+        half = feed.where(F.col("seq").between(a + 1, b)).repartitionByRange(files, "seq").coalesce(files)
+        half.write.mode("append").parquet(path)
+        files = files if a else len(spark.read.parquet(path).inputFiles())
+    return read_change_events(spark, path, stream=True, maxFilesPerTrigger=files)
 
 
 def _drained(spark, sf, handlers):

@@ -5,7 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from checks.inputs import KEYS, table
+from checks.inputs import KEYS, row_changes, table
+from checks.jobs import _change_feed
 from ferrylog.functions.position import Position
 from ferrylog.operators import copying, tasks
 from ferrylog.operators.fold import apply_changes
@@ -411,3 +412,19 @@ def test_a_backlog_is_drained_in_bounded_batches(spark, tmp_path):
     query = watch_exports(spark, str(tmp_path / "export"), job, str(tmp_path / "state"), interval=None, max_files=1)
     assert bounded_run(query) and len(query.recentProgress) >= 3
     assert [r[0] for r in rows_of(applied.read())] == [0, 1, 2, 3]
+
+
+# --- the streamed change feed -------------------------------------------------
+
+def test_change_feed_is_two_batches_of_several_files(spark, sf_dir, tmp_path):
+    seen = {}
+
+    def look(rows, batch_id):
+        at = rows.select("seq", F.input_file_name().alias("file"))
+        seen[batch_id] = tuple(at.agg(F.min("seq"), F.max("seq"), F.count("seq"), F.count_distinct("file")).first())
+
+    bounded_run(_change_feed(spark, sf_dir).writeStream.foreachBatch(look).trigger(availableNow=True)
+                .option("checkpointLocation", str(tmp_path / "state")).start())
+    most = row_changes(spark, sf_dir).count() + 1
+    assert [b[:3] for _, b in sorted(seen.items())] == [(1, most // 2, most // 2), (most // 2 + 1, most, most - most // 2)]
+    assert all(files > 1 for *_, files in seen.values())
