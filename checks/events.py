@@ -10,7 +10,7 @@ from ferrylog.functions.position import Position, start_from
 from ferrylog.operators import events as ev
 from ferrylog.operators.numbering import checkpoint_marks
 from ferrylog.session import materialize, scratch_path
-from ferrylog.sinks.ledger import read_checkpoint, save_checkpoint
+from ferrylog.sinks.ledger import read_checkpoints, save_checkpoints
 from ferrylog.sources.exports import dedup_entries, drop_processed, union_entries, order_files
 
 # Small chunks, so that the carry over chunks is exercised on the small tables too.
@@ -159,12 +159,7 @@ _CHECKPOINT_LOG = """SELECT concat('s', cast(event_id % 7 AS string)) AS stream_
 @check("k6_save_checkpoint", f"""SELECT stream_id, file, pos, gtid FROM ({_CHECKPOINT_LOG.format(events='events')})
   QUALIFY row_number() OVER (PARTITION BY stream_id ORDER BY file DESC, pos DESC) = 1""")
 def k6(spark, sf):
-    """Each stream's first, greatest and last position are saved in that order; the checkpoint never moves back."""
+    """All positions of the log are saved; what the checkpoint table then holds."""
     log, path = spark.sql(_CHECKPOINT_LOG.format(events="{e}"), e=table(spark, sf, "events")), scratch_path(spark, "checkpoints")
-    at = F.struct("file", "pos", "gtid")
-    streams = log.groupBy("stream_id").agg(F.min_by(at, "version").alias("a"), F.max(at).alias("b"), F.max_by(at, "version").alias("c")).collect()
-    for s in streams:
-        for p in (s.a, s.b, s.c):
-            save_checkpoint(spark, path, s.stream_id, Position(p.file, p.pos, p.gtid))
-    return spark.createDataFrame([(s.stream_id, *read_checkpoint(spark, path, s.stream_id)) for s in streams],
-                                 "stream_id string, file string, pos bigint, gtid string")
+    save_checkpoints(spark, path, log)
+    return read_checkpoints(spark, path)

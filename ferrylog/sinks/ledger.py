@@ -133,6 +133,24 @@ def advancing(log: DataFrame) -> DataFrame:
                .select("stream_id", "p.*"))
 
 
+def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """Checkpoints of all streams."""
+    return advancing(_read(spark, path, CHECKPOINTS))
+
+
+def save_checkpoints(spark: SparkSession, path: str, positions: DataFrame):
+    """Record the greatest of any number of positions ``(stream_id, file, pos, gtid)`` of each stream.
+
+    Positions without a file or place are ignored and no checkpoint moves back.
+    """
+    at, now = F.struct("file", "pos"), _next_version()
+    new = advancing(positions.where("file IS NOT NULL AND pos IS NOT NULL"))
+    old = read_checkpoints(spark, path).select(F.col("stream_id").alias("__stream"), at.alias("__old"))
+    moved = new.join(old, F.col("stream_id").eqNullSafe(F.col("__stream")), "left").where(F.col("__old").isNull() | (at > F.col("__old")))
+    rows = moved.withColumns({"ts_ms": F.lit(now // 1_000_000), "version": F.lit(now)})
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in CHECKPOINTS]).write.parquet(f"{path}/{uuid.uuid4().hex}")
+
+
 def read_checkpoint(spark: SparkSession, path: str, stream_id: str) -> Optional[Position]:
     row = (advancing(_read(spark, path, CHECKPOINTS).where(F.col("stream_id") == stream_id))
            .first())

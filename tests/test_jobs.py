@@ -16,8 +16,8 @@ from ferrylog.plans.copy import CatalogTarget, CopyConfig, FolderTarget, JdbcTar
 from ferrylog.plans.verify import verify_copy
 from ferrylog.sinks.applied import AppliedTable
 from ferrylog.sinks.ledger import (append_progress, clear_progress, has_incomplete, incomplete_tables,
-                                   progress_report, progress_summary, read_checkpoint, read_progress,
-                                   save_checkpoint)
+                                   progress_report, progress_summary, read_checkpoint, read_checkpoints,
+                                   read_progress, save_checkpoint, save_checkpoints)
 from ferrylog.sinks.tables import JdbcTable, create_target, write_table
 from ferrylog.sources.tables import CatalogSource, DirectorySource, JdbcSource, KeyRange, scan_table
 from ferrylog.streaming.watch import Replay, bounded_run, watch_exports
@@ -414,6 +414,32 @@ def test_a_backlog_is_drained_in_bounded_batches(spark, tmp_path):
     assert [r[0] for r in rows_of(applied.read())] == [0, 1, 2, 3]
 
 
+# --- checkpoints of many positions -------------------------------------------
+
+def test_checkpoints_of_many_positions(spark, tmp_path):
+    path, shape = str(tmp_path / "many"), "stream_id string, file string, pos bigint, gtid string"
+    log = [("a", "b.1", 9, "u:1"), ("a", "b.2", 5, "u:2"), ("a", "b.1", 99, "u:3"), ("c", "b.1", 1, None), ("n", None, 7, "u"), ("n", "b.1", None, "u")]
+    save_checkpoints(spark, path, spark.createDataFrame(log, shape))
+    assert rows_of(read_checkpoints(spark, path)) == [("a", "b.2", 5, "u:2"), ("c", "b.1", 1, None)]
+    save_checkpoints(spark, path, spark.createDataFrame([("a", "b.2", 4, "u:4"), ("c", "b.1", 2, "u:5")], shape))
+    assert rows_of(read_checkpoints(spark, path)) == [("a", "b.2", 5, "u:2"), ("c", "b.1", 2, "u:5")]
+    assert save_checkpoint(spark, path, "a", Position("b.3", 1)) and not save_checkpoint(spark, path, "c", Position("b.1", 2))
+    assert read_checkpoint(spark, path, "a") == Position("b.3", 1, None)
+
+
+def test_saves_in_order(spark, tmp_path):
+    """First, greatest and last position of a stream: the last is behind and doesn't count."""
+    path = str(tmp_path / "order")
+    saved = [save_checkpoint(spark, path, "s", Position(f, p)) for f, p in (("b.1", 4), ("b.3", 9), ("b.2", 50))]
+    assert saved == [True, True, False] and read_checkpoint(spark, path, "s") == Position("b.3", 9, None)
+
+
+def test_checkpoint_query_reads_the_table(spark, sf_dir):
+    from checks.events import k6
+    plan = k6(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "LocalRelation" not in plan and "LogicalRDD" not in plan
+
+
 # --- the streamed change feed -------------------------------------------------
 
 def test_change_feed_is_two_batches_of_several_files(spark, sf_dir, tmp_path):
