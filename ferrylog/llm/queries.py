@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ferrylog.llm import bpe, language, licences, lines, minhash, packing, quality, repeats, sharding, spelling, token_counts, topk
+from ferrylog.llm import (bpe, conversations, language, licences, lines, minhash, packing, quality, repeats,
+                          sharding, spelling, token_counts, topk)
 
 
 def _documents(spark, sf_dir):
@@ -56,12 +57,18 @@ def op11_line_dedup(spark, sf_dir):
     return lines.digest(_documents(spark, sf_dir))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(_documents(spark, sf_dir))
 
 
 QUERIES = {q.__name__: q for q in (
     op1_language_id, op2_byte_bpe, op3_jump_sharding, op4_swap_packing, op5_quality_divergence, op6_token_counts,
-    op7_minmax_dedup, op8_license_scan, op9_substring_dedup, op10_pivot_topk, op11_line_dedup, op13_spelling_variants)}
+    op7_minmax_dedup, op8_license_scan, op9_substring_dedup, op10_pivot_topk, op11_line_dedup, op12_conversation_repair,
+    op13_spelling_variants)}
 SQL = {"op3_jump_sharding": sharding.SHARD_SQL, "op8_license_scan": licences.LICENCE_SQL,
-       "op11_line_dedup": lines.LINES_SQL, "op13_spelling_variants": spelling.VARIANTS_SQL}
+       "op11_line_dedup": lines.LINES_SQL, "op12_conversation_repair": conversations.REPAIR_SQL,
+       "op13_spelling_variants": spelling.VARIANTS_SQL}

@@ -379,8 +379,8 @@ formed AS (
          CASE WHEN r.n >= {TIMES} * w.n THEN r.n END AS form_n
   FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
 chain AS (
-  SELECT word, form AS at, 1 AS steps FROM formed WHERE form IS NOT NULL
-  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL),
-roots AS (SELECT word, arg_max(at, steps) AS root FROM chain GROUP BY word)
+  SELECT word, form AS reached, 1 AS steps FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word)
 SELECT f.word, f.form, coalesce(r.root, f.word) AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
 FROM formed f LEFT JOIN roots r ON r.word = f.word"""
