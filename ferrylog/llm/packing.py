@@ -23,8 +23,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from ferrylog.llm.bpe import Memo, PairTable, merge_many
-from ferrylog.llm.words import slices, text_buffers
+from ferrylog.llm.bpe import PairTable, merge_many
+from ferrylog.llm.words import cuts, slices, text_buffers
 from ferrylog.session import materialize
 
 CAPACITY = 2048
@@ -36,13 +36,49 @@ MEMO = 500_000
 SEARCH_ROUNDS, SPARE = 24, 16
 
 
+# White space between words, stops that may end a word, and the bytes of the
+# letters A-Z, a-z and U+00C0 to U+00FF (behind C3; two of these are signs, not letters).
+_SPACE, _ASCII, _BEHIND, _STOP = (np.zeros(256, bool) for _ in range(4))
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_ASCII[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_BEHIND[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+_STOPS = np.array(sorted(b".,;:!?"))
+_STOP[_STOPS] = True
+#: Lower case of an ASCII byte, and of a byte behind C3.
+_LOWER, _LOWER_BEHIND = np.arange(256, dtype=np.uint8), np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_LOWER_BEHIND[[b for b in range(0x80, 0x9F) if b != 0x97]] += 32
+#: Bytes of the texts that are encoded together.
+TOGETHER = 1 << 21
+
+
+class Remembered:
+    """What ``encode`` gives for a list of byte strings; two generations, of which the older one is forgotten."""
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit, self.young, self.old = encode, limit, {}, {}
+
+    def __call__(self, tokens: list[bytes]) -> list[bytes]:
+        out = list(map(self.young.get, tokens))
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i in missing:
+            out[i] = self.old.get(tokens[i])
+        new = [i for i in missing if out[i] is None]
+        for i, ids in zip(new, self.encode([tokens[i] for i in new]) if new else []):
+            out[i] = ids
+        self.young.update((tokens[i], out[i]) for i in missing)
+        if len(self.young) > self.limit // 2:
+            self.old, self.young = self.young, {}
+        return out
+
+
 class WordVocabulary:
     """A vocabulary file of the tokenizers library for lower-case words with marked ends.
 
     Its ids for a text are those of the text's blank-separated words one after another:
     white space is dropped, no character combines across it, and no piece spans it.
-    Words of plain Latin letters are merged here side by side; all others, and those
-    that could hold a special token, go to the library.
+    Words of plain Latin letters, perhaps before a stop, are cut from whole texts at once
+    and merged here side by side; all others go through the pattern or to the library.
     """
 
     def __init__(self, path: str):
@@ -63,41 +99,99 @@ class WordVocabulary:
         self.last = np.array([vocab[char[b] + self.end] for b in range(256)], np.int64)
         # Fixed by Unicode: letters whose lower case is one character of the same range, and composed already.
         self.simple = regex.compile(r"[\x21-\x7EÀ-ÿ]+").fullmatch
+        self.letters, self.others = Remembered(self.merge, MEMO), Remembered(self.encode, MEMO // 8)
 
-    def _cut(self, word: str) -> list[str]:
-        """Pre-tokens of a word of simple characters; most are letters, perhaps before a stop."""
-        if word.isalpha():
-            return [word.lower()]
-        if word[:-1].isalpha() and word[-1] in ".,;:!?":
-            return [word[:-1].lower(), word[-1]]
-        return self.findall(word.lower())
+    def merge(self, tokens: list[bytes]) -> list[bytes]:
+        """Ids of each lower-case pre-token as little-endian unsigned 32-bit integers."""
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        flat = np.frombuffer(b"".join(tokens), np.uint8)
+        symbols = self.byte[flat]
+        ends = np.cumsum(lengths) - 1
+        symbols[ends] = self.last[flat[ends]]
+        return merge_many(symbols, lengths, self.table)
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         texts = [w.decode() for w in words]
         own = [w for w in texts if self.simple(w) and "<|" not in w]
-        cut = list(map(self._cut, own))
+        cut = [self.findall(w.lower()) for w in own]
         tokens = list(set(chain.from_iterable(cut)))
-        raw = [t.encode() for t in tokens]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-        flat = np.frombuffer(b"".join(raw), np.uint8)
-        symbols = self.byte[flat]
-        ends = np.cumsum(lengths) - 1
-        symbols[ends] = self.last[flat[ends]]
-        known = dict(zip(tokens, merge_many(symbols, lengths, self.table)))
-        done = {w: known[c[0]] if len(c) == 1 else b"".join(map(known.__getitem__, c)) for w, c in zip(own, cut)}
+        known = dict(zip(tokens, self.merge([t.encode() for t in tokens])))
+        done = {w: b"".join(map(known.__getitem__, c)) for w, c in zip(own, cut)}
         rest = [w for w in texts if w not in done]
         for w, e in zip(rest, self.library.encode_batch(rest, add_special_tokens=False) if rest else []):
             done[w] = np.array(e.ids, "<u4").tobytes()
         return list(map(done.__getitem__, texts))
 
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray, final: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, ends)``: the ids of all texts ``data[offsets[i]:offsets[i + 1]]``, each behind the other with ``final`` at its end.
+
+        A long text alone is encoded in pieces cut at white space.
+        """
+        base = int(offsets[0])
+        if len(offsets) == 2 and offsets[1] - base > TOGETHER:
+            ids = [self.encode_texts(data, np.array(cut), final)[0][:-1] for cut in cuts(data, base, int(offsets[1]))]
+            ids = np.concatenate([*ids, np.array([final], np.uint32)])
+            return ids, np.array([len(ids)])
+        data, edges = data[base:int(offsets[-1])], (offsets - base).astype(np.int64)
+        inside = ~_SPACE[data]
+        opens, closes = inside.copy(), inside.copy()
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        edge = edges[1:-1]
+        edge = edge[(edge > 0) & (edge < len(data))]  # a word ends with its text
+        opens[edge] = inside[edge]
+        closes[edge - 1] = inside[edge - 1]
+        start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        if not len(start):
+            return np.full(len(edges) - 1, final, np.uint32), np.arange(1, len(edges))
+        letter = _ASCII[data]
+        leads = np.flatnonzero(data[:-1] == 0xC3)
+        behind = leads[_BEHIND[data[leads + 1]]] + 1
+        letter[behind] = letter[behind - 1] = True
+        odd = np.append(np.int32(0), np.cumsum(~letter, dtype=np.int32))  # bytes that are no letter, before each place
+        odd = odd[end] - odd[start]
+        stop = np.where((odd == 1) & (end - start > 1) & _STOP[data[end - 1]], data[end - 1], 0)
+        plain = (odd == 0) | (stop > 0)
+        low = _LOWER[data]
+        low[behind] = _LOWER_BEHIND[data[behind]]
+        code, parts = np.empty(len(start), np.int64), []
+        for own, text, known, to in ((plain, low, self.letters, end - (stop > 0)), (~plain, data, self.others, end)):
+            at = np.flatnonzero(own)
+            if not len(at):
+                continue
+            size = to[at] - start[at]
+            taken = np.zeros(len(text) + 1, np.int8)
+            taken[start[at]] += 1  # one word at most begins, and one ends, at a place
+            taken[to[at]] -= 1
+            taken = np.cumsum(taken[:-1], dtype=np.int8).view(bool)
+            coded = pa.Array.from_buffers(pa.large_binary(), len(at), [
+                None, pa.py_buffer(np.append(0, np.cumsum(size))), pa.py_buffer(text[taken])]).dictionary_encode()
+            code[at] = coded.indices.to_numpy().astype(np.int64) + len(parts)
+            parts += known(coded.dictionary.to_pylist())
+        parts += [self.last[b].astype("<u4").tobytes() for b in _STOPS] + [final.to_bytes(4, "little")]
+        # What stands for each word, for its stop, and for the end of every text, in order.
+        stopped = stop > 0
+        words = np.searchsorted(start, edges)
+        texts = np.arange(len(edges) - 1)
+        place = np.cumsum(1 + stopped) - (1 + stopped) + np.repeat(texts, np.diff(words))
+        closing = np.append(0, np.cumsum(1 + stopped))[words[1:]] + texts
+        entry = np.full(int(closing[-1]) + 1, len(parts) - 1)
+        entry[place] = code
+        entry[place[stopped] + 1] = len(parts) - 1 - len(_STOPS) + np.searchsorted(_STOPS, stop[stopped])
+        count = np.append(0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4))
+        ids = pa.LargeListArray.from_arrays(pa.array(count), pa.array(np.frombuffer(b"".join(parts), "<u4"))).take(pa.array(entry))
+        ids, ends = ids.flatten().to_numpy(), ids.offsets.to_numpy()[closing + 1]
+        return ids, ends
+
 
 _vocabularies: dict = {}
 
 
-def _vocabulary(path: str) -> Memo:
+def _vocabulary(path: str) -> WordVocabulary:
+    """One per worker and file, with what it remembers."""
     if path not in _vocabularies:
-        _vocabularies[path] = Memo(WordVocabulary(path).encode, MEMO)
+        _vocabularies[path] = WordVocabulary(path)
     return _vocabularies[path]
 
 
@@ -113,30 +207,26 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col:
               T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
-    final = end_id.to_bytes(4, "little")
 
     def run(batches):
-        memo = _vocabulary(path)
+        vocabulary = _vocabulary(path)
         for batch in batches:
-            offsets, _ = text_buffers(batch.column(1))
-            raw = batch.column(1).cast(pa.binary())
-            for a, b in slices(offsets):
-                # Only ASCII white space ends a word here; what else the library takes for it is left to it.
-                words = [(t or b"").split() for t in raw.slice(a, b - a).to_pylist()]
-                known = memo.learn(chain.from_iterable(words))
-                rows, pieces, starts, ids = [], [], [], []
-                for i, own in enumerate(words):
-                    data = b"".join([*map(known.__getitem__, own), final])
-                    for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                        rows.append(i)
-                        pieces.append(k)
-                        starts.append(at // 4)
-                        ids.append(data[at:at + 4 * capacity])
-                out = [batch.column(0).slice(a, b - a).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
-                       pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                       pa.array(list(map(zlib.crc32, ids)), pa.int64())]
+            offsets, data = text_buffers(batch.column(1))
+            for a, b in slices(offsets, TOGETHER):
+                ids, ends = vocabulary.encode_texts(data, offsets[a:b + 1], end_id)
+                first = np.append(0, ends[:-1])
+                pieces = -(-(ends - first) // capacity)
+                row = np.repeat(np.arange(b - a), pieces)
+                number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                at = first[row] + number * capacity
+                length = np.minimum(ends[row] - at, capacity)
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                own = [raw[4 * x:4 * y] for x, y in zip(at.tolist(), (at + length).tolist())]
+                out = [batch.column(0).slice(a, b - a).take(pa.array(row)), pa.array(number, pa.int32()),
+                       pa.array(number * capacity, pa.int64()), pa.array(length, pa.int64()),
+                       pa.array(list(map(zlib.crc32, own)), pa.int64())]
                 if with_ids:
-                    out.append(pa.array(ids, pa.binary()))
+                    out.append(pa.array(map(bytes, own), pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, T.StructType(fields))

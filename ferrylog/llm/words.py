@@ -90,7 +90,7 @@ class Words:
     first: np.ndarray
 
 
-def _cuts(data, a, b):
+def cuts(data, a, b):
     """Cut ``data[a:b]`` after white space into pieces of about ``PIECE`` bytes."""
     while b - a > PIECE:
         at = a + PIECE
@@ -116,7 +116,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = No
     local = (offsets - base).astype(np.int64)
     table = _BYTE if fold is None else _BYTE[fold]
     starts, ends, hashes = [], [], []
-    for a, b in ([(base, int(offsets[-1]))] if n > 1 else _cuts(data, base, int(offsets[-1]))):
+    for a, b in ([(base, int(offsets[-1]))] if n > 1 else cuts(data, base, int(offsets[-1]))):
         piece = data[a:b]
         inside = ~_SPACE[piece]
         opens = inside.copy()
