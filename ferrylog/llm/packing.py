@@ -1,11 +1,12 @@
 """Packing of token sequences into training sequences of a fixed capacity.
 
-Best fit places the pieces, longest first. Then a local search raises the sum of
-squared fills: the least filled bins give up their pieces, and underfull bins take
-the largest of these that fits, or exchange one or two of their own pieces for it, so
-that fuller bins get fuller and the given-up pieces shorter, until they need a bin
-less. Pieces are spread over groups of a bounded size; what a group leaves in
-underfull bins is packed again with that of other groups, until one group is left.
+Pieces are laid into bins as they come. Then a local search raises the sum of squared
+fills: the least filled bins give up their pieces, and underfull bins take the largest
+of these that fits, or exchange one or two of their own pieces for it, so that fuller
+bins get fuller and the given-up pieces shorter, until they need a bin less. Where that
+ends above the lower bound, the search is run from best fit too. Pieces are spread over
+groups of a bounded size; what a group leaves in underfull bins, and some of its bins of
+small pieces, is packed again with that of other groups, until one group is left.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ CAPACITY = 2048
 GROUP = 40_000
 #: Words that a worker remembers.
 MEMO = 500_000
-#: Rounds of the local search without a gain after which it ends, and bins that it dissolves beyond those that should go.
-SEARCH_ROUNDS, SPARE = 24, 16
+#: Rounds of the local search without a gain after which it ends, and bins that it dissolves beyond those that should
+#: go: ``SPARE`` at most, and in every other round from pieces as they come ``SHARE`` of all bins.
+SEARCH_ROUNDS, SPARE, SHARE = 24, 16, 0.3
+#: Of a group's bins, one in so many that is full of small pieces is packed again with what other groups leave.
+RESERVE = 64
 
 
 # White space between words, stops that may end a word, and the bytes of the
@@ -273,20 +277,37 @@ def _improve(bin_, room, pool, sizes):
     return best
 
 
-def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS) -> list[list[int]]:
-    """Best fit, then the swap search until ``rounds`` rounds on end neither empty a bin nor raise the squared fill.
+def as_they_come(sizes, capacity: int) -> list[list[int]]:
+    """Bins as lists of indexes: each piece goes behind the one before it, or opens a bin."""
+    bins, room = [], 0
+    for i, size in enumerate(sizes):
+        if size <= room:
+            bins[-1].append(i)
+            room -= size
+        else:
+            bins.append([i])
+            room = capacity - size
+    return bins
+
+
+def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS, start=best_fit, share: float = 0, told=None) -> list[list[int]]:
+    """The swap search from ``start``, until ``rounds`` rounds on end neither empty a bin nor raise the squared fill.
 
-    Both are bounded by the sum of the sizes, so the search ends.
+    Both are bounded by the sum of the sizes, so the search ends. ``told``, a dict, gets
+    the rounds, the exchanges and the bins emptied.
     """
-    bins = best_fit(sizes, capacity)
+    bins = start(sizes, capacity)
     least, best, most, stalled = -(-sum(sizes) // capacity), [list(b) for b in bins], 0, 0
+    told = {} if told is None else told
+    told |= {"rounds": 0, "exchanges": 0, "emptied": 0}
     while stalled < rounds:
         extra = len(bins) - least
         if extra <= 0:
             break
         fill = [sum(sizes[i] for i in b) for b in bins]
         order = sorted(range(len(bins)), key=fill.__getitem__)
-        donors = order[:extra + min(SPARE, least // 4)]
+        wide = int(share * len(bins)) if stalled % 2 == 0 else 0
+        donors = order[:max(wide, extra + min(SPARE, least // 4))]
         open_bins = [b for b in reversed(order[len(donors):]) if fill[b] < capacity]
         pool = sorted((sizes[i], i) for b in donors for i in bins[b])
         changed = False
@@ -303,10 +324,16 @@ def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS) -> list[l
                 bins[b].append(piece)
                 room -= gain
                 changed = True
-        if not changed:
-            break
+                told["exchanges"] += 1
+        if not changed and not wide:
+            if not share:
+                break
+            stalled += 1  # the next round is wide again
+            continue
         gone, rest = set(donors), [i for _, i in pool]
         again = best_fit([sizes[i] for i in rest], capacity)
+        told["rounds"] += 1
+        told["emptied"] += len(donors) - len(again)
         bins = [x for b, x in enumerate(bins) if b not in gone] + [[rest[k] for k in x] for x in again]
         squared = sum(sum(sizes[i] for i in b) ** 2 for b in bins)
         stalled += 1
@@ -317,24 +344,43 @@ def pack(sizes, capacity: int = CAPACITY, rounds: int = SEARCH_ROUNDS) -> list[l
     return best
 
 
+def pack_group(sizes, capacity: int = CAPACITY, told=None) -> list[list[int]]:
+    """The search from pieces as they come, and from best fit where that ends above the lower bound; the better one counts."""
+    bins = pack(sizes, capacity, start=as_they_come, share=SHARE, told=told)
+    if (len(bins) - 1) * capacity >= sum(sizes):
+        longest = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+        other = pack([sizes[i] for i in longest], capacity)
+        if len(other) < len(bins):
+            bins = [[longest[k] for k in own] for own in other]
+    return bins
+
+
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` from 1 to ``capacity``.
 
     Offsets have no gaps. Pieces of full length are sequences by themselves. Underfull
     sequences of all groups are packed again, in ever fewer groups until one is left, so
-    the waste does not grow with the number of groups. Where few pieces get into full
-    sequences, the fuller half of each group's others stays as it is.
+    the waste does not grow with the number of groups; a few full ones of small pieces
+    go with them, as these fit in anywhere. Where few pieces get into full sequences,
+    the fuller half of each group's others stays as it is. Columns of ``pieces`` stay,
+    but for those two names.
     """
-    spark = pieces.sparkSession
-    numbered = materialize(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    own = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    numbered = materialize(pieces.select(F.struct(*own).alias("piece"), F.col("length").cast("long").alias("length"),
+                                         F.monotonically_increasing_id().alias("__row")), "pieces")
     schema = "__group long, __row long, length long, __bin long, offset long, __full boolean, __fuller boolean"
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "__row"], ascending=[False, True]).reset_index(drop=True)
+        rows = rows.sort_values("__row").reset_index(drop=True)
         sizes = rows["length"].tolist()
         member, number, offset, full, fuller = [], [], [], [], []
-        bins = sorted(pack(sizes, capacity), key=lambda own: -sum(sizes[i] for i in own))
-        half = (len(bins) + sum(sum(sizes[i] for i in own) == capacity for own in bins)) // 2
+        bins = pack_group(sizes, capacity)
+        fill = [sum(sizes[i] for i in own) for own in bins]
+        order = sorted(range(len(bins)), key=lambda b: (-fill[b], len(bins[b])))
+        bins, whole_bins = [bins[b] for b in order], sum(x == capacity for x in fill)
+        half = (len(bins) + whole_bins) // 2
+        # The last of the full ones have the most pieces.
+        whole_bins -= min(whole_bins, max(len(bins) // RESERVE, min(SPARE, len(bins) // 4)))
         for b, own in enumerate(bins):
             at = 0
             for i in own:
@@ -342,7 +388,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
                 number.append(b)
                 offset.append(at)
                 at += sizes[i]
-            full += [at == capacity] * len(own)
+            full += [b < whole_bins] * len(own)
             fuller += [b < half] * len(own)
         out = rows.iloc[member].assign(__bin=number, offset=offset, __full=full, __fuller=fuller)
         return out[["__group", "__row", "length", "__bin", "offset", "__full", "__fuller"]]
@@ -370,7 +416,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP)
     where = placed[0]
     for more in placed[1:]:
         where = where.unionByName(more)
-    return numbered.join(where, "__row").drop("__row")
+    return numbered.join(where, "__row").select("piece.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -140,3 +140,40 @@ def test_pieces_keep_long_texts_whole(spark, library):
     text = " ".join(f"w{i}" for i in range(70000))
     rows = packing.cut_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).collect()
     assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in rows) == pieces_of(library, text)
+
+
+def test_the_search_packs_the_given_documents(spark, sf_dir):
+    """From documents as they come, the exchanges empty the bins: no more are left than best fit needs."""
+    pieces = packing.cut_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), PATH).where("length < 2048").orderBy("id", "piece")
+    sizes, told = [r.length for r in pieces.collect()], {}
+    found = packing.pack_group(sizes, told=told)
+    assert sorted(i for b in found for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 2048 for b in found)
+    assert told["exchanges"] > len(found) // 2 and told["emptied"] >= len(packing.as_they_come(sizes, 2048)) - len(found) > len(found) // 8
+    longest = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    assert len(found) <= len(packing.best_fit([sizes[i] for i in longest], 2048)) <= -(-sum(sizes) // 2048) + 1
+
+
+def test_other_columns_stay(spark):
+    df = spark.createDataFrame([(7, 60, "a", 1), (8, 50, "b", 2), (8, 40, "c", 3), (None, 100, "d", 4)], "__row long, length int, Offset string, __bin int")
+    out = packing.pack_pieces(df, 100)
+    assert out.columns == ["__row", "length", "__bin", "sequence_id", "offset"]
+    assert sorted((r["__bin"], r["__row"], r["length"]) for r in out.collect()) == [(1, 7, 60), (2, 8, 50), (3, 8, 40), (4, None, 100)]
+    assert check_sequences(out.collect(), 100) == 3
+
+
+def test_words_at_the_edges_of_texts(library):
+    vocabulary = packing.WordVocabulary(PATH)
+    texts = ["one", "", "Two.three", "É×à÷b", "..", "a.", ". b!", " ÀÞ\x0bß?", "x\u0301 y", "'s it's", "12ab", "ÿ", "<|endoftext|>."]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.append(0, np.cumsum([len(t.encode()) for t in texts]))
+    ids, ends = vocabulary.encode_texts(data, offsets, 0)
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_memory_of_words_is_bounded():
+    asked = []
+    memory = packing.Remembered(lambda new: asked.append(len(new)) or [x + x for x in new], 8)
+    for k in range(40):
+        tokens = [b"%d" % i for i in range(k, k + 3)]
+        assert memory(tokens) == [t + t for t in tokens] and len(memory.young) + len(memory.old) <= 12
+    assert sum(asked) < 60
