@@ -124,6 +124,41 @@ def t2(spark, sf):
     return _replayed(spark, sf)[1].read()
 
 
+def _grow(spark, source, folder, share):
+    """``folder`` as a writer would have left it: a share of the files of ``source``, the last of them in part."""
+    from pyarrow import fs as arrow_fs
+
+    def copy(batches):
+        store, root = arrow_fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for path, size, part in zip(batch["path"], batch["length"], batch["part"]):
+                name = path.rpartition("/")[2]
+                with store.open_input_file(f"{source.removeprefix('file://')}/{name}") as old, store.open_output_stream(f"{root}/{name}") as new:
+                    for at in range(0, int(size * part), 1 << 20):
+                        new.write(old.read(min(1 << 20, int(size * part) - at)))
+            yield batch
+
+    listed = spark.read.format("binaryFile").load(source).select("path", "length")
+    files = listed.count()
+    listed = number_rows(listed, ["path"], "n").withColumn("part", F.least(F.lit(1.0), F.lit(float(share * files)) - F.col("n") + 1)).where("part > 0")
+    listed.repartition("path").mapInPandas(copy, listed.schema).write.format("noop").mode("overwrite").save()
+
+
+@check("t1_growing_exports", FINAL_MONEY_SQL)
+def t1_growing(spark, sf):
+    """The folder grows twice between drains; cuts fall anywhere in a file."""
+    home = scratch_path(spark, "growing")
+    applied = AppliedTable(spark, f"{home}/table", ["k"], buckets=4)
+    applied.create(money_base(spark, sf))
+    capture_to_files(money_changes(spark, sf), _schema(spark, sf), f"{home}/export", "a", GENERATED)
+    job = Replay(spark, applied, _schema(spark, sf), "orders", f"{home}/checkpoints", f"{home}/rejected", "shop.orders")
+    for share in (0.4, 0.75, 1):
+        _grow(spark, f"{home}/export", f"{home}/grown", share)
+        bounded_run(watch_exports(spark, f"{home}/grown", job, f"{home}/state", interval=None, range_bytes=1 << 16))
+    return applied.read()
+
+
 @check("t1_watch_exports", f"WITH {changes_sql()} SELECT file, pos, gtid FROM row_changes ORDER BY file DESC, pos DESC LIMIT 1")
 def t1(spark, sf):
     """Position reached by the watch; what it did to the table is t2."""

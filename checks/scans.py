@@ -15,7 +15,7 @@ from ferrylog.session import scratch_path
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
 from ferrylog.sources import tables as src
 from ferrylog.sources.changes import read_change_events, snapshot_position
-from ferrylog.sources.exports import carry_headers, read_export_files, read_sql_export
+from ferrylog.sources.exports import carry_headers, entries_of_blocks, read_export_blocks, read_export_files, read_sql_export
 
 STAMP, GENERATED = "20260302_104733", "2026-03-02T10:47:33"
 
@@ -108,6 +108,19 @@ def s8(spark, sf):
     return read_sql_export(spark, folder).select("file", "pos", "gtid", "sql")
 
 
+@check("s8_split_export", f"WITH {entries_sql()}, n AS (SELECT *, (row_number() OVER (ORDER BY file, pos) - 1) % 10000 + 1 AS entry_no FROM entries) SELECT * FROM n")
+def s8_split(spark, sf):
+    """Files in ranges of 64 KB: every entry with its number in the file (0 is the text before the first)."""
+    folder, _ = exported(spark, sf)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 16)
+    try:
+        blocks = read_export_blocks(spark, folder)  # reads and parses the file
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return entries_of_blocks(blocks).where("NOT orphan").select("file", "pos", "gtid", "sql", "entry_no")
+
+
 @check("s9_stream_sql_export", f"WITH {entries_sql()} SELECT * FROM entries")
 def s9(spark, sf):
     folder, _ = exported(spark, sf, 1000)

@@ -64,7 +64,7 @@ ENTRY_ORDER = ("file", "pos", "source_file", "row_no")
 def incremental_replay(spark: SparkSession, folder: str, target: DataFrame, keys,
                        table: Optional[str] = None, checkpoint=None, null_match="safe"):
     """Replay export files onto a table: ``(new table, reached position, rejected)``."""
-    entries = read_sql_export(spark, folder)
+    entries = materialize(read_sql_export(spark, folder), "entries")  # for the changes and the position
     parsed = changes_of_entries(entries, target.schema, table, checkpoint)
     out = apply_changes(target, parsed.changes, keys, null_match, ENTRY_ORDER)
     return out, last_position(after_checkpoint(entries, checkpoint)), parsed.rejected
