@@ -383,23 +383,45 @@ def e2_stream(spark, sf):
     return read_sql_export(spark, folder).select("file", "pos")
 
 
-@check("x1_default_handlers", """SELECT * FROM (VALUES ('both', 'audit apply'), ('export', 'export'), ('nothing', ''), ('retried', 'apply')) AS t(choice, handlers)""")
+@check("x1_default_handlers", f"""WITH {changes_sql()}, final AS ({FINAL_SAFE_SQL})
+  SELECT 'export' AS choice, 'entries' AS what, count(*) AS rows FROM row_changes
+  UNION ALL SELECT 'both', 'table', count(*) FROM final UNION ALL SELECT 'both', 'audit', 0""")
 def x1_default(spark, sf):
-    """Which handlers run, and that a batch a handler failed on can be run again."""
-    failed, calls = scratch_path(spark, "failed"), []
+    """What the default handlers leave: files if there is an export handler, else the table and the audit."""
+    home, schema = scratch_path(spark, "defaults"), base(spark, sf).schema
+    applied = AppliedTable(spark, f"{home}/table", ["k"], buckets=4)
+    applied.create(base(spark, sf))
+    export, audit = export_handler(f"{home}/export", schema, GENERATED, "shop.orders"), audit_handler(f"{home}/audit")
+    apply = apply_handler(applied, schema, "s", "shop.orders")
+    for handlers in (default_handlers(export, audit, apply), default_handlers(audit=audit, apply=apply)):
+        _drained(spark, sf, handlers)
+    counts = [("export", "entries", read_sql_export(spark, f"{home}/export")), ("both", "table", applied.read()),
+              ("both", "audit", spark.read.parquet(f"{home}/audit"))]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(choice).alias("choice"), F.lit(what).alias("what"), "rows") for choice, what, df in counts]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@check("x1_retry_in_order", FINAL_SAFE_SQL)
+def x1_retry(spark, sf):
+    """The target is away in the first of two micro-batches: the second one waits, and both are applied in order later."""
+    home = scratch_path(spark, "retried")
+    applied = AppliedTable(spark, f"{home}/table", ["k"], buckets=4)
+    applied.create(base(spark, sf))
+    inner, away = apply_handler(applied, base(spark, sf).schema, "s", "shop.orders"), [True]
 
     def handle(events, batch_id):
-        calls.append(events.count())
-        if len(calls) == 1:
+        if away[0]:
             raise OSError("target went away")
+        inner.handle(events, batch_id)
 
-    audit, export = audit_handler("a"), export_handler("b", base(spark, sf).schema, GENERATED)
-    names = lambda handlers: " ".join(h.name for h in handlers.handlers)
-    own = default_handlers(apply=Handler("apply", F.lit(True), handle), failed_path=failed)
-    own.run(base(spark, sf), 3)
-    before = own.failed(spark)
-    retry_failed(spark, own)
-    assert [(b, n) for b, n, _ in before] == [(3, "apply")] and calls[0] == calls[1] and not own.failed(spark)
-    apply = Handler("apply", F.lit(True), handle)
-    return spark.createDataFrame([("both", names(default_handlers(audit=audit, apply=apply))), ("export", names(default_handlers(export, audit, apply))),
-                                  ("nothing", names(default_handlers())), ("retried", before[0][1])], "choice string, handlers string")
+    seen = Handler("seen", inner.supports, lambda events, batch_id: events.write.parquet(f"{home}/seen/batch={batch_id}"))
+    own = Handlers([inner._replace(handle=handle), seen], f"{home}/failed")
+
+    def recovered(events, batch_id):
+        own.run(events, batch_id)
+        away[0] = False  # back at once, but the first batch has still to come before the second
+
+    _drained(spark, sf, Handlers([Handler("all", F.lit(True), recovered)]))
+    assert [(b, n) for b, n, _ in own.failed(spark)] == [(0, "apply"), (1, "apply")] and retry_failed(spark, own)
+    assert spark.read.parquet(f"{home}/seen").select("batch").distinct().count() == 2
+    return applied.read()

@@ -14,7 +14,7 @@ from ferrylog.functions.position import Position, start_from
 from ferrylog.operators.events import (classify_events, filter_databases, filter_tables,
                                        fill_gtid, resolve_table_map, skip_ddl)
 from ferrylog.session import delete_path, materialize, scratch_scope
-from ferrylog.sources.files import child_names
+from ferrylog.sources.files import child_names, exists
 
 log = logging.getLogger(__name__)
 
@@ -30,14 +30,18 @@ class Handler(NamedTuple):
 class Handlers:
     """Registered handlers, run in the order they were added.
 
-    With ``failed_path`` the events that a handler failed on are kept there, so the
-    batch can be run again (``retry_failed``); errors are kept up to ``MOST_ERRORS``.
+    With ``failed_path`` a handler sees every batch once and in order: the events of a
+    batch it failed on are kept in its queue there, and so are those of all later batches
+    until the queue has been worked off (``recover``). The other handlers go on. The
+    oldest batch in its queue is how far a handler has come; it survives a restart.
+    With ``recover_first`` every batch tries the queues before it runs. Without
+    ``failed_path`` a failed batch is only recorded. Up to ``MOST_ERRORS`` errors are kept.
     """
 
     MOST_ERRORS = 1000
 
-    def __init__(self, handlers: Sequence[Handler] = (), failed_path: Optional[str] = None):
-        self.handlers, self.failed_path = list(handlers), failed_path
+    def __init__(self, handlers: Sequence[Handler] = (), failed_path: Optional[str] = None, recover_first: bool = False):
+        self.handlers, self.failed_path, self.recover_first = list(handlers), failed_path, recover_first
         self.errors: deque[tuple[int, str, str]] = deque(maxlen=self.MOST_ERRORS)
 
     def register(self, handler: Handler):
@@ -46,22 +50,61 @@ class Handlers:
     def remove(self, name: str):
         self.handlers = [h for h in self.handlers if h.name != name]
 
+    def _place(self, handler: str, batch_id: int) -> str:
+        return f"{self.failed_path}/{handler}/{batch_id:012d}"
+
+    def queued(self, spark: SparkSession, handler: str) -> list[int]:
+        """Batches that a handler has still to see, oldest first."""
+        if not self.failed_path:
+            return []
+        names = child_names(spark, f"{self.failed_path}/{handler}")
+        return [int(n) for n in names if exists(spark, f"{self.failed_path}/{handler}/{n}/_SUCCESS")]
+
     def run(self, events: DataFrame, batch_id: int):
         """A handler that throws is recorded and does not stop the others."""
+        spark = events.sparkSession
+        if self.recover_first:
+            self.recover(spark)
         for handler in self.handlers:
-            try:
-                handler.handle(events.where(handler.supports), batch_id)
-            except Exception as e:  # noqa: BLE001 - isolation is the contract
-                log.exception("handler %s failed in batch %s", handler.name, batch_id)
-                self.errors.append((batch_id, handler.name, first_line(e)))
-                if self.failed_path:
-                    (events.where(handler.supports).write.mode("overwrite")
-                           .parquet(f"{self.failed_path}/{batch_id:012d}-{handler.name}"))
+            own = events.where(handler.supports)
+            # A batch that runs again after a crash may stand in the queue itself.
+            if any(n < batch_id for n in self.queued(spark, handler.name)):
+                self._keep(own, handler, batch_id)
+            elif self._handled(handler, own, batch_id):
+                self._forget(spark, handler, batch_id)
+            elif self.failed_path:
+                self._keep(own, handler, batch_id)
+
+    def _handled(self, handler: Handler, events: DataFrame, batch_id: int) -> bool:
+        try:
+            handler.handle(events, batch_id)
+            return True
+        except Exception as e:  # noqa: BLE001 - isolation is the contract
+            log.exception("handler %s failed in batch %s", handler.name, batch_id)
+            self.errors.append((batch_id, handler.name, first_line(e)))
+            return False
+
+    def _keep(self, events: DataFrame, handler: Handler, batch_id: int):
+        events.write.mode("overwrite").parquet(self._place(handler.name, batch_id))
+
+    def _forget(self, spark: SparkSession, handler: Handler, batch_id: int):
+        if self.failed_path and exists(spark, self._place(handler.name, batch_id)):
+            delete_path(spark, self._place(handler.name, batch_id))
 
     def failed(self, spark: SparkSession) -> list[tuple[int, str, str]]:
-        """``(batch, handler, folder of its events)`` of what failed and was not run again."""
-        names = child_names(spark, self.failed_path) if self.failed_path else []
-        return [(int(n.partition("-")[0]), n.partition("-")[2], f"{self.failed_path}/{n}") for n in names]
+        """``(batch, handler, folder of its events)`` of what waits, by batch."""
+        if not self.failed_path:
+            return []
+        return sorted((n, name, self._place(name, n)) for name in child_names(spark, self.failed_path) for n in self.queued(spark, name))
+
+    def recover(self, spark: SparkSession) -> bool:
+        """Work off the queues, each in the order of its batches up to the first that fails again; True if nothing waits."""
+        for handler in self.handlers:
+            for n in self.queued(spark, handler.name):
+                if not self._handled(handler, spark.read.parquet(self._place(handler.name, n)), n):
+                    break
+                self._forget(spark, handler, n)
+        return not self.failed(spark)
 
 
 class CallbackListener(StreamingQueryListener):

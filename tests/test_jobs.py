@@ -20,6 +20,8 @@ from ferrylog.sinks.ledger import (append_progress, clear_progress, has_incomple
                                    read_progress, save_checkpoint, save_checkpoints)
 from ferrylog.sinks.tables import JdbcTable, create_target, write_table
 from ferrylog.sources.tables import CatalogSource, DirectorySource, JdbcSource, KeyRange, scan_table
+from ferrylog.streaming.capture import Handler, Handlers
+from ferrylog.streaming.handlers import apply_handler, default_handlers, retry_failed
 from ferrylog.streaming.watch import Replay, bounded_run, watch_exports
 
 
@@ -454,3 +456,66 @@ def test_change_feed_is_two_batches_of_several_files(spark, sf_dir, tmp_path):
     most = row_changes(spark, sf_dir).count() + 1
     assert [b[:3] for _, b in sorted(seen.items())] == [(1, most // 2, most // 2), (most // 2 + 1, most, most - most // 2)]
     assert all(files > 1 for *_, files in seen.values())
+
+
+# --- handlers that fail --------------------------------------------------------
+
+EVENT = ("seq long, event_class string, op string, file string, pos long, gtid string, database string, table string, "
+         "rows array<struct<before:map<string,string>,after:map<string,string>>>, ddl_sql string")
+
+
+def dml(spark, *rows):
+    return spark.createDataFrame([(n, "DML", op, "b.1", n, None, "db", "t", [(before, after)], None) for n, op, before, after in rows], EVENT)
+
+
+def test_a_failed_batch_holds_the_later_ones(spark, tmp_path):
+    applied, schema, _ = replay_parts(spark, tmp_path)
+    applied.create(spark.createDataFrame([], SCHEMA))
+    inner, away, seen = apply_handler(applied, schema, "s", "db.t"), [True], []
+
+    def handle(events, batch_id):
+        if away[0]:
+            raise OSError("target went away")
+        inner.handle(events, batch_id)
+
+    def handlers():  # a restart has the same queue
+        return Handlers([inner._replace(handle=handle), Handler("other", F.lit(True), lambda e, i: seen.append((i, e.count())))], str(tmp_path / "failed"))
+
+    first, second = dml(spark, (1, "INSERT", None, {"k": "1", "v": "a"})), dml(spark, (2, "UPDATE", {"k": "1", "v": "a"}, {"k": "1", "v": "b"}))
+    own = handlers()
+    own.run(first, 0)
+    away[0] = False
+    own = handlers()
+    own.run(second, 1)
+    assert own.queued(spark, "apply") == [0, 1] and rows_of(applied.read()) == [] and seen == [(0, 1), (1, 1)]
+    away[0] = True
+    assert not retry_failed(spark, own) and own.queued(spark, "apply") == [0, 1]
+    own.run(first, 0)  # a batch that runs again after a crash
+    assert own.queued(spark, "apply") == [0, 1]
+    away[0] = False
+    assert retry_failed(spark, own) and own.failed(spark) == [] and rows_of(applied.read()) == [(1, "b")]
+    own.recover_first = True
+    own.run(dml(spark, (3, "DELETE", {"k": "1", "v": "b"}, None)), 2)
+    assert rows_of(applied.read()) == [] and [n for n, *_ in own.errors] == [0, 0]
+
+
+def test_bad_values_go_to_quarantine(spark, tmp_path):
+    applied, schema, _ = replay_parts(spark, tmp_path)
+    applied.create(spark.createDataFrame([(5, "x")], SCHEMA))
+    events = dml(spark, (1, "INSERT", None, {"k": "1", "v": "a"}), (2, "INSERT", None, {"k": "bad", "v": "b"}),
+                 (3, "UPDATE", {"k": "5", "v": "x"}, {"k": "99999999999999999999", "v": "y"}), (4, "INSERT", None, {"k": None, "v": None}))
+    strict = Handlers([apply_handler(applied, schema, "strict", "db.t")])
+    strict.run(events, 0)
+    assert "no value of its type: k" in strict.errors[0][2] and rows_of(applied.read()) == [(5, "x")]
+    own = Handlers([apply_handler(applied, schema, "s", "db.t", str(tmp_path / "bad"))])
+    own.run(events, 0)
+    assert not own.errors and sorted(map(tuple, applied.read().collect()), key=repr) == [(1, "a"), (5, "x"), (None, None)]
+    bad = spark.read.parquet(str(tmp_path / "bad")).orderBy("pos").collect()
+    assert [(r.pos, r.after["k"], r.error) for r in bad] == [(2, "bad", "no value of its type: k"), (3, "99999999999999999999", "no value of its type: k")]
+
+
+def test_default_handlers():
+    export, audit, apply = (Handler(n, F.lit(True), None) for n in ("export", "audit", "apply"))
+    names = lambda handlers: [h.name for h in handlers.handlers]
+    assert names(default_handlers(export, audit, apply)) == ["export"] and names(default_handlers(audit=audit, apply=apply)) == ["audit", "apply"]
+    assert names(default_handlers()) == []
