@@ -12,6 +12,7 @@ from checks.registry import check
 from checks.scans import source
 from ferrylog.operators import copying, numbering, verify
 from ferrylog.operators.fold import apply_changes, match_before_image
+from ferrylog.operators.numbering import number_rows
 from ferrylog.session import materialize, scratch_path
 from ferrylog.sinks import ledger, tables as sink
 from ferrylog.sinks.applied import AppliedTable
@@ -176,6 +177,23 @@ def t4_moves(spark, sf):
     return apply_changes(orders.selectExpr("o_orderkey AS k", "o_orderpriority AS v"), spark.sql(_MOVES, o=orders), ["k"])
 
 
+# One row moves from key to key, once for every order, and back by one step after each thousandth:
+# the step that follows meets a free key and an image that is there again.
+_CHAIN = """SELECT 'f' AS file, n * 10 AS pos, 0 AS row_no, 'UPDATE' AS op, named_struct('k', n - 1, 'v', 'at') AS before, named_struct('k', n, 'v', 'at') AS after FROM {o}
+  UNION ALL SELECT 'f', n * 10 + 5, 0, 'UPDATE', named_struct('k', n, 'v', 'at'), named_struct('k', n - 1, 'v', 'at') FROM {o} WHERE n % 1000 = 0
+  UNION ALL SELECT 'f', n * 10 + 7, 0, 'UPDATE', named_struct('k', n - 1, 'v', 'at'), named_struct('k', n, 'v', 'at') FROM {o} WHERE n % 1000 = 0
+  UNION ALL SELECT 'f', n * 10 + 8, 0, 'UPDATE', named_struct('k', n, 'v', 'stale'), named_struct('k', -n, 'v', 'lost') FROM {o} WHERE n % 700 = 0"""
+
+
+@check("t4_fold_moves_long_chain", "SELECT count(*) AS k, 'at' AS v FROM orders UNION ALL SELECT -1000000000 - o_orderkey, 'other' FROM orders")
+def t4_chain(spark, sf):
+    """A chain of moves as long as the table, with a few steps back and a few that hit nothing."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    ranks = materialize(number_rows(orders, "o_orderkey", "n").select("n"), "ranks")
+    stored = orders.selectExpr("-1000000000 - o_orderkey AS k", "'other' AS v").union(spark.sql("SELECT 0L AS k, 'at' AS v"))
+    return apply_changes(stored, spark.sql(_CHAIN, o=ranks), ["k"])
+
+
 _IMAGES = f"""WITH {changes_sql()}, images AS (SELECT b_k, b_status, b_price, b_note FROM row_changes WHERE op <> 'INSERT'),
   target AS (SELECT * FROM base UNION ALL SELECT * FROM base)"""
 
@@ -209,6 +227,19 @@ def k4(spark, sf):
     return applied.read()
 
 
+@check("k4_apply_many_batches", FINAL_SAFE_SQL)
+def k4_many(spark, sf):
+    """The log in a batch per hundredth of its events up to the tenth, then the rest: runs are merged, and folded in on reading."""
+    applied = AppliedTable(spark, scratch_path(spark, "applied"), ["k"], buckets=8)
+    applied.create(base(spark, sf))
+    log = materialize(number_rows(row_changes(spark, sf), ["file", "pos", "row_no"], "n"), "log")
+    most = log.count()
+    cuts = [most * i // 100 for i in range(11)] + [most]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        applied.apply(log.where(F.col("n").between(a + 1, b)).drop("n"), f"s-{i}")
+    return applied.read()
+
+
 def _cast_keys(images, kind):
     """The images with keys of another type than the stored table's."""
     cast = lambda image: F.when(F.col(image).isNotNull(), F.col(image).withField("k", F.col(image)["k"].cast(kind)))
@@ -354,13 +385,22 @@ def copied_orders(spark, sf):
     return o, kept.unionByName(o.where("o_orderkey % 101 = 0").withColumn("o_orderkey", F.expr("o_orderkey + 1000000")))
 
 
-@check("j7_diff_tables", f"""WITH {COPY_SQL} SELECT o_orderkey, CASE WHEN c.o_custkey IS NULL THEN 'missing' WHEN o.o_custkey IS NULL THEN 'extra' ELSE 'changed' END AS state,
+_DIFF_SQL = f"""WITH {COPY_SQL} SELECT o_orderkey, CASE WHEN c.o_custkey IS NULL THEN 'missing' WHEN o.o_custkey IS NULL THEN 'extra' ELSE 'changed' END AS state,
   CASE WHEN o.o_custkey IS NULL THEN 0 ELSE 1 END::BIGINT AS left_rows, CASE WHEN c.o_custkey IS NULL THEN 0 ELSE 1 END::BIGINT AS right_rows
-  FROM orders o FULL JOIN copied c USING (o_orderkey) WHERE c.o_totalprice IS DISTINCT FROM o.o_totalprice""")
+  FROM orders o FULL JOIN copied c USING (o_orderkey) WHERE c.o_totalprice IS DISTINCT FROM o.o_totalprice"""
+
+
+@check("j7_diff_tables", _DIFF_SQL)
 def j7(spark, sf):
     return verify.diff_tables(*copied_orders(spark, sf), ["o_orderkey"])
 
 
+@check("j7_diff_by_digest", _DIFF_SQL)
+def j7_digest(spark, sf):
+    """Through fingerprints of key ranges: rows in ranges that agree are not shuffled."""
+    return verify.diff_by_digest(*copied_orders(spark, sf), ["o_orderkey"])
+
+
 @check("a8_table_checksum", union_sql("SELECT '{t}' AS table_name, count(*) AS row_count, true AS same FROM {t}"))
 def a8(spark, sf):
     """Fingerprint of each table against that of the same rows in another order and layout."""

@@ -31,7 +31,7 @@ from ferrylog.sources.exports import read_sql_export
 from ferrylog.sources.tables import DirectorySource
 from ferrylog.streaming.capture import CallbackListener, Capture, Handler, Handlers, capture
 from ferrylog.streaming.handlers import apply_handler, audit_handler, default_handlers, export_handler, retry_failed
-from ferrylog.streaming.watch import Replay, bounded_run, stream_dedup, watch_exports
+from ferrylog.streaming.watch import Replay, bounded_run, dedup_by_frontier, stream_dedup, watch_exports
 
 # Prices travel through statements as decimals.
 FINAL_MONEY_SQL = f"SELECT k, status, cast(price AS DECIMAL(18,2)) AS price, note FROM ({FINAL_SAFE_SQL})"
@@ -177,6 +177,28 @@ def t3(spark, sf):
     return spark.read.parquet(out)
 
 
+def _repeated_entries(spark, sf, batches=4, files=4):
+    """Entries in log order, a part of the log in each micro-batch: all of them twice, and those of the part before again."""
+    path = scratch_path(spark, "entries")
+    log = number_rows(row_changes(spark, sf).select("file", "pos", "row_no"), ["file", "pos", "row_no"], "n")
+    log = materialize(log.withColumn("entry_id", F.concat_ws(":", "file", "pos", "row_no")), "entries")
+    size = -(-log.count() // batches)
+    for i in range(batches):
+        own, before = (log.where(F.ceil(F.col("n") / F.lit(size)) == k) for k in (i + 1, i))
+        own.union(own).union(before).drop("n").repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(log.drop("n").schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+@check("t3_dedup_by_frontier", f"WITH {changes_sql()} SELECT file, pos, row_no FROM row_changes")
+def t3_frontier(spark, sf):
+    """Entries that come again, in the same batch or the next one; the state holds the last batch only."""
+    out = scratch_path(spark, "dedup")
+    query = (dedup_by_frontier(_repeated_entries(spark, sf)).select("file", "pos", "row_no").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 def _feed_stream(spark, sf, files=3):
     """The feed as change-event files, written in log order and read as a stream one by one."""
     path = scratch_path(spark, "feed")

@@ -11,7 +11,9 @@ from checks.registry import check
 from ferrylog.functions.ddl import mysql_type_to_spark
 from ferrylog.operators import events as ev
 from ferrylog.plans.capture import capture_to_files
-from ferrylog.session import scratch_path
+from ferrylog.schema import PROGRESS_LOG
+from ferrylog.session import materialize, scratch_path
+from ferrylog.sinks import ledger
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
 from ferrylog.sources import tables as src
 from ferrylog.sources.changes import read_change_events, snapshot_position
@@ -148,6 +150,18 @@ def s11(spark, sf):
     return read_progress(spark, path).select("table_name", "total_rows", "migrated_rows", "last_migrated_id", "status", "error_message")
 
 
+@check("s11_read_compacted", f"WITH {LEDGER_SQL} SELECT table_name, total_rows, migrated_rows, last_migrated_id, status, error_message FROM ledger")
+def s11_compacted(spark, sf):
+    """The ledger's log in eighty writes: a snapshot and a short tail are read."""
+    path, log = scratch_path(spark, "ledger"), ledger_log(spark, sf)
+    # Any order of the writes gives the same state.
+    written = materialize(log.withColumn("part", F.pmod("version", F.lit(80))), "ledger-log")
+    for part in range(80):
+        ledger._append(written.where(F.col("part") == part).drop("part"), path, PROGRESS_LOG, ledger._latest_progress)
+    assert len(ledger._parts(spark, path)[1]) < ledger.TAIL
+    return read_progress(spark, path).select("table_name", "total_rows", "migrated_rows", "last_migrated_id", "status", "error_message")
+
+
 @check("j1_attach_keys", f"""WITH columns_ AS ({_COLUMNS_SQL}), k AS ({_KEYS_SQL})
   SELECT table_name, column_name, ordinal, k.column_name IS NOT NULL AS is_primary_key FROM columns_ LEFT JOIN k USING (table_name, column_name)""")
 def j1(spark, sf):

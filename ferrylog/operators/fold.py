@@ -9,9 +9,9 @@ fold over its row. Three cases need more, each exact and without a cap:
 
 * a key with very many changes follows the chain of changes that land, found by
   pointer doubling over its states, "no row" among them (``_fold_hot``);
-* updates that move a row to another key tie keys together; tied keys fold as one
-  component, and a component too large for one task is applied in two halves of
-  the log (``_fold_tied``);
+* updates that move a row to another key tie keys together; all changes of tied keys
+  are taken to land, what each would have met is looked up, and components where that
+  contradicts are looked at again (``_fold_tied``);
 * a table without a key is a bag of rows, and every row follows its own chain of
   changes, found by pointer doubling (``_fold_bag``).
 
@@ -38,6 +38,7 @@ from ferrylog.session import is_empty, materialize, materialize_while
 ORDER = ("file", "pos", "row_no")
 HOT_LIMIT = 10_000   # changes of one key (or component) folded in one array or call
 OPS_PER_GROUP = 50_000  # changes of tied keys per Python call, about
+LOOKS = 6  # rounds after which small components that still contradict are folded one change after another
 
 
 def prepare_changes(changes: DataFrame, schema, order=ORDER, null_match="safe") -> DataFrame:
@@ -252,45 +253,95 @@ def _fold_components(pdf_rows: pd.DataFrame, pdf_ops: pd.DataFrame) -> pd.DataFr
 
 
 def _fold_tied(target, ops, schema, keys, order, limit):
-    sizes = ops.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    large = materialize(sizes.where(F.col("n") > limit).select("component"), "large-components")
-    out = None
-    if not is_empty(large):
-        out = _fold_halves(target.join(large, "component", "left_semi").select(*schema.names),
-                           ops.join(large, "component", "left_semi"), keys, order, limit)
-        target = target.join(large, "component", "left_anti")
-        ops = ops.join(large, "component", "left_anti")
+    """Fold tied keys: land all, then put right what contradicts.
+
+    The state of a key before a change is what the last change that lands on it wrote.
+    Given which changes land, a carry along every key gives all states, and from these
+    follows which changes land. The first wrong guess of a component is right after a
+    round, so the rounds end, and what they end with is the sequential result. A log that
+    fits its table takes one round, however long its chains are; every further one only
+    takes the components that changed. Small ones that keep changing are folded in order.
+    """
     ops = number_rows(ops, order, "n")
 
     def kid(image):
         key = F.struct(*[F.col(image).getField(k).alias(k) for k in keys])
         return F.when(F.col(image).isNotNull(), identity(key, T.StructType([schema[k] for k in keys])))
 
-    # Many small components share a task; the number of groups grows with the log.
-    groups = max((ops.agg(F.max("n")).first()[0] or 0) // OPS_PER_GROUP, 1) * 8
-    group = F.pmod(F.xxhash64("component"), F.lit(groups)).alias("g")
-    steps = ops.select(group, "n", "op", kid("before").alias("kb"), kid("after").alias("ka"),
-                       identity("before", schema).alias("i"), identity("after", schema).alias("o"))
+    steps = materialize(ops.select("component", "n", "op", kid("before").alias("kb"), kid("after").alias("ka"),
+                                   identity("before", schema).alias("i"), identity("after", schema).alias("o")), "steps")
     stored = target.select("component", pack(schema.names).alias("row"))
-    rows = stored.select(group, kid("row").alias("kid"), identity("row", schema).alias("id"))
-    ends = (rows.groupBy("g").cogroup(steps.groupBy("g"))
-                .applyInPandas(_fold_components, "id string"))
+    rows = materialize(stored.select("component", kid("row").alias("kid"), identity("row", schema).alias("id")), "tied-rows")
+
+    landing, looks, settled, folded = steps.withColumn("lands", F.lit(True)), 0, [], []
+    while True:
+        landing, more = materialize_while(_look(landing, rows), "landing", F.col("wrong"))
+        looks += 1
+        if not more:
+            settled.append(landing)
+            break
+        open_ = materialize(landing.groupBy("component").agg(F.max("wrong").alias("wrong"), F.count(F.lit(1)).alias("n"))
+                                   .where("wrong").select("component", "n"), "contradicting")
+        settled.append(landing.join(open_, "component", "left_anti"))
+        if looks >= LOOKS:
+            small = open_.where(F.col("n") <= limit).select("component")
+            folded.append(_fold_in_order(rows.join(small, "component", "left_semi"), steps.join(small, "component", "left_semi")))
+            open_ = open_.where(F.col("n") > limit)
+            if is_empty(open_):
+                break
+        landing = landing.join(open_.select("component"), "component", "left_semi")
+
+    # Where a component was settled, the last landing change of each key wrote its row.
+    whole = reduce(lambda a, b: a.unionByName(b), settled)
+    kept = rows if not folded else rows.join(whole.select("component").distinct(), "component", "left_semi")
+    writes = kept.select("kid", F.lit(0).cast("long").alias("t"), F.col("id").alias("state")).unionByName(
+        _touches(whole.where("lands")).where("state IS NOT NULL").select("kid", "t", "state"))
+    ends = writes.groupBy("kid").agg(F.max_by("state", "t").alias("id")).where(F.col("id") != ABSENT).select("id")
+    for part in folded:
+        ends = ends.unionByName(part)
     images = (stored.select(identity("row", schema).alias("id"), "row")
                     .unionByName(ops.select(identity("after", schema).alias("id"),
                                             F.col("after").alias("row")).where("row IS NOT NULL"))
                     .groupBy("id").agg(F.first("row").alias("row")))
-    folded = ends.join(images, "id").select("row.*")
-    return folded if out is None else out.unionByName(folded)
+    return ends.join(images, "id").select("row.*")
 
 
-def _fold_halves(target, ops, keys, order, limit):
-    """Apply the earlier half of the log, then the later: each has fewer ties."""
-    ops = number_rows(ops.select(*order, "op", "before", "after"), order, "n")
-    half = ops.agg(F.max("n")).first()[0] // 2
-    out = target
-    for part in (ops.where(F.col("n") <= half), ops.where(F.col("n") > half)):
-        out = materialize(_fold_keyed(out, part.drop("n"), keys, order, limit), "half")
-    return out
+def _touches(landing):
+    """``(n, kid, side, t, state)``: each change reads its keys at the time 2n, and writes them at 2n + 1 if it lands."""
+    moves = (F.col("op") == UPDATE) & (F.col("ka") != F.col("kb"))
+    absent, none = F.lit(ABSENT), F.lit(None).cast("string")
+    read, write = (2 * F.col("n")).alias("t"), (2 * F.col("n") + 1).alias("t")
+
+    def touch(kid, side, time, state):
+        return F.struct(F.col(kid).alias("kid"), F.lit(side).alias("side"), time, state.alias("state"))
+
+    left = F.when((F.col("op") == DELETE) | moves, absent).otherwise(F.col("o"))
+    old, new = F.col("op") != INSERT, (F.col("op") == INSERT) | moves
+    all_ = F.array(F.when(old, touch("kb", "b", read, none)), F.when(new, touch("ka", "a", read, none)),
+                   F.when(old & F.col("lands"), touch("kb", "b", write, left)), F.when(new & F.col("lands"), touch("ka", "a", write, F.col("o"))))
+    return landing.select("n", F.inline(F.array_compact(all_)))
+
+
+def _look(landing, rows):
+    """Which changes land if those land that are said to; ``wrong`` where that differs."""
+    first = rows.join(landing.select("component").distinct(), "component", "left_semi").select(
+        F.lit(None).cast("long").alias("n"), "kid", F.lit("").alias("side"), F.lit(0).cast("long").alias("t"), F.col("id").alias("state"))
+    met = carry_forward(_touches(landing).unionByName(first), "state", "t", ["kid"], out="met").where(F.col("t") % 2 == 0).where("n IS NOT NULL")
+    state = F.coalesce("met", F.lit(ABSENT))
+    met = met.groupBy("n").agg(F.max(F.when(F.col("side") == "b", state)).alias("at_b"), F.max(F.when(F.col("side") == "a", state)).alias("at_a"))
+    free = F.coalesce("at_a", F.lit(ABSENT)) == ABSENT
+    lands = F.when(F.col("op") == INSERT, free).otherwise((F.col("at_b") == F.col("i")) & free)
+    out = landing.select("component", "n", "op", "kb", "ka", "i", "o", F.col("lands").alias("said")).join(met, "n")
+    return out.withColumn("lands", lands).withColumn("wrong", F.col("lands") != F.col("said")).drop("at_b", "at_a", "said")
+
+
+def _fold_in_order(rows, steps):
+    """Ids of the rows that small components end with, each folded in one task."""
+    # Many small components share a task; the number of groups grows with the log.
+    groups = max(steps.count() // OPS_PER_GROUP, 1) * 8
+    group = F.pmod(F.xxhash64("component"), F.lit(groups)).alias("g")
+    return (rows.select(group, "kid", "id").groupBy("g").cogroup(steps.select(group, "n", "op", "kb", "ka", "i", "o").groupBy("g"))
+                .applyInPandas(_fold_components, "id string"))
 
 
 # --- tables without a key ---------------------------------------------------

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ferrylog.operators.verify import diff_tables, table_checksum
+from ferrylog.operators.verify import diff_by_digest, table_checksum
 
 
 def verify_copy(source, target, tables) -> DataFrame:
@@ -43,7 +43,7 @@ def differing_rows(source, target, report: DataFrame, keys) -> DataFrame:
     for t in found:
         if keys.get(t):
             stored = source.read(t)
-            diff = diff_tables(stored, target.read(t).select(*stored.columns), keys[t])
+            diff = diff_by_digest(stored, target.read(t).select(*stored.columns), keys[t])
             parts.append(diff.select(F.lit(t).alias("table_name"), F.to_json(F.struct(*keys[t])).alias("key"),
                                      "state", "left_rows", "right_rows"))
     if not parts:

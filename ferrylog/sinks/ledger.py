@@ -2,6 +2,12 @@
 
 Each write appends versions; the latest version of a key is its state. Files stay
 small because a row is written per table or per micro-batch, never per data row.
+
+A log is a snapshot of the states and a tail of later writes. Once the tail has more
+than ``TAIL`` writes, the next writer folds it into a new snapshot, which counts from the
+moment its list of folded writes is there; readers list only what that leaves. What a
+snapshot has folded is deleted by the one after it, when its readers are done. States
+only advance, so a write that is read twice, or folded by two writers, does no harm.
 """
 
 from __future__ import annotations
@@ -15,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ferrylog.functions.position import Position
 from ferrylog.functions.status import INCOMPLETE, progress_pct
 from ferrylog.schema import CHECKPOINTS, PROGRESS_LOG
-from ferrylog.sources.files import exists
+from ferrylog.session import delete_path
+from ferrylog.sources.files import child_names, exists
 
 
 def latest_per_key(log: DataFrame, key, version="version") -> DataFrame:
@@ -29,16 +36,52 @@ def _next_version() -> int:
     return time.time_ns()
 
 
+#: Writes behind a snapshot from which on they are folded.
+TAIL = 64
+_SNAPSHOT = "snapshot-"
+
+
+def _parts(spark: SparkSession, path: str) -> tuple[Optional[str], list[str], list[str]]:
+    """Latest whole snapshot, the writes it has not folded, and what it makes superfluous."""
+    names = [n for n in child_names(spark, path) if not n.startswith(("_", "."))]
+    whole = [n for n in names if n.startswith(_SNAPSHOT) and exists(spark, f"{path}/{n}/folded/_SUCCESS")]
+    tail = [n for n in names if not n.startswith(_SNAPSHOT)]
+    if not whole:
+        return None, tail, []
+    folded = {r.name for r in spark.read.schema("name string").parquet(f"{path}/{whole[-1]}/folded").collect()}  # at most some more than TAIL
+    return whole[-1], [n for n in tail if n not in folded], [*whole[:-1], *(n for n in tail if n in folded)]
+
+
 def _read(spark, path, shape) -> DataFrame:
-    if not exists(spark, path):
-        return spark.createDataFrame([], shape)
-    return spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(path)
+    snapshot, tail, _ = _parts(spark, path) if exists(spark, path) else (None, [], [])
+    paths = [f"{path}/{n}" for n in tail] + ([f"{path}/{snapshot}/states"] if snapshot else [])
+    return spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
 
 
-def _append(rows: DataFrame, path, shape):
+def _write(rows: DataFrame, path, shape):
     """Each write has a folder of its own, so writers of one log cannot disturb each other."""
-    (rows.select(*[F.col(f.name).cast(f.dataType) for f in shape])
-         .coalesce(1).write.parquet(f"{path}/{uuid.uuid4().hex}"))
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in shape]).coalesce(1).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
+
+
+def _append(rows: DataFrame, path, shape, states):
+    """Write, and fold a long tail; ``states`` gives the rows of a log that still count."""
+    _write(rows, path, shape)
+    spark = rows.sparkSession
+    if len(child_names(spark, path)) > TAIL:
+        fold_tail(spark, path, shape, states)
+
+
+def fold_tail(spark: SparkSession, path: str, shape, states, longest: Optional[int] = None):
+    """Make a new snapshot if more than ``longest`` writes stand behind the last one."""
+    longest = TAIL if longest is None else longest
+    snapshot, tail, superfluous = _parts(spark, path)
+    if len(tail) <= longest:
+        return
+    name = f"{path}/{_SNAPSHOT}{time.time_ns():020d}-{uuid.uuid4().hex}"
+    states(_read(spark, path, shape)).select(*[f.name for f in shape]).coalesce(1).write.parquet(f"{name}/states")
+    spark.createDataFrame([(n,) for n in tail], "name string").coalesce(1).write.parquet(f"{name}/folded")
+    for old in superfluous:
+        delete_path(spark, f"{path}/{old}")
 
 
 # --- progress ---------------------------------------------------------------
@@ -50,12 +93,17 @@ def progress_versions(rows: DataFrame, version=None, deleted=False) -> DataFrame
 
 
 def append_progress(rows: DataFrame, path: str):
-    _append(progress_versions(rows), path, PROGRESS_LOG)
+    _append(progress_versions(rows), path, PROGRESS_LOG, _latest_progress)
 
 
 def delete_progress(rows: DataFrame, path: str):
     """Delete the progress of the tables of some ledger rows."""
-    _append(progress_versions(rows, deleted=True), path, PROGRESS_LOG)
+    _append(progress_versions(rows, deleted=True), path, PROGRESS_LOG, _latest_progress)
+
+
+def _latest_progress(log: DataFrame) -> DataFrame:
+    """Latest version of each table, tombstones too: they still count against older writes."""
+    return latest_per_key(log, "table_name")
 
 
 def current_progress(log: DataFrame) -> DataFrame:
@@ -74,7 +122,7 @@ def progress_tombstones(ledger: DataFrame, table: Optional[str] = None, version=
 
 
 def clear_progress(spark: SparkSession, path: str, table: Optional[str] = None):
-    _append(progress_tombstones(read_progress(spark, path), table), path, PROGRESS_LOG)
+    _append(progress_tombstones(read_progress(spark, path), table), path, PROGRESS_LOG, _latest_progress)
 
 
 def order_ledger(ledger: DataFrame) -> DataFrame:
@@ -118,7 +166,7 @@ def save_checkpoint(spark: SparkSession, path: str, stream_id: str,
     now = _next_version()
     row = (stream_id, position.file, position.pos, position.gtid, now // 1_000_000, now)
     values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, CHECKPOINTS)]
-    _append(spark.range(0, 1, 1, 1).select(*values), path, CHECKPOINTS)
+    _append(spark.range(0, 1, 1, 1).select(*values), path, CHECKPOINTS, _greatest_checkpoints)
     return True
 
 
@@ -126,6 +174,10 @@ def current_checkpoints(log: DataFrame) -> DataFrame:
     return latest_per_key(log, "stream_id")
 
 
+def _greatest_checkpoints(log: DataFrame) -> DataFrame:
+    return latest_per_key(log, "stream_id", F.struct("file", "pos", "version"))
+
+
 def advancing(log: DataFrame) -> DataFrame:
     """Checkpoint per stream that never moves back: the greatest position written."""
     at = F.struct("file", "pos")
@@ -148,7 +200,7 @@ def save_checkpoints(spark: SparkSession, path: str, positions: DataFrame):
     old = read_checkpoints(spark, path).select(F.col("stream_id").alias("__stream"), at.alias("__old"))
     moved = new.join(old, F.col("stream_id").eqNullSafe(F.col("__stream")), "left").where(F.col("__old").isNull() | (at > F.col("__old")))
     rows = moved.withColumns({"ts_ms": F.lit(now // 1_000_000), "version": F.lit(now)})
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in CHECKPOINTS]).write.parquet(f"{path}/{uuid.uuid4().hex}")
+    _append(rows, path, CHECKPOINTS, _greatest_checkpoints)
 
 
 def read_checkpoint(spark: SparkSession, path: str, stream_id: str) -> Optional[Position]:

@@ -7,7 +7,7 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ferrylog.functions.position import Position, after_checkpoint
+from ferrylog.functions.position import Position, after_checkpoint, position_key
 from ferrylog.operators.events import last_position
 from ferrylog.plans.capture import ENTRY_ORDER, changes_of_entries
 from ferrylog.session import delete_path, materialize, scratch_scope
@@ -40,6 +40,24 @@ def stream_dedup(events: DataFrame, key="entry_id", watermark: Optional[tuple] =
     return events.withWatermark(*watermark).dropDuplicatesWithinWatermark([key])
 
 
+#: Room for the offsets of one log file on the time line of positions.
+FILE_SPAN = 1 << 33
+
+
+def dedup_by_frontier(events: DataFrame, key="entry_id", file="file", pos="pos") -> DataFrame:
+    """Each id once, in a stream that arrives in log order; ids before the frontier are forgotten.
+
+    The frontier is the greatest position of the batches before. An id belongs to one
+    position, so what lies before the frontier was seen: it is dropped, and its state
+    goes. Positions are event times here, a millisecond an offset and files by the number
+    their name ends in; the frontier's own position stays open, as its event may go on.
+    Rows without a position count by id alone and are kept for ever.
+    """
+    number = position_key(file, pos, numeric_suffix=True).getField("number")
+    at = F.timestamp_millis(number * F.lit(FILE_SPAN) + F.col(pos))
+    return events.withColumn("__at", at).withWatermark("__at", "1 millisecond").dropDuplicates([key, "__at"]).drop("__at")
+
+
 class Replay:
     """Replays micro-batches of export files onto an applied table.
 

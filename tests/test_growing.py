@@ -136,3 +136,20 @@ def test_seeds_carry_headers(spark):
     seed = spark.createDataFrame([("/x/a", "b.1", 7, "u:1", 4, -1)], "path string, file string, pos long, gtid string, blocks long, span long")
     out = entries_of_blocks(parse_ranges(spark.createDataFrame(rows, shape)), seed).orderBy("sql").collect()
     assert [(r.entry_no, r.file, r.pos, r.gtid, r.orphan) for r in out] == [(4, "b.1", 7, "u:1", False), (5, "b.1", 7, "u:1", False), (0, None, -1, None, True)]
+
+
+def test_dedup_forgets_what_the_frontier_has_passed(spark, tmp_path):
+    from ferrylog.streaming.watch import dedup_by_frontier
+
+    shape, path = "entry_id string, file string, pos long", str(tmp_path / "in")
+    batches = [[(f"{i}:{j}", "b.000009", i) for i in range(10) for j in range(2)] * 2, [(f"{i}:{j}", "b.000009", i) for i in range(5, 14) for j in range(3 if i == 9 else 2)],
+               [(f"x{i}", "b.000010", i) for i in range(3)] + [("9:0", "b.000009", 9)], [("x2", "b.000010", 2), ("y", "b.000010", 3)]]
+    for rows in batches:
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(path)
+    query = (dedup_by_frontier(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = sorted(r.entry_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted([*(f"{i}:{j}" for i in range(14) for j in range(2)), "9:2", "x0", "x1", "x2", "y"])
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 3
