@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ferrylog.llm.names import free_name
 from ferrylog.llm.words import slices, text_buffers
 
 ORDER = 3
@@ -196,7 +197,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("bits_per_symbol", T.DoubleType())])
-    return docs.withColumn("__letter", has_letter).mapInArrow(run, schema)
+    return docs.withColumn(free_name(fields, "__letter"), has_letter).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -3,9 +3,12 @@
 A text is normalised, and known licence sentences in it become their identifiers. A
 sentence lies between two ends, which are final punctuation, blank lines and the ends
 of lines; line feeds within it are blanks, so a wrapped sentence is found as well as
-one that a line holds alone. A licence is recognised where its rule - an ordered
-sequence of identifiers - lies without a gap in the sequence of a text's known
-sentences. Everything happens within the row: no shuffle and no join.
+one that a line holds alone. Texts are cut at all ends once, and the parts are looked up
+among the beginnings of known sentences; only texts with such a part are searched for
+whole sentences, so the cost hardly grows with their number. A licence is recognised
+where its rule - an ordered sequence of identifiers - lies in the sequence of a text's
+known sentences, those that the rule does not name left out. Everything happens within
+the row: no shuffle and no join.
 """
 
 from __future__ import annotations
@@ -14,8 +17,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Licence sentences in normal form, numbered from 1 in this order. These are one-line forms, and
-# with the rules below all that the SQL twin knows, which ends a sentence at every line feed.
+# Licence sentences in normal form, numbered from 1 in this order. These are one-line forms.
 SENTENCES = (
     "licensed under cc by nc 4 0",
     "this work is licensed under the gnu general public license version 3",
@@ -102,13 +104,53 @@ _TEXTS = {
     "gpl see": "see the gnu general public license for more details",
 }
 
+# Names that people give licences in one line, by the name of the rule.
+_NAMES = {
+    "mit": ("mit license",), "apache-2.0": ("apache license version 2 0", "apache license 2 0", "apache 2 0 license"),
+    "bsd-2-clause": ("bsd 2 clause license",), "bsd-3-clause": ("bsd 3 clause license",), "isc": ("isc license",),
+    "mpl-2.0": ("mozilla public license version 2 0", "mozilla public license 2 0", "mozilla public license v 2 0"),
+    "gpl-2.0": ("gnu general public license version 2", "gnu general public license v2 0"),
+    "gpl-3.0": ("gnu general public license version 3", "gnu general public license v3 0"),
+    "lgpl-2.1": ("gnu lesser general public license version 2 1", "gnu lesser general public license v2 1"),
+    "lgpl-3.0": ("gnu lesser general public license version 3", "gnu lesser general public license v3 0"),
+    "agpl-3.0": ("gnu affero general public license version 3", "gnu affero general public license v3 0"),
+}
+# Beginnings of such lines, and identifiers behind the public tag for them.
+_PHRASES = ("", "licensed under the ", "released under the ", "distributed under the ", "this is licensed under the ", "this is released under the ",
+            "this project is licensed under the ", "this software is licensed under the ", "this software is released under the ",
+            "this work is licensed under the ", "this program is licensed under the ")
+_TAG, _TAGGED = "spdx license identifier ", ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "mpl-2.0", "cc-by-4.0", "cc-by-sa-4.0", "cc-by-nc-4.0", "cc0-1.0",
+                                            *(f"{n}{k}" for n in ("gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0") for k in ("", "-only", "-or-later")))
+# "MIT License" alone is the title of that licence's text, which has rules of its own.
+_LINES = {**{phrase + name: rule for rule, names in _NAMES.items() for name in names for phrase in _PHRASES if phrase or rule != "mit"},
+          **{_TAG + re.sub("[^a-z0-9]", " ", rule): rule for rule in _TAGGED}}
+
+# Sentences of further licences' texts and notices.
+_FURTHER = {
+    "mpl": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl 2": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "isc grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that "
+                 "the above copyright notice and this permission notice appear in all copies",
+    "lgpl 2.1": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+                "published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl free": "this library is free software",
+    "lgpl 2.1 terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free "
+                      "software foundation",
+    "lgpl 2.1 later": "either version 2 1 of the license or at your option any later version",
+    "agpl 3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+              "published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl 3": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+              "published by the free software foundation either version 3 of the license or at your option any later version",
+}
+
 #: All known sentences: the one-line forms keep their numbers, those of the texts follow.
 ALL_SENTENCES = tuple(dict.fromkeys((
-    *SENTENCES, *_TEXTS.values(), *(s for forms in _GPL.values() for form in forms for s in form), *(s for kind in _CC for s in _cc_sentences(*kind)))))
+    *SENTENCES, *_TEXTS.values(), *(s for forms in _GPL.values() for form in forms for s in form), *(s for kind in _CC for s in _cc_sentences(*kind)),
+    *_LINES, *_FURTHER.values())))
 
 
 def _ids(*names):
-    return tuple(ALL_SENTENCES.index(_TEXTS.get(n, n)) + 1 for n in names)
+    return tuple(ALL_SENTENCES.index((_TEXTS | _FURTHER).get(n, n)) + 1 for n in names)
 
 
 #: All rules; a licence may have several.
@@ -125,6 +167,14 @@ ALL_RULES = (
     ("gpl-2.0", _ids("gpl title 2")),
     ("gpl-3.0", _ids("gpl title 3")),
     *((f"cc-{code.replace(' ', '-')}-4.0", _ids(s)) for code, name in _CC for s in _cc_sentences(code, name)),
+    *((rule, _ids(line)) for line, rule in _LINES.items()),
+    ("mpl-2.0", _ids("mpl")),  # the notice's "v." ends a sentence
+    ("mpl-2.0", _ids("mpl 2")),
+    ("isc", _ids("isc grant")),
+    ("lgpl-2.1-or-later", _ids("lgpl 2.1")),
+    ("lgpl-2.1-or-later", _ids("lgpl free", "lgpl 2.1 terms", "lgpl 2.1 later")),
+    ("lgpl-3.0-or-later", _ids("lgpl 3")),
+    ("agpl-3.0-or-later", _ids("agpl 3")),
 )
 
 #: Punctuation that ends a sentence: before white space or the end of the text.
@@ -135,6 +185,15 @@ _NOT_PLAIN = r"[^a-z0-9X\n]+"
 _BETWEEN, _LINE = r"(?: ?\n[ X]*| )", r" ?\n[ X]*"
 
 
+def _words(sentences) -> list[list[str]]:
+    return [s.split(" ") for s in sentences if re.fullmatch("[a-z0-9]+(?: [a-z0-9]+)*", s)]
+
+
+def _pattern(words, between: str) -> str:
+    """Known sentences, those of more words first."""
+    return "|".join(between.join(w) for w in sorted(words, key=len, reverse=True))
+
+
 def sentence_ids(text: Column, sentences=ALL_SENTENCES) -> Column:
     """Numbers of the known sentences of a text, in order; null texts have none.
 
@@ -143,22 +202,53 @@ def sentence_ids(text: Column, sentences=ALL_SENTENCES) -> Column:
     Of known sentences that begin at the same place the longest counts: a sentence
     over several lines comes before the one that its first line holds.
     """
-    words = [s.split(" ") for s in sentences if re.fullmatch("[a-z0-9]+(?: [a-z0-9]+)*", s)]
+    words = _words(sentences)
     if not words:
         return F.array().cast("array<int>")
     known = F.array(*[F.lit(s) for s in sentences])
     lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    normal = F.regexp_replace(F.regexp_replace(lowered, SENTENCE_END, "X"), _NOT_PLAIN, " ")
-    any_known = "|".join(_BETWEEN.join(w) for w in sorted(words, key=len, reverse=True))
-    found = F.regexp_extract_all(F.concat(F.lit("X"), normal, F.lit("X")), F.lit(f"[X\\n] ?({any_known}) ?(?=[X\\n])"), F.lit(1))
-    return F.transform(found, lambda s: F.array_position(known, F.regexp_replace(s, _LINE, " ")).cast("int"))
+    normal = F.concat(F.lit("X"), F.regexp_replace(F.regexp_replace(lowered, SENTENCE_END, "X"), _NOT_PLAIN, " "), F.lit("X"))
+    # The first line of a known sentence is one of these, which a hash set holds.
+    beginnings = sorted({" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)})
+
+    def search(normal):
+        found = F.regexp_extract_all(normal, F.lit(f"[X\\n] ?({_pattern(words, _BETWEEN)}) ?(?=[X\\n])"), F.lit(1))
+        return F.transform(found, lambda s: F.array_position(known, F.regexp_replace(s, _LINE, " ")).cast("int"))
+
+    def of_normal(normal):
+        begins = F.exists(F.split(normal, r"[X\n]"), lambda part: F.trim(part).isin(beginnings))
+        return F.when(begins, search(normal)).otherwise(F.array().cast("array<int>"))
+
+    # Bound by the lambda, the normal form is made once.
+    return F.element_at(F.transform(F.array(normal), of_normal), 1)
 
 
 def rule_hits(ids: Column, rules=ALL_RULES) -> Column:
-    """Names of the rules whose sequence lies in ``ids``, each once, in the order of the rules."""
-    trail = F.concat(F.lit(" "), F.array_join(F.transform(ids, lambda i: i.cast("string")), " "), F.lit(" "))
-    names = [F.when(F.contains(trail, F.lit(" " + " ".join(map(str, seq)) + " ")), F.lit(name)) for name, seq in rules]
-    return F.array_distinct(F.array_compact(F.array(*names)))
+    """Names of the rules whose sequence lies in ``ids``, each once, in the order of the rules.
+
+    Sentences that a rule does not name may stand between those that it names. A rule of
+    one sentence, as most are, is looked up.
+    """
+    names = list(dict.fromkeys(name for name, _ in rules))
+
+    def hit(seq):
+        if len(seq) == 1:
+            return F.array_contains(ids, seq[0])
+        own = F.filter(ids, lambda i: i.isin(list(seq)))
+        trail = F.concat(F.lit(" "), F.array_join(F.transform(own, lambda i: i.cast("string")), " "), F.lit(" "))
+        return F.contains(trail, F.lit(" " + " ".join(map(str, seq)) + " "))
+
+    found = []
+    for name in names:
+        alone = [seq[0] for n, seq in rules if n == name and len(seq) == 1]
+        ways = [F.arrays_overlap(ids, F.array(*map(F.lit, alone)))] if alone else []
+        ways += [hit(seq) for n, seq in rules if n == name and len(seq) > 1]
+        any_ = ways[0]
+        for w in ways[1:]:
+            any_ = any_ | w
+        found.append(F.when(any_, F.lit(name)))
+    none = F.array().cast("array<string>")
+    return F.when(F.size(ids) > 0, F.array_compact(F.array(*found)) if found else none).otherwise(none)
 
 
 def scan_licences(docs: DataFrame, text: str = "text", sentences=ALL_SENTENCES, rules=ALL_RULES) -> DataFrame:
@@ -183,15 +273,28 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-# The regular expressions of the twin have no look-ahead: sentence ends are marked with a line feed first.
-LICENCE_SQL = f"""WITH cut AS (
-  SELECT doc_id, unnest(string_split(regexp_replace(lower(coalesce(text, '')), '[.!?;]+([ \\t-\\r]|$)', chr(10), 'g'), chr(10))) AS s,
-         generate_subscripts(string_split(regexp_replace(lower(coalesce(text, '')), '[.!?;]+([ \\t-\\r]|$)', chr(10), 'g'), chr(10)), 1) AS n
-  FROM documents),
-known AS (
-  SELECT doc_id, n, list_position([{', '.join(map(_sql_text, SENTENCES))}], trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))) AS id FROM cut),
-trails AS (
-  SELECT doc_id, count(*) AS c, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY n) AS ids FROM known WHERE id > 0 GROUP BY doc_id)
-SELECT d.doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids,
-  array_to_string(list_filter([{', '.join(f"CASE WHEN contains(' ' || coalesce(ids, '') || ' ', ' {' '.join(map(str, q))} ') THEN {_sql_text(n)} END" for n, q in RULES)}], lambda x: x IS NOT NULL), ' ') AS licences
-FROM documents d LEFT JOIN trails t ON d.doc_id = t.doc_id"""
+# As ``_BETWEEN``, with the twin's marks.
+_SQL_BETWEEN = r"(?: ?Z\n[ XZ]*| )"
+
+
+def _rule_sql(name: str, rules) -> str:
+    """Whether the rules of one name hold for the list ``ids``."""
+    ways = []
+    for n, seq in rules:
+        if n == name:
+            trail = f"' ' || array_to_string(list_filter(ids, lambda i: list_contains([{', '.join(map(str, seq))}], i)), ' ') || ' '"
+            ways.append(f"contains({trail}, ' {' '.join(map(str, seq))} ')")
+    return f"CASE WHEN {' OR '.join(ways)} THEN {_sql_text(name)} END"
+
+
+# The regular expressions of the twin have no look-ahead: every end is led by a Z, which the search takes instead.
+_ENDS_SQL = r"""regexp_replace('X' || regexp_replace(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.!?;]+([ \t-\r]|$)', 'X\1', 'g'), '[^a-z0-9X\n]+', ' ', 'g') || 'X', '([X\n])', 'Z\1', 'g')"""
+LICENCE_SQL = f"""WITH marked AS (SELECT doc_id, {_ENDS_SQL} AS t FROM documents),
+found AS (
+  SELECT doc_id, list_transform(regexp_extract_all(t, '[X\\n] ?({_pattern(_words(ALL_SENTENCES), _SQL_BETWEEN)}) ?Z', 1),
+    lambda s: list_position([{', '.join(map(_sql_text, ALL_SENTENCES))}], regexp_replace(s, ' ?Z\\n[ XZ]*', ' ', 'g'))) AS ids
+  FROM marked)
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ' ') AS sentence_ids,
+  array_to_string(list_filter([{', '.join(_rule_sql(n, ALL_RULES) for n in dict.fromkeys(n for n, _ in ALL_RULES))}], lambda x: x IS NOT NULL), ' ') AS licences
+FROM found"""

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ferrylog.llm import exchange
+from ferrylog.llm.names import free_name
 from ferrylog.llm.words import mix, slices, text_buffers, windows, words_of
 
 WINDOW = 13
@@ -171,10 +172,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_buckets, buckets = buckets or partitions, buckets or 2 * partitions
     docs = docs.drop("n_words", "n_removed", "kept_text")
-    placed = docs.withColumn("__bucket", F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(buckets)).cast("int"))
+    bucket = free_name(docs.columns, "__bucket")
+    placed = docs.withColumn(bucket, F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(buckets)).cast("int"))
     if docs.schema[id_col].nullable:  # rows without an id are spread by their text
         spread = F.pmod(F.xxhash64(text_col), F.lit(buckets)).cast("int")
-        placed = placed.withColumn("__bucket", F.when(F.col(id_col).isNull(), spread).otherwise(F.col("__bucket")))
+        placed = placed.withColumn(bucket, F.when(F.col(id_col).isNull(), spread).otherwise(F.col(bucket)))
 
     def key_rows(table: pa.Table) -> pa.Table:
         ids, valid = _ids(table, id_col)
@@ -239,14 +241,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         parts = _group(left.column(text_col), ids, kept_of)
         total = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in (0, 1)]
         texts = [t for p in parts for t in p[2]]
-        out = left.drop_columns(["__bucket"])
+        out = left.drop_columns([bucket])
         for name, column_ in (("n_words", pa.array(total[0], pa.int64())), ("n_removed", pa.array(total[1], pa.int64())),
                               ("kept_text", pa.array(texts, pa.string()))):
             out = out.append_column(name, column_)
         return out
 
     # The three uses of ``texts`` are one exchange: the texts are dealt out once.
-    texts = placed.groupBy("__bucket")
+    texts = placed.groupBy(bucket)
     shared = texts.applyInArrow(key_rows, exchange.ROWS).groupBy("bucket").applyInArrow(exchange.shared_keys(buckets), exchange.ROWS)
     prints = texts.cogroup(shared.groupBy("bucket")).applyInArrow(window_rows, exchange.ROWS)
     later = prints.groupBy("bucket").applyInArrow(exchange.later_entries(buckets), exchange.ROWS)

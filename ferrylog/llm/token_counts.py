@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 from ferrylog.llm.bpe import Memo, stable_pieces, strings_of
 
 #: Characters from which a document is huge, of a chunk, and of an overlap at first.
-HUGE, CHUNK, OVERLAP = 1 << 16, 1 << 15, 256
+HUGE, CHUNK, OVERLAP = 1 << 13, 1 << 12, 256
 _STABLE_BLANK = re.compile(r"(?<=\S) ")
 
 
@@ -88,13 +88,16 @@ def _counter(path: str):
         def starts(text):
             return [a for a, _ in library.encode(text, add_special_tokens=False).offsets]
 
-        _counters[path] = library, Memo(many), Chunked(starts)
+        _counters[path] = library, Memo(many), starts
     return _counters[path]
 
 
-def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens") -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str = "n_tokens",
+                 huge: int = HUGE, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Add the number of tokens of whole texts, without added special tokens.
 
+    Texts of ``huge`` characters or more are encoded in chunks of ``chunk`` that overlap
+    by ``overlap`` at first; the counts are the same whatever these are.
     Special strings inside texts count as the library counts them by default. Null and
     empty texts have none. Repeated rows and other columns are kept; a column named
     like ``out`` is replaced.
@@ -104,11 +107,12 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out: str =
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 
     def run(batches):
-        library, memo, chunked = _counter(path)
+        library, memo, starts = _counter(path)
+        chunked = Chunked(starts, chunk, overlap)
         for batch in batches:
             numbers = []
             for _, _, texts in strings_of(batch, text_col):
-                cut = [stable_pieces(t) if len(t) < HUGE else None for t in texts]
+                cut = [stable_pieces(t) if len(t) < huge else None for t in texts]
                 known = memo.learn(chain.from_iterable(c[1:] for c in cut if c))
                 heads = library.encode_batch_fast([c[0] if c else "" for c in cut], add_special_tokens=False)
                 for text, pieces, head in zip(texts, cut, heads):

@@ -200,3 +200,37 @@ def test_licence_lines(spark):
     out = {r.doc_id: r.sentence_ids for r in licences.licence_report(df).collect()}
     assert [out[i] for i in range(len(rows))] == ["4", "4", "", "", "4 14", "5", "", "", ""]
     assert licences.scan_licences(df, sentences=()).selectExpr("max(size(sentence_ids))").first()[0] == 0
+
+
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
+AGPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+ONE_LINE = [("Licensed under the MIT license.", "mit"), ("# SPDX-License-Identifier: MIT\nimport os", "mit"), ("This is released under the MIT License.", "mit"),
+            ("Mozilla Public License Version 2.0", "mpl-2.0"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0-or-later"),
+            ("This project is licensed under the BSD 3-Clause License.", "bsd-3-clause"), ("Distributed under the\nApache License, Version 2.0.", "apache-2.0")]
+
+
+def test_more_licences(spark, tmp_path):
+    """Further texts, tags and one-line forms; sentences that a rule does not name may stand in between. The twin agrees."""
+    parted = MIT.replace("subject to the following conditions:\n", "subject to the following conditions:\n\nAll rights reserved.\n")
+    cases = [*LICENCE_TEXTS, *LICENCE_TITLES, (MPL, "mpl-2.0"), (ISC, "isc"), (LGPL, "lgpl-2.1-or-later"), (AGPL, "agpl-3.0-or-later"), *ONE_LINE,
+             (parted, "mit-text all-rights-reserved"), ("MIT license", ""), ("SPDX-License-Identifier: mit or else", ""), (None, ""),
+             ("this\nall\nlicensed", ""), ("Z X Zx", "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.licences for r in licences.licence_report(df).collect()}
+    assert {i: (got[i], want) for i, (_, want) in enumerate(cases) if got[i] != want} == {}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(con, licences.licence_report(df), licences.LICENCE_SQL) is None

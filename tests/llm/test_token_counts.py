@@ -57,3 +57,11 @@ def test_empty_table_and_clashing_columns(spark):
     out = token_counts.count_tokens(df, PATH)
     assert out.columns == ["doc_id", "text", "n_tokens"] and out.count() == 0
     assert token_counts.count_tokens(df.union(df.select(F.lit(1), F.lit("a b"), F.lit("x"))), PATH).count() == 0
+
+
+@pytest.mark.parametrize("huge, chunk, overlap", [(1, 300, 20), (200, 100, 8), (1 << 30, 1 << 12, 256)])
+def test_any_chunks_give_the_same_counts(spark, sf_dir, library, huge, chunk, overlap):
+    """Of all documents, as if every one were huge; and none."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, PATH, huge=huge, chunk=chunk, overlap=overlap).collect()}
+    assert got == {r.doc_id: count(library, r.text) for r in docs.collect()}
