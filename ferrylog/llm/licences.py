@@ -7,7 +7,7 @@ one that a line holds alone. Texts are cut at all ends once, and the parts are l
 among the beginnings of known sentences; only texts with such a part are searched for
 whole sentences, so the cost hardly grows with their number. A licence is recognised
 where its rule - an ordered sequence of identifiers - lies in the sequence of a text's
-known sentences, those that the rule does not name left out. Everything happens within
+known sentences, those that no such rule names left out. Everything happens within
 the row: no shuffle and no join.
 """
 
@@ -223,26 +223,24 @@ def sentence_ids(text: Column, sentences=ALL_SENTENCES) -> Column:
     return F.element_at(F.transform(F.array(normal), of_normal), 1)
 
 
+def _of_sequences(rules) -> list[int]:
+    """Sentences that rules of several sentences name; all others may stand anywhere between these."""
+    return sorted({i for _, seq in rules if len(seq) > 1 for i in seq})
+
+
 def rule_hits(ids: Column, rules=ALL_RULES) -> Column:
     """Names of the rules whose sequence lies in ``ids``, each once, in the order of the rules.
 
-    Sentences that a rule does not name may stand between those that it names. A rule of
-    one sentence, as most are, is looked up.
+    Between the sentences of a sequence may stand those that no sequence names, such as
+    a line about rights. A rule of one sentence, as most are, is looked up.
     """
-    names = list(dict.fromkeys(name for name, _ in rules))
-
-    def hit(seq):
-        if len(seq) == 1:
-            return F.array_contains(ids, seq[0])
-        own = F.filter(ids, lambda i: i.isin(list(seq)))
-        trail = F.concat(F.lit(" "), F.array_join(F.transform(own, lambda i: i.cast("string")), " "), F.lit(" "))
-        return F.contains(trail, F.lit(" " + " ".join(map(str, seq)) + " "))
-
+    own = F.filter(ids, lambda i: i.isin(_of_sequences(rules)))
+    trail = F.concat(F.lit(" "), F.array_join(F.transform(own, lambda i: i.cast("string")), " "), F.lit(" "))
     found = []
-    for name in names:
-        alone = [seq[0] for n, seq in rules if n == name and len(seq) == 1]
-        ways = [F.arrays_overlap(ids, F.array(*map(F.lit, alone)))] if alone else []
-        ways += [hit(seq) for n, seq in rules if n == name and len(seq) > 1]
+    for name in dict.fromkeys(name for name, _ in rules):
+        alone = [F.lit(seq[0]) for n, seq in rules if n == name and len(seq) == 1]
+        ways = [F.arrays_overlap(ids, F.array(*alone))] if alone else []
+        ways += [F.contains(trail, F.lit(" " + " ".join(map(str, seq)) + " ")) for n, seq in rules if n == name and len(seq) > 1]
         any_ = ways[0]
         for w in ways[1:]:
             any_ = any_ | w
@@ -278,12 +276,8 @@ _SQL_BETWEEN = r"(?: ?Z\n[ XZ]*| )"
 
 
 def _rule_sql(name: str, rules) -> str:
-    """Whether the rules of one name hold for the list ``ids``."""
-    ways = []
-    for n, seq in rules:
-        if n == name:
-            trail = f"' ' || array_to_string(list_filter(ids, lambda i: list_contains([{', '.join(map(str, seq))}], i)), ' ') || ' '"
-            ways.append(f"contains({trail}, ' {' '.join(map(str, seq))} ')")
+    """Whether the rules of one name hold for the list ``ids`` and the text ``trail`` of its sequence sentences."""
+    ways = [f"list_contains(ids, {seq[0]})" if len(seq) == 1 else f"contains(trail, ' {' '.join(map(str, seq))} ')" for n, seq in rules if n == name]
     return f"CASE WHEN {' OR '.join(ways)} THEN {_sql_text(name)} END"
 
 
@@ -294,7 +288,9 @@ LICENCE_SQL = f"""WITH marked AS (SELECT doc_id, {_ENDS_SQL} AS t FROM documents
 found AS (
   SELECT doc_id, list_transform(regexp_extract_all(t, '[X\\n] ?({_pattern(_words(ALL_SENTENCES), _SQL_BETWEEN)}) ?Z', 1),
     lambda s: list_position([{', '.join(map(_sql_text, ALL_SENTENCES))}], regexp_replace(s, ' ?Z\\n[ XZ]*', ' ', 'g'))) AS ids
-  FROM marked)
+  FROM marked),
+trails AS (
+  SELECT *, ' ' || array_to_string(list_filter(ids, lambda i: list_contains([{', '.join(map(str, _of_sequences(ALL_RULES)))}], i)), ' ') || ' ' AS trail FROM found)
 SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ' ') AS sentence_ids,
   array_to_string(list_filter([{', '.join(_rule_sql(n, ALL_RULES) for n in dict.fromkeys(n for n, _ in ALL_RULES))}], lambda x: x IS NOT NULL), ' ') AS licences
-FROM found"""
+FROM trails"""
