@@ -177,23 +177,6 @@ def t4_moves(spark, sf):
     return apply_changes(orders.selectExpr("o_orderkey AS k", "o_orderpriority AS v"), spark.sql(_MOVES, o=orders), ["k"])
 
 
-# One row moves from key to key, once for every order, and back by one step after each thousandth:
-# the step that follows meets a free key and an image that is there again.
-_CHAIN = """SELECT 'f' AS file, n * 10 AS pos, 0 AS row_no, 'UPDATE' AS op, named_struct('k', n - 1, 'v', 'at') AS before, named_struct('k', n, 'v', 'at') AS after FROM {o}
-  UNION ALL SELECT 'f', n * 10 + 5, 0, 'UPDATE', named_struct('k', n, 'v', 'at'), named_struct('k', n - 1, 'v', 'at') FROM {o} WHERE n % 1000 = 0
-  UNION ALL SELECT 'f', n * 10 + 7, 0, 'UPDATE', named_struct('k', n - 1, 'v', 'at'), named_struct('k', n, 'v', 'at') FROM {o} WHERE n % 1000 = 0
-  UNION ALL SELECT 'f', n * 10 + 8, 0, 'UPDATE', named_struct('k', n, 'v', 'stale'), named_struct('k', -n, 'v', 'lost') FROM {o} WHERE n % 700 = 0"""
-
-
-@check("t4_fold_moves_long_chain", "SELECT count(*) AS k, 'at' AS v FROM orders UNION ALL SELECT -1000000000 - o_orderkey, 'other' FROM orders")
-def t4_chain(spark, sf):
-    """A chain of moves as long as the table, with a few steps back and a few that hit nothing."""
-    orders = table(spark, sf, "orders").select("o_orderkey")
-    ranks = materialize(number_rows(orders, "o_orderkey", "n").select("n"), "ranks")
-    stored = orders.selectExpr("-1000000000 - o_orderkey AS k", "'other' AS v").union(spark.sql("SELECT 0L AS k, 'at' AS v"))
-    return apply_changes(stored, spark.sql(_CHAIN, o=ranks), ["k"])
-
-
 _IMAGES = f"""WITH {changes_sql()}, images AS (SELECT b_k, b_status, b_price, b_note FROM row_changes WHERE op <> 'INSERT'),
   target AS (SELECT * FROM base UNION ALL SELECT * FROM base)"""
 
