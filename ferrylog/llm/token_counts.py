@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 from ferrylog.llm.bpe import Memo, stable_pieces, strings_of
 
 #: Characters from which a document is huge, of a chunk, and of an overlap at first.
-HUGE, CHUNK, OVERLAP = 1 << 13, 1 << 12, 256
+HUGE, CHUNK, OVERLAP = 1 << 15, 1 << 14, 256
 _STABLE_BLANK = re.compile(r"(?<=\S) ")
 
 
