@@ -225,11 +225,11 @@ class AppliedTable:
                .where("b IS NOT NULL").distinct())
         touched = now.touched | {r.b for r in hit.collect()}  # at most one row per bucket
         after = now._replace(number=number, runs=tuple(runs), touched=touched, applied=names.plus(batch))
-        if sum(r.bytes for r in runs) >= self.merge_share * sum(now.bytes.get(b, 0) for b in touched):
-            after = self._fold_in(after, folder)
-        else:
-            after = self._merge_runs(after, folder)
+        fold = sum(r.bytes for r in runs) >= self.merge_share * sum(now.bytes.get(b, 0) for b in touched)
+        after = self._fold_in(after, folder) if fold else self._merge_runs(after, folder)
         self._publish(f"{folder}-{batch}", after)
+        if run_folder not in {r.folder for r in after.runs}:
+            delete_path(self.spark, f"{self.data}/{run_folder}")  # no version has it
 
     def _write_run(self, rows: DataFrame, folder: str) -> DataFrame:
         path = f"{self.data}/{folder}/{_LOG}"
