@@ -89,3 +89,15 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0 and language.MOST_BITS > 0
+
+
+def test_columns_of_any_name(spark):
+    """Extra columns keep their values whatever their names and case."""
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, passage, "en", 7, 8, "x", 9), (2, "own words " + passage + " and more", "en", 17, 18, "y", 19)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, N_Words int, __bucket long, Kept_Text string, n_chars long")
+    out = corpus_pipeline.substring_dedup(spark, docs, None)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [rows[0], (2, "own words and more", "en", 17, 18, "y", 18)]
+    clash = docs.withColumn("__letter", F.lit("q")).withColumn("__LETTER_", F.lit("r"))
+    assert language.predict(clash, language.train(clash)).columns[:9] == clash.columns
