@@ -39,13 +39,17 @@ def substring_dedup(spark, docs, sf_dir):
     Documents without such a passage keep their text as it is; in the others the words
     left are joined by one blank. ``n_chars`` follows the text.
     """
-    names = {"n_words", "n_removed", "kept_text"} & set(docs.columns)
-    held = docs.withColumns({f"__{n}": F.col(n) for n in names})
+    # Other columns travel in one that no name can clash with.
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    held = docs.select("doc_id", "text", F.struct(*others).alias("others")) if others else docs.select("doc_id", "text")
     done = repeats.remove_repeats(held)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars").cast("long"))
-    changed = {"text": text} | ({"n_chars": n_chars} if "n_chars" in docs.columns else {})
-    return done.select(*[changed.get(c, F.col(f"__{c}" if c in names else c)).alias(c) for c in docs.columns])
+    changed = {"doc_id": F.col("doc_id"), "text": F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))}
+    for c in others:
+        own = F.col("others").getField(c)
+        if c.lower() == "n_chars":
+            own = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(own.cast("long"))
+        changed[c] = own
+    return done.select(*[changed.get(c, changed.get(c.lower())).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark, docs, sf_dir):
