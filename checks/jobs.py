@@ -353,6 +353,44 @@ def e1_signed(spark, sf):
     return target.read("signed")
 
 
+# Keys of text in falling order, a whole number and a number, some of them NULL, some repeated.
+_LINES = """SELECT CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_returnflag || l_linestatus END AS flag, l_orderkey AS k,
+  l_linenumber AS line, l_partkey AS part, l_suppkey AS supp, l_shipdate AS shipped FROM {lineitem}"""
+
+
+class _StopsOnce(FolderTarget):
+    """A target that goes away at its third write."""
+    writes = 0
+
+    def write(self, df, table, batch_size, mode="append"):
+        self.writes += 1
+        if self.writes == 3:
+            raise OSError("target went away")
+        super().write(df, table, batch_size, mode)
+
+
+@check("e1_full_copy_composite_keys", f"""WITH lines AS ({_LINES.format(lineitem='lineitem')}),
+  g AS (SELECT flag, k, line, part, supp, shipped, count(*) AS n FROM lines GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY flag, k, line ORDER BY part, supp, shipped) AS i FROM g WHERE flag IS NOT NULL)
+  SELECT flag, k, line, part, supp, shipped, 1::BIGINT AS copies, NULL::VARCHAR AS reason FROM r WHERE i = 1
+  UNION ALL SELECT flag, k, line, part, supp, shipped, n, 'null key' FROM g WHERE flag IS NULL
+  UNION ALL SELECT flag, k, line, part, supp, shipped, CASE WHEN i = 1 THEN n - 1 ELSE n END, 'duplicate key' FROM r WHERE i > 1 OR n > 1""")
+def e1_composite(spark, sf):
+    """A copy that stops inside the table and goes on: rows that arrived, and rows that were refused."""
+    home = scratch_path(spark, "copy")
+    spark.sql(_LINES.format(lineitem="{l}"), l=table(spark, sf, "lineitem")).write.parquet(f"{home}/source/lines.parquet")
+    lines = DirectorySource(spark, f"{home}/source", keys={"lines": ["flag", "k", "line"]})
+    cfg = CopyConfig(f"{home}/ledger", ranges=6, continue_on_error=True, quarantine_path=f"{home}/refused",
+                     descending_keys={"lines": ["flag"]})
+    target = _StopsOnce(spark, f"{home}/target")
+    stopped = full_copy(spark, lines, target, cfg).first()
+    assert stopped.error is not None and read_progress(spark, cfg.ledger_path).first().last_migrated_key
+    full_copy(spark, lines, target, cfg)
+    refused = spark.read.parquet(f"{home}/refused/lines").drop("range_id")
+    return (target.read("lines").withColumns({"copies": F.lit(1).cast("bigint"), "reason": F.lit(None).cast("string")})
+            .unionByName(refused))
+
+
 # --- capture with the built-in handlers ---------------------------------------
 
 def _change_feed(spark, sf):

@@ -8,6 +8,7 @@ from checks.inputs import LOGS_SQL, TASKS_SQL, table, task_logs, tasks
 from checks.registry import check
 from checks.functions import f15
 from ferrylog.operators import tasks as op
+from ferrylog.operators.ranges import ordered_page
 from ferrylog.session import scratch_path
 
 _T = "id, name, status, created_at"
@@ -38,6 +39,15 @@ def o4(spark, sf):
     return op.page_tasks(tasks(spark, sf), 3).select(*_NAMES, "total")
 
 
+@check("o4_deep_page", f"""WITH {TASKS_SQL}, live AS (SELECT {_T}, row_number() OVER (ORDER BY created_at DESC, id) AS i, count(*) OVER () AS total FROM tasks WHERE NOT is_deleted)
+  SELECT {_T}, total FROM live WHERE (i - 1) // 20 = total // 40""")
+def o4_deep(spark, sf):
+    """The page in the middle, found by counts of ranges."""
+    live = op.live_tasks(tasks(spark, sf))
+    middle = live.count() // 40 + 1
+    return ordered_page(live, ["created_at", "id"], middle, 20, ["created_at"], range_rows=200, fan=8).select(*_NAMES, "total")
+
+
 @check("o5_task_log_page", f"WITH {LOGS_SQL} SELECT * FROM task_logs WHERE task_id = '56' ORDER BY created_at DESC, id DESC")
 def o5(spark, sf):
     return op.task_log_page(task_logs(spark, sf), "56")

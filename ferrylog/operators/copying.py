@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ferrylog.functions.status import copy_decision
 from ferrylog.functions.text import col
+from ferrylog.operators.ranges import past
 
 
 def project_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -24,14 +25,9 @@ def resume_filter(df: DataFrame, key: Optional[str], last_id, ordered=True) -> D
     return rest.orderBy(key) if ordered else rest
 
 
-def resume_after(df: DataFrame, keys: Sequence[str], last: Sequence) -> DataFrame:
+def resume_after(df: DataFrame, keys: Sequence[str], last: Sequence, descending: Sequence[str] = ()) -> DataFrame:
     """Rows past a composite key, column by column (plain comparisons, so they push down)."""
-    past = F.lit(False)
-    for i, (key, value) in enumerate(zip(keys, last)):
-        same = reduce(lambda a, b: a & b,
-                      [F.col(k) == F.lit(v) for k, v in zip(keys[:i], last[:i])], F.lit(True))
-        past = past | (same & (F.col(key) > F.lit(value)))
-    return df.where(past)
+    return df.where(past(keys, [None if v is None else F.lit(v) for v in last], descending))
 
 
 def append_new_rows(src: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -100,7 +96,8 @@ def plan_copy(tables: DataFrame, ledger: DataFrame) -> DataFrame:
 
     A restart takes the new total and zero counters; a resume keeps the old total.
     """
-    known = ledger.select("table_name", "status", "migrated_rows", "last_migrated_id",
+    bounds = [c for c in ("last_migrated_id", "last_migrated_key") if c in ledger.columns]
+    known = ledger.select("table_name", "status", "migrated_rows", *bounds,
                           F.col("total_rows").alias("old_total"))
     joined = tables.join(known, "table_name", "left")
     decision = copy_decision("status")
@@ -111,4 +108,5 @@ def plan_copy(tables: DataFrame, ledger: DataFrame) -> DataFrame:
         F.when(resume, F.col("migrated_rows")).otherwise(F.lit(0)).alias("migrated_rows"),
         F.when(resume, F.col("last_migrated_id"))
          .when(decision == "restart", F.lit(0)).alias("last_migrated_id"),
+        *[F.when(resume, F.col(c)).alias(c) for c in bounds[1:]],
         F.when(resume, F.lit("IN_PROGRESS")).otherwise(F.lit("PENDING")).alias("status"))

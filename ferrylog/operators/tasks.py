@@ -7,6 +7,7 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ferrylog.functions.status import FINAL_TASK_STATUSES, task_payload
+from ferrylog.operators.ranges import ordered_page
 from ferrylog.schema import TASK_LOGS, TASKS
 from ferrylog.sinks.ledger import latest_per_key
 
@@ -15,6 +16,9 @@ DEFAULT_SOURCE, DEFAULT_TARGET = "default-source", "default-target"
 TOPIC_NEW, TOPIC_UPDATES = "sync-tasks", "sync-task-updates"
 TOPIC_PARTITION = 0
 
+#: Rows before a page from which on they are counted by ranges, not sorted.
+DEEP = 100_000
+
 
 def current_tasks(versions: DataFrame) -> DataFrame:
     return latest_per_key(versions, "id")
@@ -33,8 +37,13 @@ def task_total(tasks: DataFrame) -> DataFrame:
 
 
 def page_tasks(tasks: DataFrame, page=1, size=10) -> DataFrame:
-    """One page, newest first, with the total of live tasks; ties go by id."""
+    """One page, newest first, with the total of live tasks; ties go by id.
+
+    A page behind more than ``DEEP`` rows is found by counting ranges instead of sorting them.
+    """
     live = live_tasks(tasks)
+    if (page - 1) * size > DEEP:
+        return ordered_page(live, ["created_at", "id"], page, size, ["created_at"])
     total = task_total(tasks).scalar()
     return (live.orderBy(F.desc("created_at"), "id").offset((page - 1) * size).limit(size)
                 .withColumn("total", total))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Optional, Sequence
+from typing import Mapping, Optional, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.util import inheritable_thread_target
@@ -14,6 +16,7 @@ from ferrylog.errors import first_line
 from ferrylog.functions.position import Position
 from ferrylog.operators.copying import (append_new_rows, has_bad_rows, plan_copy, project_columns,
                                          resume_filter, split_bad_rows)
+from ferrylog.operators.ranges import between, key_cuts, orderable
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks.ledger import append_progress, read_progress, save_checkpoint
 from ferrylog.sinks.tables import BATCH_SIZE, JdbcTable, create_tables, write_table
@@ -37,9 +40,10 @@ class CopyConfig:
     enable_resume: bool = True
     included_tables: Sequence[str] = field(default_factory=tuple)
     ranges: int = 1  # committed units per table, cut by key quantiles
+    descending_keys: Mapping[str, Sequence[str]] = field(default_factory=dict)  # by table: key columns in falling order
     read_partitions: int = 8  # parallel reads of one table behind JDBC
     parallel_tables: int = 4  # tables in flight; each is a distributed job
-    quarantine_path: Optional[str] = None  # refused rows, one folder per table
+    quarantine_path: Optional[str] = None  # refused rows, one folder per table, in it one per range
 
 
 class FolderTarget:
@@ -184,60 +188,104 @@ def _write_counted(target, df, table, cfg, mode="append") -> int:
     return seen.get.get("rows") or 0
 
 
-def _copy_range(part, step, target, cfg, stored, keys):
-    """Copy one range: ``(rows now in the target, rows refused)``."""
+def _copy_range(part, step, target, cfg, stored, keys, low):
+    """Copy the range after ``low``: ``(rows now in the target, rows refused)``.
+
+    A range that is copied again has the same ``low``, whatever its other end, and replaces
+    the quarantine of the attempt that was not committed.
+    """
     table, there, refused = step.table_name, 0, 0
-    if stored is not None and step.decision == "resume":
+    if not keys:
+        return target.write_once(part, table, cfg.batch_size, f"{cfg.ledger_path}-stage/{table}"), refused
+    resumed = stored is not None and step.decision == "resume"
+    folder = None
+    if cfg.quarantine_path:
+        folder = f"{cfg.quarantine_path}/{table}/range_id=r{hashlib.sha256(json.dumps(low).encode()).hexdigest()[:16]}"
+        if step.decision == "resume":
+            delete_path(part.sparkSession, folder)
+    if has_bad_rows(part, keys, None if resumed else stored):
+        part, quarantine = split_bad_rows(part, keys, None if resumed else stored,
+                                          "continue" if cfg.continue_on_error else "fail")
+        refused = quarantine.agg(F.sum("copies")).first()[0] or 0
+        if folder:
+            quarantine.write.mode("overwrite").parquet(folder)
+    if resumed:
         # Rows written just before a crash are already there; they are not errors.
         there = part.join(stored.select(*keys), keys, "left_semi").count()
         part = part.join(stored.select(*keys), keys, "left_anti").select(*part.columns)
-        stored = None
-    if keys and has_bad_rows(part, keys, stored):
-        part, quarantine = split_bad_rows(part, keys, stored,
-                                          "continue" if cfg.continue_on_error else "fail")
-        refused = quarantine.agg(F.sum("copies")).first()[0] or 0
-        if cfg.quarantine_path:
-            quarantine.write.mode("append").parquet(f"{cfg.quarantine_path}/{table}")
-    if not keys:
-        return target.write_once(part, table, cfg.batch_size, f"{cfg.ledger_path}-stage/{table}"), refused
     return there + _write_counted(target, part, table, cfg), refused
 
 
+def _number_ranges(rest, key, last, ranges):
+    """``(filter of the rows, filter of the stored rows, id, key bound)`` of ranges of one whole-number key.
+
+    Rows without a key belong to the first range of a new copy, where they are refused.
+    """
+    for bound in key_bounds(rest, key, ranges) or [None]:
+        if bound is None:
+            yield None, None, last, None
+            continue
+        at, fresh = F.col(key), last is None
+        inside = (at <= F.lit(bound)) if fresh else (at > F.lit(last)) & (at <= F.lit(bound))
+        yield (inside | at.isNull() if fresh else inside), inside, bound, None
+        last = bound
+
+
+def _key_ranges(rest, keys, mark, last, ranges, rows, descending):
+    """The same for keys of any columns; the last range is open, so its bound is the one before."""
+    low = mark
+    for high in [*key_cuts(rest, keys, ranges, rows, descending), None]:
+        inside = between(rest, keys, low, high, descending)
+        low = high or low
+        whole = low and low[0] is not None and isinstance(rest.schema[keys[0]].dataType, T.IntegralType)
+        yield inside, inside, int(low[0]) if whole else last, low
+
+
 def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     """Copy one table range by range; each committed range moves the ledger's bound.
 
-    Ranges are cut at values of the first key column, so rows that share the bound
-    are in one range and a resume can neither skip nor repeat a row.
+    Ranges hold all rows of a key, so a resume can neither skip nor repeat a row. One
+    whole-number key has its own bound (``last_migrated_id``), other keys have all of their
+    columns in ``last_migrated_key``.
     """
     table, done, bad = step.table_name, step.migrated_rows, 0
     rows = project_columns(source.read(table), columns)
     numeric = key is not None and isinstance(rows.schema[key].dataType, T.IntegralType)
-    last = step.last_migrated_id if numeric and step.migrated_rows else None  # nothing copied, no bound
+    descending = tuple(cfg.descending_keys.get(table, ()))
+    by_number = numeric and len(keys) == 1 and not descending
+    by_key = bool(keys) and not by_number and all(orderable(rows.schema[k].dataType) for k in keys)
+    mark = json.loads(step.last_migrated_key) if by_key and step.last_migrated_key else None
+    # Nothing copied, no bound. A number that stands alone for a wider key is an older ledger's.
+    last = step.last_migrated_id if numeric and step.migrated_rows and not descending else None
     split = source.key_range(table, key, cfg.read_partitions) if numeric else None
     if split is not None:
         rows = project_columns(source.read(table, split), columns)
 
     def note(status):
-        append_progress(_ledger_row(spark, table_name=table, total_rows=step.total_rows,
-                                    migrated_rows=done, last_migrated_id=last, status=status),
-                        cfg.ledger_path)
+        append_progress(_ledger_row(spark, table_name=table, total_rows=step.total_rows, migrated_rows=done,
+                                    last_migrated_id=last, status=status,
+                                    last_migrated_key=None if mark is None else json.dumps(mark)), cfg.ledger_path)
 
     note(step.status)
-    if step.decision == "resume" and not numeric:
+    if step.decision == "resume" and last is None and mark is None:
         done = 0  # no bound to resume from: the whole table again, stored keys skipped
-    rest = resume_filter(rows, key if numeric else None, last, ordered=False)
-    bounds = (key_bounds(rest, key, cfg.ranges) if numeric else []) or [None]
-    for i, bound in enumerate(bounds, 1):
+    if mark is not None:
+        rest = rows.where(between(rows, keys, mark, None, descending))
+    else:
+        rest = resume_filter(rows, key if numeric else None, last, ordered=False)
+    if by_number:
+        parts = list(_number_ranges(rest, key, last, cfg.ranges))
+    elif by_key:
+        parts = list(_key_ranges(rest, keys, mark, last, cfg.ranges, step.total_rows, descending))
+    else:
+        parts = [(None, None, last, None)]
+    for i, (inside, there, next_id, next_mark) in enumerate(parts, 1):
         part, stored = rest, target.read(table) if keys else None
-        if bound is not None:
-            at, fresh = F.col(key), last is None
-            inside = (at <= F.lit(bound)) if fresh else (at > F.lit(last)) & (at <= F.lit(bound))
-            # Rows without a key belong to the first range, where they are refused.
-            part = part.where(inside | at.isNull() if fresh else inside)
-            stored = None if stored is None else stored.where(inside)
-        copied, refused = _copy_range(part, step, target, cfg, stored, keys)
-        done, bad, last = done + copied, bad + refused, bound if bound is not None else last
-        note("COMPLETED" if i == len(bounds) else step.status)
+        if inside is not None:
+            part, stored = part.where(inside), None if stored is None else stored.where(there)
+        copied, refused = _copy_range(part, step, target, cfg, stored, keys, [last, mark])
+        done, bad, last, mark = done + copied, bad + refused, next_id, next_mark
+        note("COMPLETED" if i == len(parts) else step.status)
     if not keys:
         for suffix in ("", "-count"):
             delete_path(spark, f"{cfg.ledger_path}-stage/{table}{suffix}")
@@ -291,7 +339,7 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
             append_progress(_ledger_row(
                 spark, table_name=step.table_name, total_rows=now.total_rows,
                 migrated_rows=now.migrated_rows, last_migrated_id=now.last_migrated_id,
-                status="FAILED", error_message=error), cfg.ledger_path)
+                last_migrated_key=now.last_migrated_key, status="FAILED", error_message=error), cfg.ledger_path)
             if not cfg.continue_on_error:
                 raise
             return step.table_name, -1, 0, error

@@ -32,7 +32,7 @@ SQL_ENTRIES = _struct(
 PROGRESS_LOG = _struct(
     ("table_name", _S), ("total_rows", _L), ("migrated_rows", _L), ("last_migrated_id", _L),
     ("status", _S), ("start_time", _TS), ("last_update_time", _TS), ("complete_time", _TS),
-    ("error_message", _S), ("deleted", _B), ("version", _L),
+    ("error_message", _S), ("deleted", _B), ("version", _L), ("last_migrated_key", _S),
 )
 CHECKPOINTS = _struct(
     ("stream_id", _S), ("file", _S), ("pos", _L), ("gtid", _S), ("ts_ms", _L), ("version", _L),

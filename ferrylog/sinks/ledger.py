@@ -39,6 +39,8 @@ def _next_version() -> int:
 #: Writes behind a snapshot from which on they are folded.
 TAIL = 64
 _SNAPSHOT = "snapshot-"
+# Columns that rows need not have: the bound of keys that are no single whole number.
+_MAY_LACK = ("last_migrated_key",)
 
 
 def _parts(spark: SparkSession, path: str) -> tuple[Optional[str], list[str], list[str]]:
@@ -60,7 +62,8 @@ def _read(spark, path, shape) -> DataFrame:
 
 def _write(rows: DataFrame, path, shape):
     """Each write has a folder of its own, so writers of one log cannot disturb each other."""
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in shape]).coalesce(1).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
+    given = [F.lit(None) if f.name in _MAY_LACK and f.name not in rows.columns else F.col(f.name) for f in shape]
+    rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, shape)]).coalesce(1).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
 def _append(rows: DataFrame, path, shape, states):
