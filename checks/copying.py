@@ -269,6 +269,35 @@ def k2(spark, sf):
     return status.join(spark.createDataFrame(made, "table_name string, columns bigint"), "table_name", "left")
 
 
+# A MySQL description of the orders table: type, NULL allowed, default, counter.
+_MYSQL_ORDERS = [("o_orderkey", "int(11) unsigned", False, None, True), ("o_custkey", "bigint(20)", False, None, False),
+                 ("o_orderstatus", "varchar(12)", True, "it's \\new", False), ("o_totalprice", "decimal(15,2)", True, "-1.50", False),
+                 ("o_orderdate", "datetime(6)", True, "1999-12-31 23:59:59", False), ("checked", "tinyint(1)", False, "1", False),
+                 ("o_orderpriority", "enum('a','b')", True, None, False), ("rank", "mediumint unsigned", False, "7", False)]
+
+
+@check("k2_create_target_mysql_types", """SELECT o_orderkey, o_custkey, true AS checked, 7 AS rank,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE 'it''s \\new' END AS o_orderstatus,
+  cast(CASE WHEN o_orderkey % 3 = 0 THEN cast(o_totalprice AS DECIMAL(15,2)) ELSE -1.50 END AS DECIMAL(15,2)) AS o_totalprice,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate ELSE TIMESTAMP '1999-12-31 23:59:59' END AS o_orderdate,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def k2_mysql(spark, sf):
+    """Orders inserted into a table made from a MySQL description; columns that are left out get their defaults."""
+    folder = scratch_path(spark, "db")
+    database = "ferry_" + folder[-8:]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    columns = spark.createDataFrame(
+        [("orders", i, name, kind, nullable, default, counted, counted) for i, (name, kind, nullable, default, counted) in enumerate(_MYSQL_ORDERS, 1)],
+        "table_name string, ordinal int, column_name string, data_type string, nullable boolean, default_value string, is_auto_increment boolean, is_primary_key boolean")
+    status = sink.create_target(spark, columns, database, drop=True, types="mysql").first()
+    assert status.created, status.error
+    orders, into = table(spark, sf, "orders"), f"INSERT INTO {database}.orders"
+    spark.sql(f"{into} (o_orderkey, o_custkey) SELECT o_orderkey, o_custkey FROM {{o}} WHERE o_orderkey % 3 <> 0", o=orders)
+    spark.sql(f"""{into} (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
+        SELECT o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice AS decimal(15,2)), o_orderdate, o_orderpriority FROM {{o}} WHERE o_orderkey % 3 = 0""", o=orders)
+    return spark.table(f"{database}.orders")
+
+
 @check("a2_copy_outcome", """SELECT l_shipmode AS table_name, count(*) FILTER (WHERE result >= 0) AS success, count(*) FILTER (WHERE result < 0) AS failure
   FROM (SELECT l_returnflag || l_linestatus AS l_shipmode, l_linenumber - 3 AS result FROM lineitem) GROUP BY ROLLUP (1)""")
 def a2(spark, sf):

@@ -60,3 +60,21 @@ def mysql_type_to_spark(type_text) -> Column:
     out = out.when(name.isin("decimal", "numeric") & (F.coalesce(precision, F.lit(10)) <= 38),
                    F.format_string("decimal(%d,%d)", F.coalesce(precision, F.lit(10)), scale))
     return out.otherwise(F.lit("string"))
+
+
+# Spellings of the present moment as a default.
+_NOW = r"^(CURRENT_TIMESTAMP|NOW|LOCALTIMESTAMP)(\([0-6]?\))?$"
+
+
+def spark_default(default_value, spark_type) -> Column:
+    """A column default of the source as SQL text for a Spark column; NULL for none or one without a counterpart."""
+    text, kind = col(default_value), col(spark_type)
+    quoted = F.concat(F.lit("'"), F.regexp_replace(text, r"([\\'])", r"\\$1"), F.lit("'"))
+    moment = kind.startswith("timestamp")
+    return (F.when(moment & F.upper(text).rlike(_NOW),
+                   F.when(kind == "timestamp", F.lit("current_timestamp()")).otherwise(F.lit("localtimestamp()")))
+             .when(moment & text.try_cast("timestamp_ntz").isNotNull(), F.concat(F.upper(kind), quoted))
+             .when((kind == "date") & text.try_cast("date").isNotNull(), F.concat(F.lit("DATE"), quoted))
+             .when(kind == "boolean", F.when(text.isin("1", "b'1'"), F.lit("true")).when(text.isin("0", "b'0'"), F.lit("false")))
+             .when(kind == "string", quoted)
+             .when(kind.rlike("int$|^float|^double|^decimal") & text.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), text))

@@ -98,13 +98,13 @@ def _missing_rows(df, stored):
 
 
 class CatalogTarget:
-    """Targets as tables of a session-catalog database."""
+    """Targets as tables of a session-catalog database; ``types="mysql"`` for sources with MySQL column types."""
 
-    def __init__(self, spark: SparkSession, database="default"):
-        self.spark, self.database = spark, database
+    def __init__(self, spark: SparkSession, database="default", types="spark"):
+        self.spark, self.database, self.types = spark, database, types
 
     def create(self, columns, tables, drop):
-        return create_tables(self.spark, columns, self.database, drop)
+        return create_tables(self.spark, columns, self.database, drop, types=self.types)
 
     def read(self, table):
         name = f"`{self.database}`.`{table}`"

@@ -7,7 +7,7 @@ from typing import Mapping, NamedTuple, Optional
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ferrylog.errors import first_line
-from ferrylog.sources.tables import create_ddl
+from ferrylog.sources.tables import catalog_ddl, create_ddl
 
 # Fixed value: rows per insert batch.
 BATCH_SIZE = 1000
@@ -31,17 +31,24 @@ STATUS = "table_name string, created boolean, error string"
 
 
 def create_tables(spark: SparkSession, columns: DataFrame, database="default", drop=False,
-                  format="parquet") -> list[tuple]:
-    """Create a catalog table per described table; one failure never stops the others."""
+                  format="parquet", types="spark") -> list[tuple]:
+    """Create a catalog table per described table; one failure never stops the others.
+
+    With ``types="mysql"`` the columns carry MySQL types, defaults and key flags.
+    """
+    if types not in ("spark", "mysql"):
+        raise ValueError("types is 'spark' or 'mysql'")
+    texts = catalog_ddl(columns) if types == "mysql" else create_ddl(columns).withColumn("properties", F.lit(""))
     results = []
-    for row in create_ddl(columns).orderBy("table_name").collect():  # one row per table
+    for row in texts.orderBy("table_name").collect():  # one row per table
         name = f"`{database}`.`{row.table_name}`"
         error: Optional[str] = None
         try:
             if drop:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             ddl = row.create_sql.replace(f"`{row.table_name}`", name, 1)
-            spark.sql(f"{ddl} USING {format}")
+            noted = f" TBLPROPERTIES ({row.properties})" if row.properties else ""
+            spark.sql(f"{ddl} USING {format}{noted}")
         except Exception as e:  # noqa: BLE001 - recorded per table
             error = first_line(e)
         results.append((row.table_name, error is None, error))
@@ -49,9 +56,9 @@ def create_tables(spark: SparkSession, columns: DataFrame, database="default", d
 
 
 def create_target(spark: SparkSession, columns: DataFrame, database="default", drop=False,
-                  format="parquet") -> DataFrame:
+                  format="parquet", types="spark") -> DataFrame:
     """``(table_name, created, error)`` of ``create_tables``."""
-    return spark.createDataFrame(create_tables(spark, columns, database, drop, format), STATUS)
+    return spark.createDataFrame(create_tables(spark, columns, database, drop, format, types), STATUS)
 
 
 def copy_outcome(results: DataFrame) -> DataFrame:

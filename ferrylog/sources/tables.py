@@ -12,6 +12,7 @@ from typing import Mapping, NamedTuple, Optional, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ferrylog import schema
+from ferrylog.functions.ddl import clean_ddl, mysql_type_to_spark, spark_default
 from ferrylog.functions.text import quote_ident
 from ferrylog.sources.files import child_names
 
@@ -182,6 +183,50 @@ def create_ddl(columns: DataFrame) -> DataFrame:
         F.array_join(lines["line"], ", "), F.lit(")")).alias("create_sql"))
 
 
+def _lines(columns: DataFrame, *parts) -> DataFrame:
+    """Column lines of each table in column order, and its key columns."""
+    line = F.concat_ws(" ", quote_ident("column_name"), *parts)
+    at = F.struct("ordinal", line.alias("line"), "column_name", "is_primary_key", "is_auto_increment")
+    all_of = F.array_sort(F.collect_list(at))  # the columns of one table
+    return columns.groupBy("table_name").agg(all_of.alias("c")).select(
+        "table_name", F.array_join("c.line", ", ").alias("lines"),
+        F.filter("c", lambda c: c["is_primary_key"])["column_name"].alias("keys"),
+        F.filter("c", lambda c: c["is_auto_increment"])["column_name"].alias("counted"))
+
+
+def mysql_ddl(columns: DataFrame, database: Optional[str] = None) -> DataFrame:
+    """MySQL CREATE TABLE text per table with defaults, counters and the primary key, cleaned for another database.
+
+    ``columns`` as ``attach_keys`` gives them. Column types stand as the source names them.
+    """
+    now = F.upper("default_value").rlike("^(CURRENT_TIMESTAMP|NOW)")
+    text = F.concat(F.lit("'"), F.regexp_replace("default_value", "'", "''"), F.lit("'"))
+    default = F.concat(F.lit("DEFAULT "), F.when(now, F.col("default_value")).otherwise(text))
+    tables = _lines(columns, "data_type", F.when(~F.col("nullable"), F.lit("NOT NULL")), default,
+                    F.when(F.col("is_auto_increment"), F.lit("AUTO_INCREMENT")))
+    name = quote_ident("table_name") if database is None else F.concat(F.lit(f"`{database}`."), quote_ident("table_name"))
+    key = F.when(F.size("keys") > 0, F.concat(F.lit(", PRIMARY KEY (`"), F.array_join("keys", "`, `"), F.lit("`)"))).otherwise(F.lit(""))
+    counter = F.when(F.size("counted") > 0, F.lit(" AUTO_INCREMENT=1")).otherwise(F.lit(""))
+    raw = F.concat(F.lit("CREATE TABLE "), name, F.lit(" ("), F.col("lines"), key, F.lit(")"), counter)
+    return tables.select("table_name", clean_ddl(raw).alias("create_sql"))
+
+
+def catalog_ddl(columns: DataFrame) -> DataFrame:
+    """Spark CREATE TABLE text per table from MySQL column types, as ``(table_name, create_sql, properties)``.
+
+    Types go through ``mysql_type_to_spark`` and defaults through ``spark_default``. Spark's
+    file tables have no keys or counters; ``properties`` keeps their names for a later reader.
+    """
+    typed = columns.withColumn("data_type", mysql_type_to_spark("data_type"))
+    tables = _lines(typed, "data_type", F.when(~F.col("nullable"), F.lit("NOT NULL")),
+                    F.concat(F.lit("DEFAULT "), spark_default("default_value", "data_type")))
+    noted = [F.when(F.size(c) > 0, F.concat(F.lit(f"'{name}' = '"), F.array_join(c, ","), F.lit("'")))
+             for name, c in (("primary_key", "keys"), ("auto_increment", "counted"))]
+    return tables.select(
+        "table_name", F.concat(F.lit("CREATE TABLE "), quote_ident("table_name"), F.lit(" ("), F.col("lines"), F.lit(")")).alias("create_sql"),
+        F.concat_ws(", ", *noted).alias("properties"))
+
+
 def describe_source(source) -> DataFrame:
     """Every column of every table with key flags and the table's DDL."""
     columns = attach_keys(column_catalog(source), primary_keys(source))

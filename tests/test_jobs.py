@@ -19,7 +19,7 @@ from ferrylog.sinks.ledger import (append_progress, clear_progress, has_incomple
                                    progress_report, progress_summary, read_checkpoint, read_checkpoints,
                                    read_progress, save_checkpoint, save_checkpoints)
 from ferrylog.sinks.tables import JdbcTable, create_target, write_table
-from ferrylog.sources.tables import CatalogSource, DirectorySource, JdbcSource, KeyRange, scan_table
+from ferrylog.sources.tables import CatalogSource, DirectorySource, JdbcSource, KeyRange, mysql_ddl, scan_table
 from ferrylog.streaming.capture import Handler, Handlers
 from ferrylog.streaming.handlers import apply_handler, default_handlers, retry_failed
 from ferrylog.streaming.watch import Replay, bounded_run, watch_exports
@@ -140,6 +140,39 @@ def test_one_bad_table_does_not_stop_creation(spark):
     assert again == {"good": False, "bad": False}
 
 
+_MYSQL = ("table_name string, ordinal int, column_name string, data_type string, nullable boolean, default_value string, "
+          "is_auto_increment boolean, is_primary_key boolean")
+
+
+def test_mysql_descriptions_keep_types_keys_and_defaults(spark):
+    columns = spark.createDataFrame([
+        ("t", 2, "line", "smallint(5) unsigned", False, "3", False, True), ("t", 1, "id", "bigint(20) unsigned", False, None, True, True),
+        ("t", 3, "name", "varchar(40)", True, "o'neill", False, False), ("t", 4, "made", "datetime", True, "CURRENT_TIMESTAMP", False, False),
+        ("t", 5, "day", "date", True, "0000-00-00", False, False), ("t", 6, "n", "int", True, "not a number", False, False),
+        ("u", 1, "x", "json", True, None, False, False)], _MYSQL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS typed")
+    assert all(r.created for r in create_target(spark, columns, "typed", drop=True, types="mysql").collect())
+    made = spark.table("typed.t")
+    assert dict(made.dtypes) == {"id": "decimal(20,0)", "line": "int", "name": "string", "made": "timestamp_ntz", "day": "date", "n": "int"}
+    noted = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES typed.t").collect()}
+    assert (noted["primary_key"], noted["auto_increment"]) == ("id,line", "id")
+    spark.sql("INSERT INTO typed.t (id) VALUES (1)")
+    row = made.first() if made.count() else spark.table("typed.t").first()
+    assert (int(row.id), row.line, row.name, row.day, row.n) == (1, 3, "o'neill", None, None) and row.made is not None
+    assert spark.table("typed.u").dtypes == [("x", "string")]
+    with pytest.raises(ValueError):
+        create_target(spark, columns, "typed", types="other")
+
+
+def test_mysql_text_of_a_description_names_no_database(spark):
+    columns = spark.createDataFrame([
+        ("t", 1, "id", "int(11)", False, None, True, True), ("t", 2, "who", "varchar(9)", True, "o'x", False, False),
+        ("t", 3, "at", "datetime", True, "CURRENT_TIMESTAMP", False, False)], _MYSQL)
+    assert mysql_ddl(columns, "old").first().create_sql == (
+        "CREATE TABLE `t` (`id` int(11) NOT NULL AUTO_INCREMENT, `who` varchar(9) DEFAULT 'o''x', "
+        "`at` datetime DEFAULT CURRENT_TIMESTAMP, PRIMARY KEY (`id`)) AUTO_INCREMENT=1")
+
+
 # --- JDBC (embedded, in memory, inside this process) --------------------------
 
 DERBY = "jdbc:derby:memory:ferry;create=true"
