@@ -157,7 +157,7 @@ def test_mysql_descriptions_keep_types_keys_and_defaults(spark):
     noted = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES typed.t").collect()}
     assert (noted["primary_key"], noted["auto_increment"]) == ("id,line", "id")
     spark.sql("INSERT INTO typed.t (id) VALUES (1)")
-    row = made.first() if made.count() else spark.table("typed.t").first()
+    row = spark.table("typed.t").first()
     assert (int(row.id), row.line, row.name, row.day, row.n) == (1, 3, "o'neill", None, None) and row.made is not None
     assert spark.table("typed.u").dtypes == [("x", "string")]
     with pytest.raises(ValueError):
