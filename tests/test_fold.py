@@ -1,11 +1,12 @@
 """The apply operator against the sequential model, on random logs."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from ferrylog.operators.components import connected_components
+from ferrylog.operators.components import component_labels, connected_components
 from ferrylog.operators.fold import apply_changes
 from tests.model import apply_bag, apply_keyed
 
@@ -148,3 +149,41 @@ def test_null_keys_are_values(spark, limit):
     log = [("UPDATE", (None, "a", 1), (None, "b", 1)), ("INSERT", None, (None, "c", 1)), ("UPDATE", (None, "b", 1), (None, "d", None)),
            ("DELETE", (2, "b", 2), None)]
     assert run(spark, rows, log, ["k"], hot_limit=limit) == apply_keyed(rows, log, key) == [(None, "d", None)]
+
+
+@pytest.mark.parametrize("few", [0, 50])
+def test_components_by_contraction(spark, few):
+    """Long paths, a star, random edges, repeated and own ones: the same groups whatever is contracted first."""
+    rnd = random.Random(few)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200), (201, 202), (202, 201), (201, 202)]
+    edges += [(rnd.randrange(300, 400), rnd.randrange(300, 400)) for _ in range(60)]
+    least = {n: n for e in edges for n in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(edges, "src long, dst long")
+    found = {r.id: r.component for r in component_labels(df, few).collect()}
+    assert found.keys() == least.keys() and all(least[n] == least[c] for n, c in found.items())
+    assert len(set(found.values())) == len(set(least.values()))
+    assert {r.id: r.component for r in connected_components(df).collect()} == least
+
+
+_WRITTEN = {
+    # Pairs of keys that move to one new key; one key whose row changes all the time; rows without a key.
+    "moved": ("named_struct('k', id, 'v', 'old', 'n', 1)", "named_struct('k', id div 2 + 1000000, 'v', 'new', 'n', 2)", ["k"], 220),
+}
+
+
+@pytest.mark.parametrize("kind", _WRITTEN)
+def test_bytes_written_for_a_change(spark, kind):
+    """What goes to the shared folder, in bytes a change."""
+    before, after, keys, most = _WRITTEN[kind]
+    n, root = 30_000, spark.conf.get("spark.checkpoint.dir")
+    size = lambda: sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(root) for f in files)
+    log = spark.range(n).selectExpr("'f' AS file", "id AS pos", "0 AS row_no", "'UPDATE' AS op", f"{before} AS before", f"{after} AS after")
+    rows = spark.range(1 if kind == "hot" else n).selectExpr("id AS k", "'x' AS v", "0 AS n") if kind == "hot" else spark.range(n).selectExpr("id AS k", "'old' AS v", "1 AS n")
+    was = size()
+    out = apply_changes(rows, log, keys, hot_limit=500)
+    found = out.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
+    assert tuple(found) == {"moved": (n, n + n // 2), "hot": (1, n), "no key": (n, 2 * n)}[kind]
+    assert (size() - was) / n < most
