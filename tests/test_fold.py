@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferrylog.operators.components import component_labels, connected_components
-from ferrylog.operators.fold import apply_changes
+from ferrylog.operators.fold import _chase, apply_changes
 from tests.model import apply_bag, apply_keyed
 
 ROW = "k bigint, v string, n int"
@@ -168,9 +168,21 @@ def test_components_by_contraction(spark, few):
     assert {r.id: r.component for r in connected_components(df).collect()} == least
 
 
+@pytest.mark.parametrize("links", [1, 7, 1000])
+def test_chains_over_runs_of_numbers(spark, links):
+    rnd = random.Random(links)
+    nodes = [(n, rnd.choice([None, *range(n + 1, min(n + 20, 300))]) if n < 299 else None) for n in range(1, 300)]
+    ends = {}
+    for n, to in reversed(nodes):
+        ends[n] = n if to is None else ends[to]
+    out = _chase(spark.createDataFrame(nodes, "n long, next long"), links).collect()
+    assert len(out) == len(nodes) and {r.n: r.end for r in out} == ends
+
+
 _WRITTEN = {
     # Pairs of keys that move to one new key; one key whose row changes all the time; rows without a key.
     "moved": ("named_struct('k', id, 'v', 'old', 'n', 1)", "named_struct('k', id div 2 + 1000000, 'v', 'new', 'n', 2)", ["k"], 220),
+    "hot": ("named_struct('k', 0L, 'v', 'x', 'n', cast(id as int))", "named_struct('k', 0L, 'v', 'x', 'n', cast(id + 1 as int))", ["k"], 170),
 }
 
 
