@@ -183,6 +183,7 @@ _WRITTEN = {
     # Pairs of keys that move to one new key; one key whose row changes all the time; rows without a key.
     "moved": ("named_struct('k', id, 'v', 'old', 'n', 1)", "named_struct('k', id div 2 + 1000000, 'v', 'new', 'n', 2)", ["k"], 220),
     "hot": ("named_struct('k', 0L, 'v', 'x', 'n', cast(id as int))", "named_struct('k', 0L, 'v', 'x', 'n', cast(id + 1 as int))", ["k"], 170),
+    "no key": ("named_struct('k', id, 'v', 'old', 'n', 1)", "named_struct('k', id, 'v', 'new', 'n', 2)", None, 170),
 }
 
 
