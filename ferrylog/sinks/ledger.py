@@ -60,10 +60,15 @@ def _read(spark, path, shape) -> DataFrame:
     return spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
 
 
+def _few_files(rows: DataFrame) -> DataFrame:
+    """One file for few rows; many rows stay with many tasks, which get about equal shares."""
+    return rows.hint("rebalance")
+
+
 def _write(rows: DataFrame, path, shape):
     """Each write has a folder of its own, so writers of one log cannot disturb each other."""
     given = [F.lit(None) if f.name in _MAY_LACK and f.name not in rows.columns else F.col(f.name) for f in shape]
-    rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, shape)]).coalesce(1).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
+    _few_files(rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, shape)])).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
 def _append(rows: DataFrame, path, shape, states):
