@@ -86,7 +86,7 @@ def fold_tail(spark: SparkSession, path: str, shape, states, longest: Optional[i
     if len(tail) <= longest:
         return
     name = f"{path}/{_SNAPSHOT}{time.time_ns():020d}-{uuid.uuid4().hex}"
-    states(_read(spark, path, shape)).select(*[f.name for f in shape]).coalesce(1).write.parquet(f"{name}/states")
+    _few_files(states(_read(spark, path, shape)).select(*[f.name for f in shape])).write.parquet(f"{name}/states")
     spark.createDataFrame([(n,) for n in tail], "name string").coalesce(1).write.parquet(f"{name}/folded")
     for old in superfluous:
         delete_path(spark, f"{path}/{old}")

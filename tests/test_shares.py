@@ -36,3 +36,12 @@ def test_ledger_writes_of_many_rows_are_shared_out(spark, tmp_path, small_shares
     assert ledger.read_progress(spark, str(path)).count() == left
     ledger.append_progress(_states(spark, 3), str(path))
     assert _files(path) == 1
+
+
+def test_snapshots_of_many_rows_are_shared_out(spark, tmp_path, small_shares):
+    path = tmp_path / "log"
+    for _ in range(2):
+        ledger.append_progress(_states(spark, 40_000), str(path))
+    ledger.fold_tail(spark, str(path), PROGRESS_LOG, ledger._latest_progress, 1)
+    assert len(list(next(path.glob("snapshot-*")).glob("states/*.parquet"))) > 1
+    assert ledger.read_progress(spark, str(path)).count() == 40_000
