@@ -1,7 +1,12 @@
 """Steps whose tasks must not read more as the tables grow."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
+from checks import copying as checked
+from checks.inputs import TABLES
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks import ledger
 
@@ -45,3 +50,17 @@ def test_snapshots_of_many_rows_are_shared_out(spark, tmp_path, small_shares):
     ledger.fold_tail(spark, str(path), PROGRESS_LOG, ledger._latest_progress, 1)
     assert len(list(next(path.glob("snapshot-*")).glob("states/*.parquet"))) > 1
     assert ledger.read_progress(spark, str(path)).count() == 40_000
+
+
+def test_another_layout_has_more_tasks_for_larger_tables(spark, tmp_path):
+    for t in TABLES:
+        spark.range(600).withColumn("name", F.lit(t)).repartition(24).write.parquet(str(tmp_path / f"{t}.parquet"))
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        out = checked.a8(spark, str(tmp_path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert min(map(int, re.findall(r"RoundRobinPartitioning\((\d+)\)", plan))) >= 24
+        assert {tuple(r) for r in out.collect()} == {(t, 600, True) for t in TABLES}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
