@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Optional, Sequence
+from typing import Callable, Optional, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,18 +53,20 @@ def has_bad_rows(df: DataFrame, keys: Sequence[str], target: Optional[DataFrame]
 
 
 def split_bad_rows(df: DataFrame, keys: Sequence[str], target: Optional[DataFrame] = None,
-                   on_error="continue"):
+                   on_error="continue", keep: Callable[[DataFrame, str], DataFrame] = lambda rows, label: rows):
     """Split rows a keyed target would refuse: ``(good, quarantine)``.
 
     Reasons: a NULL key, a key that is already stored, a key repeated in the
     batch (the least row stays). Equal rows are folded into one with ``copies``
     before anything is shuffled by key, so a hot key costs no more than its
-    distinct rows; quarantine rows carry ``copies``.
+    distinct rows; quarantine rows carry ``copies``. Only rows whose key is repeated
+    are compared with each other. ``keep(rows, label)`` may write what both results
+    are made of, so that it is made once.
     """
     if on_error not in ("continue", "fail"):
         raise ValueError("on_error is 'continue' or 'fail'")
     keys, names = list(keys), df.columns
-    rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+    rows = keep(df.groupBy(*names).agg(F.count(F.lit(1)).alias("copies")), "rows")
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     nulls = rows.where(null_key).withColumn("reason", F.lit("null key"))
     keyed = rows.where(~null_key)
@@ -74,11 +76,12 @@ def split_bad_rows(df: DataFrame, keys: Sequence[str], target: Optional[DataFram
         parts.append(keyed.join(stored, keys, "left_semi").select(*names, "copies")
                           .withColumn("reason", F.lit("key exists")))
         keyed = keyed.join(stored, keys, "left_anti").select(*names, "copies")
-    firsts = keyed.groupBy(*keys).agg(F.min(F.struct(*names)).alias("__first"),
-                                      F.sum("copies").alias("__n"))
-    good = firsts.select("__first.*").select(*names)
-    repeated = firsts.where("__n > 1").select(*keys, "__first")
-    again = (keyed.join(repeated, keys)
+    repeated = keep(keyed.groupBy(*keys).agg(F.sum("copies").alias("__n")).where("__n > 1").select(*keys), "repeated")
+    several = keyed.join(repeated, keys, "left_semi").select(*names, "copies")
+    firsts = several.groupBy(*keys).agg(F.min(F.struct(*names)).alias("__first"))
+    good = (keyed.join(repeated, keys, "left_anti").select(*names)
+                 .unionByName(firsts.select("__first.*").select(*names)))
+    again = (several.join(firsts, keys)
                   .withColumn("copies", F.col("copies") - F.when(
                       F.struct(*names) == F.col("__first"), 1).otherwise(0))
                   .where("copies > 0").select(*names, "copies")

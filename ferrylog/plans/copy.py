@@ -194,7 +194,7 @@ def _copy_range(part, step, target, cfg, stored, keys, low):
     A range that is copied again has the same ``low``, whatever its other end, and replaces
     the quarantine of the attempt that was not committed.
     """
-    table, there, refused = step.table_name, 0, 0
+    table, there, refused, spark = step.table_name, 0, 0, part.sparkSession
     if not keys:
         return target.write_once(part, table, cfg.batch_size, f"{cfg.ledger_path}-stage/{table}"), refused
     resumed = stored is not None and step.decision == "resume"
@@ -202,18 +202,29 @@ def _copy_range(part, step, target, cfg, stored, keys, low):
     if cfg.quarantine_path:
         folder = f"{cfg.quarantine_path}/{table}/range_id=r{hashlib.sha256(json.dumps(low).encode()).hexdigest()[:16]}"
         if step.decision == "resume":
-            delete_path(part.sparkSession, folder)
-    if has_bad_rows(part, keys, None if resumed else stored):
+            delete_path(spark, folder)
+    apart = f"{cfg.ledger_path}-apart/{table}"
+
+    def keep(rows, label):
+        rows.write.mode("overwrite").parquet(f"{apart}/{label}")
+        return spark.read.schema(rows.schema).parquet(f"{apart}/{label}")
+
+    split = has_bad_rows(part, keys, None if resumed else stored)
+    if split:
         part, quarantine = split_bad_rows(part, keys, None if resumed else stored,
-                                          "continue" if cfg.continue_on_error else "fail")
-        refused = quarantine.agg(F.sum("copies")).first()[0] or 0
+                                          "continue" if cfg.continue_on_error else "fail", keep)
         if folder:
             quarantine.write.mode("overwrite").parquet(folder)
-    if resumed:
+            quarantine = spark.read.schema(quarantine.schema).parquet(folder)
+        refused = quarantine.agg(F.sum("copies")).first()[0] or 0
+    if resumed and not stored.limit(1).isEmpty():
         # Rows written just before a crash are already there; they are not errors.
         there = part.join(stored.select(*keys), keys, "left_semi").count()
         part = part.join(stored.select(*keys), keys, "left_anti").select(*part.columns)
-    return there + _write_counted(target, part, table, cfg), refused
+    copied = there + _write_counted(target, part, table, cfg)
+    if split:
+        delete_path(spark, apart)
+    return copied, refused
 
 
 def _number_ranges(rest, key, last, ranges):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import copying as checked
 from checks.inputs import TABLES
+from ferrylog.operators.copying import split_bad_rows
 from ferrylog.schema import PROGRESS_LOG
 from ferrylog.sinks import ledger
 
@@ -64,3 +65,16 @@ def test_another_layout_has_more_tasks_for_larger_tables(spark, tmp_path):
         assert {tuple(r) for r in out.collect()} == {(t, 600, True) for t in TABLES}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+def test_bad_rows_are_made_once(spark):
+    """What good and refused rows share is kept, and no more than the repeated keys' rows are compared."""
+    rows = [(1, "a", 1), (1, "a", 1), (2, "b", 2), (2, "a", 3), (2, "a", 3), (None, "n", 0), (None, "n", 0), (3, "c", 1), (4, "d", 1)]
+    made = {}
+    keep = lambda df, label: made.setdefault(label, spark.createDataFrame(df.collect(), df.schema))
+    good, refused = split_bad_rows(spark.createDataFrame(rows, "k int, v string, n int"), ["k"], spark.createDataFrame([(4,)], "k int"), keep=keep)
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 1), (2, "a", 3), (3, "c", 1)]
+    assert sorted(map(tuple, refused.collect()), key=repr) == sorted(
+        [(1, "a", 1, 1, "duplicate key"), (2, "a", 3, 1, "duplicate key"), (2, "b", 2, 1, "duplicate key"),
+         (None, "n", 0, 2, "null key"), (4, "d", 1, 1, "key exists")], key=repr)
+    assert sorted(made) == ["repeated", "rows"] and sorted(r.k for r in made["repeated"].collect()) == [1, 2]
