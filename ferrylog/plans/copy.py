@@ -275,7 +275,7 @@ def _copy_table(spark, source, target, cfg, step, columns, key, keys):
     def note(status):
         append_progress(_ledger_row(spark, table_name=table, total_rows=step.total_rows, migrated_rows=done,
                                     last_migrated_id=last, status=status,
-                                    last_migrated_key=None if mark is None else json.dumps(mark)), cfg.ledger_path)
+                                    last_migrated_key=None if mark is None else json.dumps(mark)), cfg.ledger_path, one=True)
 
     note(step.status)
     if step.decision == "resume" and last is None and mark is None:
@@ -350,7 +350,7 @@ def full_copy(spark: SparkSession, source, target, cfg: CopyConfig,
             append_progress(_ledger_row(
                 spark, table_name=step.table_name, total_rows=now.total_rows,
                 migrated_rows=now.migrated_rows, last_migrated_id=now.last_migrated_id,
-                last_migrated_key=now.last_migrated_key, status="FAILED", error_message=error), cfg.ledger_path)
+                last_migrated_key=now.last_migrated_key, status="FAILED", error_message=error), cfg.ledger_path, one=True)
             if not cfg.continue_on_error:
                 raise
             return step.table_name, -1, 0, error

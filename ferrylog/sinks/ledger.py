@@ -65,15 +65,16 @@ def _few_files(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance")
 
 
-def _write(rows: DataFrame, path, shape):
+def _write(rows: DataFrame, path, shape, one=False):
     """Each write has a folder of its own, so writers of one log cannot disturb each other."""
     given = [F.lit(None) if f.name in _MAY_LACK and f.name not in rows.columns else F.col(f.name) for f in shape]
-    _few_files(rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, shape)])).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
+    rows = rows.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(given, shape)])
+    (rows.coalesce(1) if one else _few_files(rows)).write.parquet(f"{path}/{time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
-def _append(rows: DataFrame, path, shape, states):
-    """Write, and fold a long tail; ``states`` gives the rows of a log that still count."""
-    _write(rows, path, shape)
+def _append(rows: DataFrame, path, shape, states, one=False):
+    """Write, and fold a long tail; ``states`` gives the rows of a log that still count. ``one``: it is a single row."""
+    _write(rows, path, shape, one)
     spark = rows.sparkSession
     if len(child_names(spark, path)) > TAIL:
         fold_tail(spark, path, shape, states)
@@ -100,8 +101,8 @@ def progress_versions(rows: DataFrame, version=None, deleted=False) -> DataFrame
     return rows.withColumns({"deleted": F.lit(deleted), "version": stamp})
 
 
-def append_progress(rows: DataFrame, path: str):
-    _append(progress_versions(rows), path, PROGRESS_LOG, _latest_progress)
+def append_progress(rows: DataFrame, path: str, one=False):
+    _append(progress_versions(rows), path, PROGRESS_LOG, _latest_progress, one)
 
 
 def delete_progress(rows: DataFrame, path: str):
@@ -174,7 +175,7 @@ def save_checkpoint(spark: SparkSession, path: str, stream_id: str,
     now = _next_version()
     row = (stream_id, position.file, position.pos, position.gtid, now // 1_000_000, now)
     values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, CHECKPOINTS)]
-    _append(spark.range(0, 1, 1, 1).select(*values), path, CHECKPOINTS, _greatest_checkpoints)
+    _append(spark.range(0, 1, 1, 1).select(*values), path, CHECKPOINTS, _greatest_checkpoints, one=True)
     return True
 
 
