@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ferrylog.llm import exchange
 from ferrylog.llm.words import mix, slices, text_buffers, windows, words_of
 from ferrylog.operators.components import connected_components
-from ferrylog.session import is_empty, materialize
+from ferrylog.session import gathered, materialize, materialize_counted
 
 SHINGLE = 5
 #: 64 permutations give 128 values: 32 bands of 4. A pair at 0.75 is missed once in 190,000.
@@ -191,14 +191,14 @@ def _components(links: DataFrame) -> DataFrame:
     return connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
-def _open_members(members: DataFrame, labels: DataFrame, done: float) -> DataFrame:
-    """Members of buckets in which those that were no pivot yet lie in several components."""
+def _open_members(members: DataFrame, most: int, labels: DataFrame, done: float) -> tuple[DataFrame, int]:
+    """Members (``most`` rows) of buckets in which those that were no pivot yet lie in several components, and how many."""
     fresh = (members.join(labels.withColumnRenamed("id", "cls"), "cls", "left")
              .withColumn("component", F.coalesce("component", "cls"))
              .withColumn("place", _share(F.col("cls"), F.col("bucket")) * F.col("size"))
              .where((F.col("place") >= done) & (F.col("cls") != F.col("least"))))
     spread = fresh.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-    return materialize(fresh.join(spread.select("bucket"), "bucket"), "open")
+    return materialize_counted(gathered(fresh.join(spread.select("bucket"), "bucket"), most), "open")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -210,13 +210,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with one id are one document, linked when any of their texts is; each row is
     returned. Rows with a null id get a null component and are kept.
     """
-    sketched = materialize(sketch(docs, id_col, text_col), "sketch")
+    sketched, n_docs = materialize_counted(sketch(docs, id_col, text_col), "sketch")
     known = sketched.where("id IS NOT NULL AND n_shingles > 0")
     classes = materialize(known.groupBy("set_a", "set_b").agg(
         F.min("id").alias("cls"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
     members = classes.select("cls", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("least")).where("size > 1")
-    members = materialize(members.join(shared, "bucket"), "members")
+    members, n_members = materialize_counted(members.join(shared, "bucket"), "members")
     wanted = members.select(F.col("cls").alias("id")).distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = materialize(rows.join(wanted, "id", "left_semi"), "texts")
@@ -226,12 +226,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = own.groupBy("id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z")
     bridges = own.join(several, "id").where("cls <> a").select("a", F.col("cls").alias("b"))
 
-    tried = materialize(members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "tried")
-    star = materialize(compare(tried, texts, threshold), "star")
-    links = materialize(bridges.union(star.where("linked").select("a", "b")), "links")
+    tried = members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
+    star, n_star = materialize_counted(compare(tried, texts, threshold), "star")
+    links = materialize(gathered(bridges.union(star.where("linked").select("a", "b")), n_docs + n_star), "links")
     labels = _components(links)
-    fresh = _open_members(members, labels, -1.0)
-    if not is_empty(fresh):
+    fresh, n = _open_members(members, n_members, labels, -1.0)
+    if n:
         # What the members of open buckets have in common with others at most.
         some = texts.join(fresh.select(F.explode(F.array("cls", "least")).alias("id")).distinct(), "id", "left_semi")
         common = common_shingles(some).withColumnRenamed("id", "cls")
@@ -240,10 +240,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shares = F.max("both").alias("near"), F.sum("both").alias("nearly")
         near = star.groupBy(F.col("a").alias("least"), F.col("b").alias("cls")).agg(*shares)
         members = members.join(near, ["least", "cls"], "left")
-        members = materialize(members.join(classes.select("cls", "bands"), "cls"), "narrowed")
-        fresh = _open_members(members, labels, -1.0)
+        members, n_members = materialize_counted(members.join(classes.select("cls", "bands"), "cls"), "narrowed")
+        fresh, n = _open_members(members, n_members, labels, -1.0)
     share = 16.0
-    while not is_empty(fresh):
+    while n:
         m, p = fresh.alias("m"), fresh.where(F.col("place") < share).alias("p")
         # Of what two members share, a part lies in the bucket's first class, the rest among what they have in common
         # with others beyond it.
@@ -255,12 +255,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = (m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.component") != F.col("p.component"))
                         & (100 * both >= threshold * (F.col("m.n") + F.col("p.n") - both)) & (first == F.col("m.bucket")))
                  .select(F.least("m.cls", "p.cls").alias("a"), F.greatest("m.cls", "p.cls").alias("b"))
-                 .distinct().join(tried, ["a", "b"], "left_anti"))
-        more = materialize(compare(materialize(pairs, "pairs"), texts, threshold).where("linked").select("a", "b"), "links")
-        if not is_empty(more):
+                 .distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"))
+        more, found = materialize_counted(
+            compare(materialize(pairs, "pairs"), texts, threshold).where("linked").select("a", "b"), "links")
+        if found:
             links = links.union(more)
             labels = _components(links)
-        fresh, share = _open_members(members, labels, share), share * 16
+        (fresh, n), share = _open_members(members, n_members, labels, share), share * 16
     named = (own.select("id", "cls").distinct().join(labels.withColumnRenamed("id", "cls"), "cls", "left")
              .groupBy("id").agg(F.min(F.coalesce("component", "cls")).alias("component_id")))
     out = sketched.select("id", "n_shingles").join(named, "id", "left")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from ferrylog.llm import minhash
+from ferrylog.operators.components import connected_components
 
 
 def shingles(text):
@@ -90,3 +91,21 @@ def test_signature_estimates_similarity():
     x, y = shingles(raw[0].decode()), shingles(raw[1].decode())
     assert abs((sig[0] == sig[1]).mean() - len(x & y) / len(x | y)) < 0.07
     assert [b - a for a, b in zip(first, first[1:])] == [len(x), len(y)]
+
+
+def test_few_links_are_labelled_in_few_tasks(spark, tmp_path):
+    """Rounds over few rows write few files, also where shuffles are not coalesced."""
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64",
+            "spark.checkpoint.dir": str(tmp_path)}
+    usual = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.createDataFrame([(10 * (i % 3) + 100 * i, 10 * (i % 3) + 100 * (i + 3)) for i in range(300)], "src long, dst long")
+        found = {r.id: r.component for r in connected_components(edges).collect()}
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    assert found == {10 * (i % 3) + 100 * i: 110 * (i % 3) for i in range(303)}
+    rounds = [len(list(x.glob("part-*"))) for x in tmp_path.glob("ferrylog/labels-*")]
+    assert rounds and max(rounds) <= spark.sparkContext.defaultParallelism
