@@ -1,5 +1,6 @@
 """Near duplicates against brute force over all pairs."""
 
+import pathlib
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 
 from ferrylog.llm import minhash
 from ferrylog.operators.components import connected_components
+from ferrylog.session import scratch_root
 
 
 def shingles(text):
@@ -93,10 +95,11 @@ def test_signature_estimates_similarity():
     assert [b - a for a, b in zip(first, first[1:])] == [len(x), len(y)]
 
 
-def test_few_links_are_labelled_in_few_tasks(spark, tmp_path):
+def test_few_links_are_labelled_in_few_tasks(spark):
     """Rounds over few rows write few files, also where shuffles are not coalesced."""
-    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64",
-            "spark.checkpoint.dir": str(tmp_path)}
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    written = lambda: set(pathlib.Path(scratch_root(spark).removeprefix("file:")).glob("ferrylog/labels-*"))
+    before = written()
     usual = {k: spark.conf.get(k) for k in held}
     for k, v in held.items():
         spark.conf.set(k, v)
@@ -107,5 +110,5 @@ def test_few_links_are_labelled_in_few_tasks(spark, tmp_path):
         for k, v in usual.items():
             spark.conf.set(k, v)
     assert found == {10 * (i % 3) + 100 * i: 110 * (i % 3) for i in range(303)}
-    rounds = [len(list(x.glob("part-*"))) for x in tmp_path.glob("ferrylog/labels-*")]
+    rounds = [len(list(x.glob("part-*"))) for x in written() - before]
     assert rounds and max(rounds) <= spark.sparkContext.defaultParallelism
