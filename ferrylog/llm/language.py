@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ferrylog.llm.names import free_name
+from ferrylog.llm.rows import keep_rows
 from ferrylog.llm.words import slices, text_buffers
 
 ORDER = 3
@@ -163,6 +164,27 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
     return Model(languages, [(p["code"].to_numpy(np.int64), p["n"].to_numpy(np.float64)) for p in parts], order)
 
 
+def _has_letter(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
+def _predictions(texts, letters, model):
+    """``(a, b, languages, scores, bits a symbol)`` for slices ``[a:b]`` of a column of texts."""
+    letters = letters.to_numpy(zero_copy_only=False).astype(bool)
+    offsets, data = text_buffers(texts)
+    for a, b in slices(offsets):
+        n, ok = b - a, letters[a:b]
+        names, score, rate = np.full(n, "und", object), np.zeros(n), np.zeros(n)
+        if model.languages:
+            bits, size = model.code_lengths(data, offsets[a:b + 1])
+            best = bits.argmin(1)
+            ahead = np.minimum(bits - bits.min(1, keepdims=True), 1000.0)
+            names[ok] = np.array(model.languages, object)[best][ok]
+            score[ok] = (1 / np.exp2(-ahead).sum(1))[ok]
+            rate[ok] = (bits.min(1) / np.maximum(size, 1))[ok]
+        yield a, b, names, score, rate
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``bits_per_symbol``; columns so named before are replaced.
 
@@ -171,33 +193,23 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     Equal code lengths go to the language that sorts first.
     """
     docs = docs.drop("lang_pred", "score", "bits_per_symbol")
-    has_letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by the languages and their samples
     fields = docs.schema.names
 
     def run(batches):
-        model = shared.value
         for batch in batches:
-            letters = batch.column(len(fields)).to_numpy(zero_copy_only=False)
-            offsets, data = text_buffers(batch.column(fields.index(text_col)))
-            n = batch.num_rows
-            names, score, rate = np.full(n, "und", object), np.zeros(n), np.zeros(n)
-            if model.languages:
-                for a, b in slices(offsets):
-                    bits, size = model.code_lengths(data, offsets[a:b + 1])
-                    best = bits.argmin(1)
-                    ahead = np.minimum(bits - bits.min(1, keepdims=True), 1000.0)
-                    ok = letters[a:b].astype(bool)
-                    names[a:b][ok] = np.array(model.languages, object)[best][ok]
-                    score[a:b][ok] = (1 / np.exp2(-ahead).sum(1))[ok]
-                    rate[a:b][ok] = (bits.min(1) / np.maximum(size, 1))[ok]
+            names, score, rate = [], [], []
+            for *_, n, s, r in _predictions(batch.column(fields.index(text_col)), batch.column(len(fields)), shared.value):
+                names.extend(n.tolist())
+                score.append(s)
+                rate.append(r)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(rate)],
-                names=[*fields, "lang_pred", "score", "bits_per_symbol"])
+                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *score])),
+                 pa.array(np.concatenate([np.zeros(0), *rate]))], names=[*fields, "lang_pred", "score", "bits_per_symbol"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("bits_per_symbol", T.DoubleType())])
-    return docs.withColumn(free_name(fields, "__letter"), has_letter).mapInArrow(run, schema)
+    return docs.withColumn(free_name(fields, "__letter"), _has_letter(text_col)).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -223,5 +235,10 @@ def known_language(docs: DataFrame) -> DataFrame:
     ``MOST_BITS`` bits a symbol.
     """
     model = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
-    done = predict(docs.select(F.struct("*").alias("row"), "text"), model)
-    return done.where((F.col("lang_pred") != "und") & (F.col("bits_per_symbol") < MOST_BITS)).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts, letters):
+        for a, b, names, _, rate in _predictions(texts, letters, shared.value):
+            yield a, b, (names != "und") & (rate < MOST_BITS)
+
+    return keep_rows(docs, keep, _has_letter("text"))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ferrylog.llm.minhash import _FOLD
+from ferrylog.llm.rows import keep_rows
 from ferrylog.llm.words import mix, seen_before, slices, span_hashes, text_buffers, windows, words_of
 
 #: Share of a language's words from which a word is common.
@@ -200,6 +201,17 @@ def too_far(by_class, by_word, n):
     return far & (n >= MIN_WORDS)
 
 
+def _verdicts(texts, refs):
+    """``(a, b, columns)`` for slices ``[a:b]`` of a column of texts: measures, distances, ``base_failed`` and ``kept``."""
+    offsets, data = text_buffers(texts)
+    for a, b in slices(offsets):
+        numbers, classes, words = measure(data, offsets[a:b + 1])
+        by_class, by_word = nearest(classes, words, refs) if refs else np.zeros((2, b - a))
+        n = numbers[:, 0]
+        failed = (n < 50) | (100 * numbers[:, 4] > 50 * n)
+        yield a, b, [*numbers.T, by_class, by_word, failed, ~failed & ~too_far(by_class, by_word, n)]
+
+
 def judge(docs: DataFrame, refs: list, text_col: str = "text") -> DataFrame:
     """Add the measures, the distances to the nearest reference, ``base_failed`` and ``kept``.
 
@@ -215,15 +227,8 @@ def judge(docs: DataFrame, refs: list, text_col: str = "text") -> DataFrame:
     spark_kinds = [T.LongType()] * 5 + [T.DoubleType()] * 2 + [T.BooleanType()] * 2
 
     def run(batches):
-        refs = shared.value
         for batch in batches:
-            offsets, data = text_buffers(batch.column(names.index(text_col)))
-            for a, b in slices(offsets):
-                numbers, classes, words = measure(data, offsets[a:b + 1])
-                by_class, by_word = nearest(classes, words, refs) if refs else np.zeros((2, b - a))
-                n = numbers[:, 0]
-                failed = (n < 50) | (100 * numbers[:, 4] > 50 * n)
-                columns = [*numbers.T, by_class, by_word, failed, ~failed & ~too_far(by_class, by_word, n)]
+            for a, b, columns in _verdicts(batch.column(names.index(text_col)), shared.value):
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns),
                                                   *(pa.array(np.ascontiguousarray(c), k) for c, k in zip(columns, kinds))],
                                                  names=[*names, *added])
@@ -239,5 +244,10 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns as they are."""
-    done = judge(docs.select(F.struct("*").alias("row"), "text"), references(docs.select("text", "lang")))
-    return done.where("kept").select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(references(docs.select("text", "lang")))
+
+    def keep(texts):
+        for a, b, columns in _verdicts(texts, shared.value):
+            yield a, b, columns[-1]
+
+    return keep_rows(docs, keep)

@@ -1,5 +1,6 @@
 """Each stage of the pipeline on what the stage before kept, against brute force."""
 
+import re
 from collections import defaultdict
 
 import pytest
@@ -101,3 +102,14 @@ def test_columns_of_any_name(spark):
     assert sorted(map(tuple, out.collect())) == [rows[0], (2, "own words and more", "en", 17, 18, "y", 18)]
     clash = docs.withColumn("__letter", F.lit("q")).withColumn("__LETTER_", F.lit("r"))
     assert language.predict(clash, language.train(clash)).columns[:9] == clash.columns
+
+
+def test_a_text_goes_to_python_once(spark):
+    """The stages that only drop rows send each text once, inside its row, and get rows back, nothing beside them."""
+    rows = [(i, f"word{i} and some more words " * 20, "en", "q") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, Text string, lang string, row string")
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.quality_rules):
+        kept = stage(spark, docs, None)
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"MapInArrow [^\n]*, \[row#\d+\]", plan) and not re.search(r" AS row#\d+, Text#\d+", plan, re.I)
+        assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
