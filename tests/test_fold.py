@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ferrylog.functions.images import identity
 from ferrylog.operators.components import component_labels, connected_components
 from ferrylog.operators.fold import _chase, apply_changes
 from tests.model import apply_bag, apply_keyed
@@ -200,3 +201,11 @@ def test_bytes_written_for_a_change(spark, kind):
     found = out.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
     assert tuple(found) == {"moved": (n, n + n // 2), "hot": (1, n), "no key": (n, 2 * n)}[kind]
     assert (size() - was) / n < most
+
+
+def test_digests_are_short(spark):
+    """Digests are most of what a fold shuffles; equal images share one, others do not."""
+    images = spark.sql("SELECT named_struct('k', id, 'v', CAST(id % 2 AS string)) AS i FROM range(50)").union(
+        spark.sql("SELECT named_struct('k', 1L, 'v', '1')"))
+    found = [bytes(r.d) for r in images.select(identity("i", images.schema["i"].dataType).alias("d")).collect()]
+    assert {len(d) for d in found} == {16} and len(set(found)) == 50 and found[50] == found[1]
