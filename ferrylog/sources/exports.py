@@ -80,6 +80,8 @@ def _told(carried: DataFrame) -> DataFrame:
 # --- byte ranges ------------------------------------------------------------
 
 HEADERS = ("file", "pos", "gtid")
+#: Bytes of text that a task reads at least, in one range or several, once all cores have work.
+TASK_BYTES = 16 << 20
 
 
 def span_ends(rows: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -122,16 +124,25 @@ def parse_ranges(blocks: DataFrame) -> DataFrame:
     return materialize(_parse_blocks(blocks, "path", "source_file", "span", "place"), "export-blocks")
 
 
-def _read_records(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """What lies between two marks, in as many tasks as the files' bytes ask for.
+def _tasks(spark: SparkSession, path: str) -> int:
+    """As many tasks as the bytes of all files under ``path`` ask for."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = sum(files.getContentSummary(x.getPath()).getLength() for x in files.globStatus(pattern) or [])
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
+def _read_records(spark: SparkSession, path: str, glob: str, tasks: int) -> DataFrame:
+    """What lies between two marks, in at most so many tasks.
 
     The mark is the reader's line end, so a task finds the first one in its range and
     reads the last record on beyond it. ``first``: the record is the first of its range.
     """
     raw = (spark.read.text(path, lineSep=POSITION, pathGlobFilter=glob, recursiveFileLookup=True)
                 .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"),
-                        F.col("_metadata.file_block_start").alias("span"), F.monotonically_increasing_id().alias("place"),
-                        F.col("value").alias("text")))
+                        F.col("_metadata.file_block_start").alias("span"), F.col("value").alias("text")))
+    # Ranges may be small; a task takes several one after another, and none is cut.
+    raw = raw.coalesce(tasks).withColumn("place", F.monotonically_increasing_id())
     inside = Window.partitionBy("path", "span").orderBy("place")
     # A mark opens a block only where a line begins.
     at_line = F.col("text").rlike(rf"[\n\r]{LINE_BLANKS}\z")
@@ -150,12 +161,13 @@ def read_export_blocks(spark: SparkSession, path: str, glob="*.sql") -> DataFram
     them: the first of a range, and those around a mark that no line begins with. A mark
     that is the very end of a file, without a line end, is not seen.
     """
-    records = _read_records(spark, path, glob).where(~(F.col("prefix") & (F.col("text") == "")))
+    tasks = _tasks(spark, path)
+    records = _read_records(spark, path, glob, tasks).where(~(F.col("prefix") & (F.col("text") == "")))
     block = F.when(F.col("prefix"), F.col("text")).otherwise(F.concat(F.lit(POSITION), F.col("text")))
     doubtful = F.col("first") | ~F.col("at_line") | ~F.coalesce("opens", F.lit(True))
     kept = ("path", "source_file", "span", "place", "prefix", "first", "at_line", "opens", "text")
     staged = materialize(_parse_blocks(
-        records.withColumns({"block": block, "text": F.when(doubtful, F.col("text"))}), *kept), "export-records")
+        records.withColumns({"block": block, "text": F.when(doubtful, F.col("text"))}), *kept), "export-records").coalesce(tasks)
     # Whether the first record of a range opens a block is known from the last one of the ranges before.
     reach = span_ends(staged.select("path", "span", "place", "at_line"), ["at_line"])
     before = Window.partitionBy("path").orderBy("span")

@@ -186,3 +186,20 @@ def test_clean_ddl(spark):
 
 def test_name_list(spark):
     assert one(spark, text.name_list(F.lit(" a, b ,,a"))) == ["a", "b"]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Many small ranges are read by a few tasks, and what was parsed of them too."""
+    (tmp_path / "a.sql").write_text("".join(f"[POSITION] f:{i}\n[GTID] g{i}\nDELETE FROM a.b WHERE n = {i};\n\n" for i in range(2000)))
+    held = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "1"}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        blocks = read_export_blocks(spark, str(tmp_path))
+        tasks = blocks.rdd.getNumPartitions()
+        found = entries_of_blocks(blocks).orderBy("entry_no").collect()
+    finally:
+        for k in held:
+            spark.conf.unset(k)
+    assert [(r.entry_no, r.pos, r.gtid, r.sql) for r in found] == [(i, i, f"g{i}", f"DELETE FROM a.b WHERE n = {i};") for i in range(2000)]
+    assert len({r.span for r in blocks.select("span").collect()}) > 100 and tasks <= spark.sparkContext.defaultParallelism
