@@ -165,7 +165,9 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
 
 
 def _has_letter(text_col: str) -> Column:
-    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    # Most texts begin with one; only the others are decoded as a whole.
+    text = F.col(text_col)
+    return F.coalesce(F.substring(text, 1, 64).rlike(r"\p{L}") | text.rlike(r"\p{L}"), F.lit(False))
 
 
 def _predictions(texts, letters, model):
@@ -185,30 +187,30 @@ def _predictions(texts, letters, model):
         yield a, b, names, score, rate
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", columns=None) -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``bits_per_symbol``; columns so named before are replaced.
 
+    Of the columns of ``docs`` those in ``columns`` come back, all if it is None.
     ``score`` is the probability of the language if all are as likely beforehand. Null
     texts, texts without a letter and all texts under an empty model get ``und`` and 0.
-    Equal code lengths go to the language that sorts first.
+    Equal code lengths go to the language that sorts first. Rows come back slice by
+    slice, so a batch of texts is never held twice.
     """
     docs = docs.drop("lang_pred", "score", "bits_per_symbol")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is bounded by the languages and their samples
     fields = docs.schema.names
+    back = [i for i, c in enumerate(fields) if columns is None or c in columns]
+    schema = T.StructType([*(docs.schema.fields[i] for i in back), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("bits_per_symbol", T.DoubleType())])
+    out = schema.names
 
     def run(batches):
         for batch in batches:
-            names, score, rate = [], [], []
-            for *_, n, s, r in _predictions(batch.column(fields.index(text_col)), batch.column(len(fields)), shared.value):
-                names.extend(n.tolist())
-                score.append(s)
-                rate.append(r)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *score])),
-                 pa.array(np.concatenate([np.zeros(0), *rate]))], names=[*fields, "lang_pred", "score", "bits_per_symbol"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("bits_per_symbol", T.DoubleType())])
+            for a, b, names, score, rate in _predictions(batch.column(fields.index(text_col)), batch.column(len(fields)), shared.value):
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(a, b - a) for i in back), pa.array(names, pa.string()), pa.array(score), pa.array(rate)],
+                    names=out)
+
     return docs.withColumn(free_name(fields, "__letter"), _has_letter(text_col)).mapInArrow(run, schema)
 
 
@@ -220,7 +222,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def identify(docs: DataFrame) -> DataFrame:
     """Predict the language of every document from the labelled ones that are not held out."""
     model = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
-    done = predict(docs.select("doc_id", "text"), model)
+    done = predict(docs.select("doc_id", "text"), model, columns=["doc_id"])
     return done.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_symbol")
 
 

@@ -2,12 +2,15 @@
 
 import math
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ferrylog.llm import language
+from ferrylog.llm.words import PIECE
 
 
 def folded(text):
@@ -90,3 +93,39 @@ def test_edges(spark):
     assert language.identify(none).count() == 0 and language.known_language(none).count() == 0
     unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
+
+
+def test_texts_do_not_come_back(spark):
+    """Python gets the texts and gives ids and predictions, not the texts too."""
+    df = spark.createDataFrame([(i, f"hello there {i}", "en") for i in range(20)], "doc_id long, text string, lang string")
+    plan = language.identify(df)._jdf.queryExecution().optimizedPlan().toString()
+    given = re.search(r"MapInArrow [^\n]*, \[([^\]]*)\]", plan)[1]
+    assert re.findall(r"(\w+)#", given) == ["doc_id", "lang_pred", "score", "bits_per_symbol"]
+
+
+def test_rows_come_back_in_slices(spark, monkeypatch):
+    """A batch of long texts is answered in parts of a bounded size, each row once and in its place."""
+    rows = [(i, "hello there and more " * (1 + i % 3 * 15000), "en", [i, i + 1]) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, more array<long>")
+    model, ran = language.train(df), []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: ran.append(run))
+    language.predict(df, model)
+    monkeypatch.undo()
+    columns = [pa.array(c) for c in (*zip(*rows), [True] * len(rows))]
+    parts = list(ran[0](iter([pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "lang", "more", "__letter"])])))
+    assert [tuple(r[c] for c in df.columns) for p in parts for r in p.to_pylist()] == rows
+    assert all(p.num_rows == 1 or sum(len(t) for t in p["text"].to_pylist()) <= PIECE for p in parts) and len(parts) > 3
+    whole = language.predict(df, model).orderBy("doc_id").collect()
+    assert [(r.lang_pred, r.score) for r in whole] == [(x["lang_pred"], x["score"]) for p in parts for x in p.to_pylist()]
+    few = language.predict(df, model, columns=["more", "doc_id"])
+    assert few.columns == ["doc_id", "more", "lang_pred", "score", "bits_per_symbol"]
+    assert [tuple(r)[:2] for r in few.orderBy("doc_id").collect()] == [(i, m) for i, *_, m in rows]
+
+
+def test_letters_anywhere(spark):
+    """A letter counts wherever it stands; digits, marks and nulls are none."""
+    texts = ["a", "1" * 63 + "a", "1" * 64 + "a", "\u00e4" * 70, "- " * 500 + "\u6f22", "\U0001f600" * 64 + "z", "\U0001f600" * 80,
+             "12 !! " * 50, "\u0301" * 70, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = [r[0] for r in df.orderBy("i").select(language._has_letter("text")).collect()]
+    assert got == [any(c.isalpha() for c in t or "") for t in texts] == [True] * 6 + [False] * 5
