@@ -1,8 +1,8 @@
 """A folder of export files that still grow, as a stream.
 
 The stream's offset is a byte per file: all blocks before it were read. New bytes are
-read in ranges by many tasks; a task looks for the first ``[POSITION]`` line in its
-range and reads its last block on beyond it. A block that is still being written waits:
+read in ranges by many tasks; small ranges share one. A task looks for the first
+``[POSITION]`` line of a range and reads its last block on beyond it. A block that is still being written waits:
 the offset only moves to where a block begins, or behind one whose statement has ended.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from fnmatch import fnmatch
+from itertools import groupby
 from typing import Iterator, NamedTuple
 
 import pyarrow as pa
@@ -22,6 +23,8 @@ SCHEMA = "path string, source_file string, span long, place long, block string"
 _ARROW = pa.schema([("path", pa.string()), ("source_file", pa.string()), ("span", pa.int64()), ("place", pa.int64()), ("block", pa.string())])
 #: Bytes of a range, and of one look for a mark.
 RANGE, LOOK = 32 << 20, 1 << 16
+#: Bytes of the ranges that share a task, once all cores have work.
+TASK_BYTES = 16 << 20
 
 # A mark at the beginning of a line, and a literal or quoted name of a statement.
 _START = re.compile(rb"(?:\A|(?<=[\n\r]))[\x00-\x09\x0b\x0c\x0e-\x20]*\[POSITION\]")
@@ -29,11 +32,34 @@ _MARK, _BLANKS = b"[POSITION]", bytes(b for b in range(0x21) if b not in b"\n\r"
 _QUOTED = re.compile(rb"'(?:[^'\\]|\\.|'')*'|`[^`]*`", re.S)
 
 
-class Span(InputPartition):
+class Span(NamedTuple):
     """Bytes ``[start, stop)`` of a file whose blocks are known up to ``end``; ``whole``: a block begins at ``start``."""
 
-    def __init__(self, path: str, start: int, stop: int, end: int, whole: bool):
-        super().__init__((path, start, stop, end, whole))
+    path: str
+    start: int
+    stop: int
+    end: int
+    whole: bool
+
+
+class Spans(InputPartition):
+    """Ranges that one task reads one after another."""
+
+    def __init__(self, spans: list[Span]):
+        super().__init__([tuple(s) for s in spans])
+
+
+def shared(spans: list[Span], most: int) -> list[Spans]:
+    """The ranges in tasks of no more than ``most`` bytes, or of one range."""
+    out, held = [], 0
+    for span in spans:
+        size = span.stop - span.start
+        if not out or held + size > most:
+            out.append([])
+            held = 0
+        out[-1].append(span)
+        held += size
+    return [Spans(own) for own in out]
 
 
 class _Listed(NamedTuple):
@@ -102,8 +128,8 @@ def blocks_of(file, span) -> Iterator[tuple[int, bytes]]:
 
 
 class GrowingReader(DataSourceStreamReader):
-    def __init__(self, folder: str, glob: str, range_bytes: int):
-        self.folder, self.glob, self.range_bytes, self.listed = folder, glob, range_bytes, {}
+    def __init__(self, folder: str, glob: str, range_bytes: int, tasks: int = 1):
+        self.folder, self.glob, self.range_bytes, self.tasks, self.listed = folder, glob, range_bytes, tasks, {}
 
     def initialOffset(self) -> dict:
         return {"files": "{}"}
@@ -129,25 +155,27 @@ class GrowingReader(DataSourceStreamReader):
             if stop < a:
                 raise ValueError(f"{path} was read up to byte {a} and now ends at {stop}: a file that was cut or written anew can't be replayed")
             out += [Span(path, at, min(at + self.range_bytes, stop), stop, at == a) for at in range(a, stop, self.range_bytes)]
-        return out
+        # All cores have work before ranges share a task.
+        return shared(out, min(TASK_BYTES, sum(s.stop - s.start for s in out) // self.tasks))
 
-    def read(self, partition: Span):
-        path = partition.value[0]
+    def read(self, partition: Spans):
         store, _ = arrow_fs.FileSystem.from_uri(self.folder)
-        with store.open_input_file(path) as file:
-            rows, held = [], 0
-            for at, block in blocks_of(file, partition.value):
-                rows.append((path, path.rpartition("/")[2], partition.value[1], at, block.decode(errors="replace")))
-                held += len(block)
-                if held > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+        rows, held = [], 0
+        for path, spans in groupby(partition.value, lambda s: s[0]):
+            with store.open_input_file(path) as file:
+                for span in spans:
+                    for at, block in blocks_of(file, span):
+                        rows.append((path, path.rpartition("/")[2], span[1], at, block.decode(errors="replace")))
+                        held += len(block)
+                        if held > 1 << 22:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+                            rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
 class GrowingExports(DataSource):
-    """``spark.readStream.format("growing_exports")`` with options ``path``, ``glob`` and ``range_bytes``."""
+    """``spark.readStream.format("growing_exports")`` with options ``path``, ``glob``, ``range_bytes`` and ``tasks``."""
 
     @classmethod
     def name(cls):
@@ -157,7 +185,8 @@ class GrowingExports(DataSource):
         return SCHEMA
 
     def streamReader(self, schema):
-        return GrowingReader(self.options["path"], self.options.get("glob", "*.sql"), int(self.options.get("range_bytes", RANGE)))
+        return GrowingReader(self.options["path"], self.options.get("glob", "*.sql"), int(self.options.get("range_bytes", RANGE)),
+                             int(self.options.get("tasks", 1)))
 
 
 def stream_growing_exports(spark: SparkSession, folder: str, glob="*.sql", range_bytes=RANGE) -> DataFrame:
@@ -168,4 +197,4 @@ def stream_growing_exports(spark: SparkSession, folder: str, glob="*.sql", range
     """
     spark.dataSource.register(GrowingExports)
     return (spark.readStream.format("growing_exports").option("path", folder).option("glob", glob)
-                 .option("range_bytes", range_bytes).load())
+                 .option("range_bytes", range_bytes).option("tasks", spark.sparkContext.defaultParallelism).load())
